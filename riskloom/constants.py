@@ -133,6 +133,16 @@ PSI_BINS = 10
 PSI_FLOOR = 1e-6
 PSI_EDA_LEVELS = (0.10, 0.25)
 
+# feature selection: name patterns (substring, any case) and post-origination columns
+EXCLUDE_NAME_PATTERNS = ["id", "url", "desc", "title", "emp_title", "addr_state", "zip_code"]
+LEAKAGE_COLUMNS = [
+    "out_prncp", "out_prncp_inv", "total_pymnt", "total_pymnt_inv",
+    "total_rec_prncp", "total_rec_int", "total_rec_late_fee",
+    "recoveries", "collection_recovery_fee", "last_pymnt_amnt",
+    "last_pymnt_d", "next_pymnt_d", "last_credit_pull_d",
+    "last_fico_range_high", "last_fico_range_low",
+]
+
 # thresholds used by metric reports
 REPORT_THRESHOLDS = [0.05, 0.15, 0.30]
 COST_FP = 100.0

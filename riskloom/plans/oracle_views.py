@@ -61,7 +61,10 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
 FROM orders JOIN customer ON c_custkey = o_custkey""",
 }
 
-DEPS = {"scored_v": ["applications_v", "payments_v"]}
+VIEWS["scored_r"] = """
+SELECT application_id, application_date, is_default, y, round(pd_score, 10) AS pd_score, segment FROM scored_v"""
+
+DEPS = {"scored_v": ["applications_v", "payments_v"], "scored_r": ["applications_v", "payments_v", "scored_v"]}
 
 
 def clip(x: str, lo: str, hi: str) -> str:

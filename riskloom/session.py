@@ -19,6 +19,7 @@ _DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # parquet pushdown of date/timestamp/decimal predicates is on by default;
     # keep it explicit because the feature jobs lean on it.
@@ -33,6 +34,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("RISKLOOM_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
