@@ -21,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 MAX_BUCKETS = 4096
 
@@ -33,19 +33,30 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     return max(1, min(MAX_BUCKETS, parts))
 
 
+def as_number(df: DataFrame, col: str):
+    """An order-preserving DOUBLE view of a column (dates and timestamps as epoch units)."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.DateType):
+        return F.unix_date(F.col(col)).cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
 def range_bucket(df: DataFrame, order_col: str, n_buckets: int, out: str = "_bucket") -> DataFrame:
     """Add an explicit range-bucket column (stable under re-planning)."""
     if n_buckets <= 1:
         return df.withColumn(out, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10000).alias("s")).first()
+    num = as_number(df, order_col)
+    row = df.agg(F.percentile_approx(num, probs, 10000).alias("s")).first()
     splits = sorted({float(x) for x in (row["s"] or [])})
     if not splits:
         return df.withColumn(out, F.lit(0))
     tmp = "_bucket_in"
     b = Bucketizer(splits=[float("-inf")] + splits + [float("inf")], inputCol=tmp, outputCol=out,
                    handleInvalid="keep")
-    res = b.transform(df.withColumn(tmp, F.col(order_col).cast("double")))
+    res = b.transform(df.withColumn(tmp, num))
     return res.drop(tmp).withColumn(out, F.col(out).cast("int"))
 
 
