@@ -33,9 +33,11 @@ RAW_COLS = ["id", "member_id", "loan_amnt", "term", "int_rate", "annual_inc", "e
             "grade", "fico_range_low", "fico_range_high", "issue_d", "loan_status"]
 
 
-@register("csv_scan", with_ctes(["raw_loans_v"], [], "SELECT * FROM raw_loans_v"))
+@register("csv_scan", with_ctes(["raw_loans_v"], [], "SELECT " + ", ".join(f"NULLIF({c}, '') AS {c}" for c in RAW_COLS)
+                                + " FROM raw_loans_v"))
 def q_csv_scan(spark, sf_dir):
-    """A1: the vendor rows written as CSV and scanned back as all-string columns."""
+    """A1: the vendor rows written as CSV and scanned back as all-string columns
+    (an empty field reads as missing, as in the vendor loader)."""
     raw = fixtures.load(spark, sf_dir).raw_loans
     path = _scratch(spark, "vendor-csv")
     raw.write.option("header", True).option("ignoreLeadingWhiteSpace", False) \
