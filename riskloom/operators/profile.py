@@ -12,6 +12,8 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ..functions.expr import safe_corr
+
 from . import orderstat
 
 
@@ -77,7 +79,7 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, max_null_rate
 def correlation_pairs(df: DataFrame, cols: Sequence[str], high: float = 0.7, very_high: float = 0.85) -> DataFrame:
     """pairwise Pearson (pairwise-complete rows), one aggregation for all pairs."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
     arr = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{i}").alias("r"))
                     for i, (a, b) in enumerate(pairs)])
     long = row.select(F.inline(arr))

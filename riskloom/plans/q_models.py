@@ -1 +1,306 @@
-"""Queries (filled in as operators land)."""
+"""Queries for models, scoring and explanations.
+
+Model-fitting entries have no SQL oracle (rows-only check); the explanation,
+routing, champion and importance entries use fixed linear scorecards or
+deterministic scores so DuckDB can recompute them.
+"""
+
+from __future__ import annotations
+
+import os
+import uuid
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions.expr import round_doubles, safe_corr
+from ..operators import features as fe
+from ..operators import metrics as M
+from ..operators import models as MD
+from ..operators import profile as P
+from ..operators import sampling as S
+from ..session import checkpoint_dir, cut_lineage
+from ..sources import fixtures, io
+from . import oracle_features as OF
+from .catalog import register
+from .oracle_views import with_ctes
+from .q_features import TE_CUTOFF, features_snapshot_df
+from .q_profile import NUM_COLS
+
+T1, T2 = "1998-12-31", "1999-12-31"
+FEATS_HIST = K.ALL_FEATURES
+FEATS_COLD = K.COLD_START_FEATURES
+
+
+def model_dataset(spark, sf_dir):
+    """Snapshot + label + split + history segment (E6), materialised once for all fits."""
+    fx = fixtures.load(spark, sf_dir)
+    d = io.feature_dataset(features_snapshot_df(spark, sf_dir), fx.applications, T1, T2)
+    d = S.segment_flag(d, fx.payments).withColumn("segment", F.when(F.col("has_history"), "with_history").otherwise("cold_start"))
+    return cut_lineage(MD.training_frame(d, FEATS_HIST))
+
+
+def _seg(d, seg):
+    return d.where(F.col("segment") == seg)
+
+
+@register("feature_matrix")
+def q_feature_matrix(spark, sf_dir):
+    """K1: feature vectors of the snapshot (vector size and norm per loan)."""
+    d = model_dataset(spark, sf_dir)
+    v = MD.feature_matrix(FEATS_HIST).transform(d)
+    arr = vector_to_array("features")
+    return v.select("application_id", F.size(arr).alias("n_features"),
+                    F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 4).alias("sq_norm"))
+
+
+@register("train_boosting")
+def q_train_boosting(spark, sf_dir):
+    """K2: the three candidate learners fitted on the cold-start train rows; validation metrics."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    _, _, table = MD.train_segment(d, FEATS_COLD, kinds=("logistic", "rf", "gbt"),
+                                   params={"rf": {"n_estimators": 30}, "gbt": {"n_estimators": 30}})
+    return round_doubles(table.select("model", "n", "auc_roc", "auc_pr", "brier", "ks"))
+
+
+@register("train_segment")
+def q_train_segment(spark, sf_dir):
+    """K3: per segment, best of the candidates by raw validation AUC."""
+    d = model_dataset(spark, sf_dir)
+    rows = []
+    for seg, feats in (("with_history", FEATS_HIST), ("cold_start", FEATS_COLD)):
+        best, _, table = MD.train_segment(_seg(d, seg), feats, kinds=("logistic", "rf"), params={"rf": {"n_estimators": 30}})
+        rows.append(table.withColumn("segment", F.lit(seg)).withColumn("best", F.col("model") == best))
+    return round_doubles(rows[0].unionByName(rows[1]).select("segment", "model", "best", "n", "auc_roc", "ks"))
+
+
+@register("calibrate")
+def q_calibrate(spark, sf_dir):
+    """K4: isotonic calibration of the cold-start logistic model on validation rows."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    m = MD.fit(d.where(F.col("split") == "train"), "logistic", FEATS_COLD)
+    val = MD.score(m, d.where(F.col("split") == "val"))
+    cal = MD.calibrate(val, "isotonic")
+    out = MD.apply_calibration(cal, val)
+    raw = M.binary(out).select(F.lit("raw").alias("score"), "n", "auc_roc", "brier")
+    calm = M.binary(out, p="pd_calibrated").select(F.lit("calibrated").alias("score"), "n", "auc_roc", "brier")
+    return round_doubles(raw.unionByName(calm).withColumn("kept", F.lit(cal is not None)))
+
+
+@register("hyper_search")
+def q_hyper_search(spark, sf_dir):
+    """K5: seeded random search for the logistic learner (validation AUC per trial)."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    best, auc, trials = MD.search(d.where(F.col("split") == "train"), d.where(F.col("split") == "val"), "logistic",
+                                  FEATS_COLD, trials=3)
+    rows = [(i, float(p["reg"]), float(p["l1_ratio"]), a, p == best) for i, (p, a) in enumerate(trials)]
+    # trial table: one row per trial (a handful of driver-side numbers)
+    return round_doubles(spark.createDataFrame(rows, "trial int, reg double, l1_ratio double, val_auc double, best boolean"))
+
+
+@register("stacking")
+def q_stacking(spark, sf_dir):
+    """K6: out-of-fold stacking of logistic + random forest with a logistic meta-model."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    _, _, val = MD.stack(d, FEATS_COLD, kinds=("logistic", "rf"), params={"rf": {"n_estimators": 20}})
+    return round_doubles(M.binary(val).select("n", "auc_roc", "auc_pr", "brier"))
+
+
+CANDIDATES_SQL = """
+SELECT application_id, segment, y, 'full' AS model, round(pd_score, 10) AS s FROM scored_v
+UNION ALL SELECT s.application_id, s.segment, s.y, 'dti_only', round(1.0e0 / (1.0e0 + exp(-(-3.0e0 + 0.03e0 * a.dti_ratio))), 10)
+  FROM scored_v s JOIN applications_v a ON a.application_id = s.application_id
+UNION ALL SELECT s.application_id, s.segment, s.y, 'credit_only', round(1.0e0 / (1.0e0 + exp(-(-3.0e0 - 0.004e0 * (a.credit_score - 600.0e0)))), 10)
+  FROM scored_v s JOIN applications_v a ON a.application_id = s.application_id"""
+
+
+def _candidates(spark, sf_dir):
+    fx = fixtures.load(spark, sf_dir)
+    s = fx.scored
+    a = fx.applications.select("application_id", "dti_ratio", "credit_score")
+    j = s.join(a, "application_id")
+    sig = lambda z: F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 10)
+    parts = [
+        s.select("application_id", "segment", "y", F.lit("full").alias("model"), F.round("pd_score", 10).alias("s")),
+        j.select("application_id", "segment", "y", F.lit("dti_only").alias("model"), sig(F.lit(-3.0) + 0.03 * F.col("dti_ratio")).alias("s")),
+        j.select("application_id", "segment", "y", F.lit("credit_only").alias("model"),
+                 sig(F.lit(-3.0) - 0.004 * (F.col("credit_score") - 600.0)).alias("s")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("champion_select", with_ctes(["scored_v", "applications_v"], [
+    ("cand", CANDIDATES_SQL),
+    ("sc0", "SELECT segment, model, s, sum(y) AS pos, sum(1 - y) AS neg FROM cand GROUP BY 1, 2, 3"),
+    ("sc", "SELECT *, sum(neg) OVER (PARTITION BY segment, model ORDER BY s ROWS UNBOUNDED PRECEDING) AS cum_neg, "
+           "sum(pos) OVER (PARTITION BY segment, model) AS tp, sum(neg) OVER (PARTITION BY segment, model) AS tn FROM sc0"),
+    ("m", "SELECT segment, model, sum(pos * (cum_neg - 0.5e0 * neg)) / (max(tp) * max(tn)) AS auc_roc FROM sc GROUP BY 1, 2"),
+], "SELECT segment, arg_max(model, struct_pack(a := auc_roc, m := model)) AS champion, round(max(auc_roc), 6) AS auc_roc, "
+   "max(auc_roc) >= 0.70 AS registered FROM m GROUP BY segment"))
+def q_champion(spark, sf_dir):
+    """K7: champion per segment among three deterministic candidate scores; registered at AUC >= 0.70."""
+    m = M.binary(_candidates(spark, sf_dir), p="s", by=["segment", "model"])
+    return round_doubles(MD.champion(m))
+
+
+@register("batch_score")
+def q_batch_score(spark, sf_dir):
+    """K8: each segment scored by its own logistic model; versions, buckets, one table."""
+    d = model_dataset(spark, sf_dir)
+    models, frames = {}, {}
+    for seg, feats in (("with_history", FEATS_HIST), ("cold_start", FEATS_COLD)):
+        part = _seg(d, seg)
+        models[seg] = ("logistic", MD.fit(part.where(F.col("split") == "train"), "logistic", feats))
+        frames[seg] = part
+    out = MD.score_batch(frames, models)
+    return round_doubles(out.groupBy("model_version", "risk_bucket").agg(F.count(F.lit(1)).alias("n"),
+                                                                        F.avg("pd_calibrated").alias("mean_pd")))
+
+
+@register("route_model", with_ctes(["applications_v", "payments_v"], [("pw", OF.payments_join()),
+                                                                     ("agg", OF.windows_select(canonical_only=True))], """
+SELECT a.application_id, CASE WHEN """ + " OR ".join(f"g.{c} IS NOT NULL" for c in K.AGGREGATION_FEATURES) + """
+  THEN 'with_history' ELSE 'cold_start' END AS route FROM applications_v a LEFT JOIN agg g ON g.application_id = a.application_id"""))
+def q_route(spark, sf_dir):
+    """K9: history model when any payment signal is present, else the cold-start model."""
+    fx = fixtures.load(spark, sf_dir)
+    f2 = fe.payment_windows(fx.payments, fx.applications, keep_all=True)
+    return f2.select("application_id", MD.route(f2).alias("route"))
+
+
+@register("model_bundle")
+def q_model_bundle(spark, sf_dir):
+    """Model + features + medians + metrics saved and loaded; scores equal after reload."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    train, val = d.where(F.col("split") == "train"), d.where(F.col("split") == "val")
+    m = MD.fit(train, "logistic", FEATS_COLD)
+    path = os.path.join(checkpoint_dir(spark), f"bundle-{uuid.uuid4().hex}")
+    MD.save_bundle(path, m, FEATS_COLD, medians=fe.medians(train, FEATS_COLD), metrics=M.binary(MD.score(m, val)), kind="logistic")
+    b = MD.load_bundle(spark, path)
+    a1 = MD.score(m, val).select("application_id", F.col("pd_score").alias("p1"))
+    a2 = MD.score(b["model"], val).select("application_id", F.col("pd_score").alias("p2"))
+    j = a1.join(a2, "application_id")
+    return j.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"),
+                 F.lit(len(b["features"])).alias("n_features"))
+
+
+# fixed linear scorecard for explanation entries (coefficients of the fixture's score plus two more)
+SCORECARD = {"dti_ratio": 0.03, "credit_score": -0.004, "interest_rate": 0.02, "employment_years": -0.01}
+
+
+def _contrib_sql() -> list[tuple[str, str]]:
+    means = ", ".join(f"avg({c}) AS m_{c}" for c in SCORECARD)
+    long = " UNION ALL ".join(
+        f"SELECT a.application_id, s.segment, '{c}' AS feature, {b}e0 * (a.{c} - mm.m_{c}) AS value "
+        f"FROM applications_v a JOIN scored_v s ON s.application_id = a.application_id, mm" for c, b in SCORECARD.items())
+    return [("mm", f"SELECT {means} FROM applications_v"), ("contrib", long)]
+
+
+def _contrib(spark, sf_dir):
+    fx = fixtures.load(spark, sf_dir)
+    a = fx.applications.join(fx.scored.select("application_id", "segment"), "application_id")
+    means = {c: fx.applications.agg(F.avg(c)).scalar() for c in SCORECARD}
+    return MD.linear_contributions(a, SCORECARD, means, keep=["segment"])
+
+
+@register("contributions", with_ctes(["scored_v", "applications_v"], _contrib_sql(),
+                                     "SELECT application_id, feature, round(value, 6) AS value FROM contrib"))
+def q_contributions(spark, sf_dir):
+    """K12 (linear, exact): b_j (x_j - mean_j) per loan and feature."""
+    c = _contrib(spark, sf_dir)
+    return round_doubles(c.select("application_id", F.inline("contributions")))
+
+
+@register("reason_codes", with_ctes(["scored_v", "applications_v"], _contrib_sql(), """
+SELECT application_id, rank, feature, round(value, 6) AS shap_value,
+  CASE WHEN value > 0 THEN 'increases_risk' ELSE 'decreases_risk' END AS direction
+FROM (SELECT *, row_number() OVER (PARTITION BY application_id ORDER BY abs(value) DESC, feature) AS rank FROM contrib) t
+WHERE rank <= 3"""))
+def q_reasons(spark, sf_dir):
+    """Top three reasons per loan by |contribution| with direction (ties by name)."""
+    r = MD.reasons(_contrib(spark, sf_dir).drop("segment"))
+    return round_doubles(r.select("application_id", F.col("rank").cast("long").alias("rank"), "feature", "shap_value", "direction"))
+
+
+IMP_SQL = ("SELECT segment, feature, avg(abs(value)) AS mean_abs, row_number() OVER (PARTITION BY segment ORDER BY "
+           "avg(abs(value)) DESC, feature) AS rank FROM contrib GROUP BY segment, feature")
+
+
+@register("importance_summary", with_ctes(["scored_v", "applications_v"], _contrib_sql() + [("imp", IMP_SQL)],
+                                          "SELECT segment, feature, round(mean_abs, 6) AS mean_abs, rank, rank <= 10 AS top FROM imp"))
+def q_importance(spark, sf_dir):
+    """Mean |contribution| per segment and feature, ranked, top 10 flagged."""
+    imp = MD.importance_summary(_contrib(spark, sf_dir))
+    return round_doubles(imp.select("segment", "feature", "mean_abs", F.col("rank").cast("long").alias("rank"), "top"))
+
+
+@register("importance_join", with_ctes(["scored_v", "applications_v"], _contrib_sql() + [("imp", IMP_SQL)], """
+SELECT h.feature, round(h.mean_abs, 6) AS with_history, round(c.mean_abs, 6) AS cold_start,
+  round(h.mean_abs / greatest(c.mean_abs, 1e-6), 6) AS ratio
+FROM imp h JOIN imp c ON c.feature = h.feature AND c.segment = 'cold_start' WHERE h.segment = 'with_history'"""))
+def q_importance_join(spark, sf_dir):
+    """Importances of the two segments on shared features and their ratio."""
+    imp = MD.importance_summary(_contrib(spark, sf_dir))
+    return round_doubles(MD.shared_importance(imp))
+
+
+@register("permutation_importance")
+def q_permutation(spark, sf_dir):
+    """PR-AUC drop over 3 seeded permutations of five cold-start features."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    feats = ["loan_to_income", "credit_score_norm", "interest_rate", "dti_ratio_clipped", "grade"]
+    m = MD.fit(d.where(F.col("split") == "train"), "logistic", FEATS_COLD)
+    val = d.where(F.col("split") == "val")
+    return round_doubles(MD.permutation_importance(m, val, feats, repeats=3))
+
+
+def _corr_importance_sql(src: str, cols: list[str]) -> str:
+    y = "CASE WHEN is_default THEN 1.0e0 ELSE 0.0e0 END"
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, abs(covar_samp(CAST({c} AS DOUBLE), {y}) / "
+                              f"NULLIF(stddev_samp(CAST({c} AS DOUBLE)) * stddev_samp({y}), 0)) AS importance FROM {src}" for c in cols)
+
+
+def corr_importance(df, cols):
+    """|corr(feature, default)| per feature, one aggregation (a model-free importance)."""
+    row = df.agg(*[F.abs(safe_corr(F.col(c), F.col("is_default"))).alias(c) for c in cols])
+    return row.unpivot([], cols, "feature", "importance")
+
+
+PAIRS_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS r FROM applications_v"
+    for i, a in enumerate(NUM_COLS) for b in NUM_COLS[i + 1:])
+
+
+@register("redundancy_prune", with_ctes(["applications_v"], [
+    ("imp", _corr_importance_sql("applications_v", NUM_COLS)), ("pairs", PAIRS_SQL),
+    ("red", "SELECT DISTINCT CASE WHEN ib.importance < ia.importance THEN p.feature_b ELSE p.feature_a END AS feature "
+            "FROM pairs p JOIN imp ia ON ia.feature = p.feature_a JOIN imp ib ON ib.feature = p.feature_b WHERE abs(p.r) > 0.85"),
+], "SELECT feature, round(importance, 6) AS importance FROM imp WHERE importance >= 0.1 * (SELECT median(importance) FROM imp) "
+   "AND feature NOT IN (SELECT feature FROM red)"))
+def q_redundancy(spark, sf_dir):
+    """Drop the less important of each |r| > 0.85 pair; keep importance >= 10% of the median."""
+    a = fixtures.load(spark, sf_dir).applications
+    kept = MD.redundancy_prune(corr_importance(a, NUM_COLS), P.correlation_pairs(a, NUM_COLS))
+    return round_doubles(kept)
+
+
+@register("category_importance", with_ctes(["applications_v", "payments_v", "bureau_v"], OF.snapshot_blocks(TE_CUTOFF) + [
+    ("snapl", "SELECT s.*, a.is_default FROM snapshot s JOIN applications_v a ON a.application_id = s.application_id"),
+    ("imp", _corr_importance_sql("snapl", K.ALL_FEATURES)),
+    ("fam", " UNION ALL ".join(f"SELECT '{f}' AS feature, '{name}' AS category, {len(feats)} AS n_features"
+                                for name, feats in MD.FAMILIES.items() for f in feats)),
+], "SELECT f.category, max(f.n_features) AS n_features, round(sum(i.importance), 6) AS total_importance, "
+   "round(sum(i.importance) / max(f.n_features), 6) AS avg_importance FROM imp i JOIN fam f ON f.feature = i.feature GROUP BY f.category"))
+def q_category(spark, sf_dir):
+    """Total and mean |corr with default| per feature family of the snapshot."""
+    fx = fixtures.load(spark, sf_dir)
+    snap = features_snapshot_df(spark, sf_dir).join(fx.applications.select("application_id", "is_default"), "application_id")
+    return round_doubles(MD.category_importance(corr_importance(snap, K.ALL_FEATURES)))
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """train/val AUC by nested training size for the cold-start logistic model, with diagnosis."""
+    d = _seg(model_dataset(spark, sf_dir), "cold_start")
+    return round_doubles(MD.learning_curve(d, FEATS_COLD, [500, 1000, 2000, 4000], order=S.portable_order()))
