@@ -82,7 +82,7 @@ def numerical(df: DataFrame, mode: str = "batch", keep: Sequence[str] = ()) -> D
         }
     return df.select(
         F.col("application_id"),
-        F.col("application_date").cast("date").alias("feature_date"),
+        col_or_null(df, "application_date", "date").cast("date").alias("feature_date"),
         *[c.alias(name) for name, c in cols.items()],
         *[F.col(k) for k in keep],
     )

@@ -29,4 +29,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import the query modules (each registers its entries)."""
-    from . import q_features, q_clean, q_reports, q_quality, q_sampling, q_metrics, q_drift, q_profile, q_models, q_io  # noqa: F401
+    from . import q_features, q_clean, q_reports, q_quality, q_sampling, q_metrics, q_drift, q_profile, q_models, q_io, q_stream  # noqa: F401
