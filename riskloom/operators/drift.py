@@ -124,7 +124,7 @@ def ks_two_sample(values: DataFrame, by: Sequence[str] = ("feature",), n_buckets
     ps = orderstat.prefix_sums(base, "v", ["r", "c"], by, n_buckets)
     g = ps.groupBy(*by).agg(
         F.first("tot_r").alias("n_ref"), F.first("tot_c").alias("n_cur"),
-        F.max(F.abs(F.col("cum_r") / F.col("tot_r") - F.col("cum_c") / F.col("tot_c"))).alias("_d"))
+        F.max(F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))).alias("_d"))
     ok = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     d = F.when(ok, F.col("_d"))
     return g.select(*by, "n_ref", "n_cur", d.alias("ks_statistic"),

@@ -42,10 +42,10 @@ def binary(df: DataFrame, y: str = "y", p: str = "pd_score", by: Sequence[str] =
     ps = _at_threshold(score_counts(df, y, p, by, n_buckets))
     P, N = F.col("tot_pos"), F.col("tot_neg")
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    rec = F.col("tp") / P
+    rec = F.try_divide(F.col("tp"), P)  # NULL for a class-free group, not an ANSI error
     tp_prev, fp_prev = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
     prec_prev = F.when(tp_prev + fp_prev > 0, tp_prev / (tp_prev + fp_prev)).otherwise(F.lit(1.0))
-    rec_prev = tp_prev / P
+    rec_prev = F.try_divide(tp_prev, P)
     sc = F.col("s")
     scl = F.when(sc < EPS, EPS).when(sc > 1 - EPS, 1 - EPS).otherwise(sc)
     pos, neg = F.col("pos"), F.col("neg")
@@ -54,7 +54,7 @@ def binary(df: DataFrame, y: str = "y", p: str = "pd_score", by: Sequence[str] =
         F.sum(pos * (F.col("cum_neg") - 0.5 * neg)).alias("_auc_num"),
         F.sum(pos * prec).alias("_ap_num"),
         F.sum((rec - rec_prev) * (prec + prec_prev) / 2.0).alias("_trapz"),
-        F.max(F.abs(F.col("cum_pos") / P - F.col("cum_neg") / N)).alias("_ks"),
+        F.max(F.abs(F.try_divide(F.col("cum_pos"), P) - F.try_divide(F.col("cum_neg"), N))).alias("_ks"),
         # point metrics from the same per-score counts (no second pass, no join)
         F.sum(pos * (sc - 1.0) * (sc - 1.0) + neg * sc * sc).alias("_sq"),
         F.sum(pos * F.log(scl) + neg * F.log(1.0 - scl)).alias("_ll"),
@@ -90,7 +90,7 @@ def thresholds(df: DataFrame, y: str = "y", p: str = "pd_score", by: Sequence[st
     scores but the highest, the lowest threshold winning ties."""
     by = list(by)
     ps = _at_threshold(score_counts(df, y, p, by, n_buckets))
-    rec = F.col("tp") / F.col("tot_pos")
+    rec = F.try_divide(F.col("tp"), F.col("tot_pos"))
     prec = F.col("tp") / (F.col("tp") + F.col("fp"))
     cost = F.col("fp") * float(cost_fp) + F.col("fn") * float(cost_fn)
     # the highest distinct score is the row whose running count reaches the total
