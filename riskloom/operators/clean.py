@@ -156,58 +156,81 @@ def count_field(c: Column, lo: float, hi: float) -> Column:
     return F.floor(clip(F.coalesce(c, F.lit(0.0)), lo, hi)).cast("int")
 
 
+def _stage_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Vendor text to DOUBLE once per column, in two projections (strip, then cast), so the
+    later clips and defaults reference plain columns instead of re-evaluating regexes."""
+    present = [n for n in names if n in df.columns]
+    text = [n for n in present if isinstance(df.schema[n].dataType, T.StringType)]
+    s1 = df.select("*", *[F.trim(F.regexp_replace(F.col(n), "[%,]", "")).alias(f"_s_{n}") for n in text])
+    cast = []
+    for n in present:
+        if n in text:
+            s = F.col(f"_s_{n}")
+            v = F.when(s.isin(*K.NULL_NUMERIC_TOKENS), F.lit(None).cast("double")).otherwise(s.try_cast("double"))
+        else:
+            v = F.col(n).cast("double")
+        cast.append(F.nanvl(v, F.lit(None).cast("double")).alias(f"_n_{n}"))
+    return s1.select("*", *cast).drop(*[f"_s_{n}" for n in text])
+
+
+NUMERIC_FIELDS = ["client_id", "external_id", "loan_amount", "interest_rate", "income", "dti_ratio", "credit_score",
+                  "credit_score_high", "num_open_accounts", "num_delinquencies", "revolving_balance",
+                  "revolving_utilization", "total_accounts", "pub_rec_bankruptcies", "total_credit_limit"]
+
+
 def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default: bool | None = None) -> DataFrame:
     """B1-B14 on every row (no row dropped yet); keeps ``external_id`` as the row key."""
     df = rename_aliases(drop_footer(raw))
     has = set(df.columns)
     typ = lambda n: df.schema[n].dataType if n in has else None
+    default_col = default_flag(df, explicit_default)
+    st = _stage_numeric(df, NUMERIC_FIELDS)
+    num = lambda n: F.col(f"_n_{n}") if n in has else F.lit(None).cast("double")
     if "credit_score" in has and "credit_score_high" in has:
-        credit = (_num(df, "credit_score") + _num(df, "credit_score_high")) / 2.0
+        credit = (num("credit_score") + num("credit_score_high")) / 2.0
     else:
-        credit = _num(df, "credit_score")
+        credit = num("credit_score")
     if "client_id" in has:
-        cid = _num(df, "client_id")
-        fallback = _num(df, "external_id") if "external_id" in has else F.lit(None).cast("double")
-    elif "external_id" in has:
-        cid, fallback = _num(df, "external_id"), F.lit(None).cast("double")
+        cid, fallback = num("client_id"), num("external_id")
     else:
-        cid, fallback = F.lit(None).cast("double"), F.lit(None).cast("double")
+        cid, fallback = num("external_id"), F.lit(None).cast("double")
     # B10 (deviation: deterministic): vendor id, then a row hash for rows with neither
     row_hash = -F.abs(F.xxhash64(*[F.col(c) for c in df.columns]))
     client = F.coalesce(F.floor(finite_or_null(cid)), F.floor(finite_or_null(fallback)), row_hash).cast("bigint")
-    loan = bound(_num(df, "loan_amount"), "loan_amount")
+    # stage 2: bounded base values as columns
+    st = st.select("*", bound(num("loan_amount"), "loan_amount").alias("_loan"))
     if "total_credit_limit" in has:
-        limit_ = bound(_num(df, "total_credit_limit"), "total_credit_limit")
+        limit_ = bound(num("total_credit_limit"), "total_credit_limit")
     else:
-        limit_ = bound(loan * 2.0, "total_credit_limit")
+        limit_ = bound(F.col("_loan") * 2.0, "total_credit_limit")
     cols = {
         "external_id": F.col("external_id").cast("string") if "external_id" in has else F.lit(None).cast("string"),
         "client_id": client,
         "application_date": parse_date(F.col("application_date"), typ("application_date")) if "application_date" in has
         else F.to_date(F.lit(K.DEFAULT_APPLICATION_DATE)),
-        "loan_amount": loan,
+        "loan_amount": F.col("_loan"),
         "loan_term": parse_term(F.col("loan_term"), typ("loan_term")) if "loan_term" in has else F.lit(36),
-        "interest_rate": bound(_num(df, "interest_rate"), "interest_rate"),
-        "income": bound(_num(df, "income"), "income"),
+        "interest_rate": bound(num("interest_rate"), "interest_rate"),
+        "income": bound(num("income"), "income"),
         "employment_years": parse_employment(F.col("employment_years"), typ("employment_years"))
         if "employment_years" in has else F.lit(0.0),
         "home_ownership": normalise_home(F.col("home_ownership") if "home_ownership" in has else None),
         "purpose": normalise_purpose(F.col("purpose") if "purpose" in has else None),
-        "dti_ratio": bound(_num(df, "dti_ratio"), "dti_ratio"),
+        "dti_ratio": bound(num("dti_ratio"), "dti_ratio"),
         "credit_score": bound(credit, "credit_score"),
-        "num_open_accounts": count_field(bound(_num(df, "num_open_accounts"), "num_open_accounts"), 0.0, 500.0),
-        "num_delinquencies": count_field(bound(_num(df, "num_delinquencies"), "num_delinquencies"), 0.0, 200.0),
-        "revolving_balance": clip(_num(df, "revolving_balance"), 0.0, 1e9),
-        "revolving_utilization": clip(_num(df, "revolving_utilization"), 0.0, 100.0),
-        "total_accounts": count_field(_num(df, "total_accounts"), 0.0, 1000.0),
-        "pub_rec_bankruptcies": count_field(_num(df, "pub_rec_bankruptcies"), 0.0, 100.0),
+        "num_open_accounts": count_field(bound(num("num_open_accounts"), "num_open_accounts"), 0.0, 500.0),
+        "num_delinquencies": count_field(bound(num("num_delinquencies"), "num_delinquencies"), 0.0, 200.0),
+        "revolving_balance": clip(num("revolving_balance"), 0.0, 1e9),
+        "revolving_utilization": clip(num("revolving_utilization"), 0.0, 100.0),
+        "total_accounts": count_field(num("total_accounts"), 0.0, 1000.0),
+        "pub_rec_bankruptcies": count_field(num("pub_rec_bankruptcies"), 0.0, 100.0),
         "grade": grade_ordinal(F.col("grade") if "grade" in has else None),
         "total_credit_limit": limit_,
         "num_inquiries_6m": count_field(_plain_num(df, "num_inquiries_6m"), 0.0, 50.0),
-        "is_default": default_flag(df, explicit_default),
+        "is_default": default_col,
         "data_source": F.lit(data_source),
     }
-    return df.select(*[c.alias(n) for n, c in cols.items()])
+    return st.select(*[c.alias(n) for n, c in cols.items()])
 
 
 def drop_unusable(df: DataFrame) -> DataFrame:

@@ -251,18 +251,17 @@ def target_fit(df: DataFrame, cols: Sequence[str] = K.CATEGORICAL_FEATURES, targ
 
 def target_fit_fallback(df: DataFrame, cutoff: str, cols: Sequence[str] = K.CATEGORICAL_FEATURES,
                         target: str = "is_default", date_col: str = "application_date", **kw) -> tuple[DataFrame, DataFrame]:
-    """fit on labelled rows dated <= cutoff; else on all labelled rows; else prior 0.15 and no map."""
+    """fit on labelled rows dated <= cutoff; else on all labelled rows; else prior 0.15 and no map.
+
+    Lazy: the choice is a scalar subquery (the count of rows up to the cutoff),
+    so no job runs while the plan is built.
+    """
     labelled = df.where(F.col(target).isNotNull())
-    cut = labelled.where(F.col(date_col) <= F.to_date(F.lit(cutoff)))
-    counts = labelled.agg(F.count(F.lit(1)).alias("n_all"),
-                          F.count(F.when(F.col(date_col) <= F.to_date(F.lit(cutoff)), 1)).alias("n_cut")).first()
-    if counts["n_cut"]:
-        return target_fit(cut, cols, target, **kw)
-    if counts["n_all"]:
-        return target_fit(labelled, cols, target, **kw)
-    spark = df.sparkSession
-    enc = spark.createDataFrame([], "column string, category string, n long, encoded double")
-    mean = spark.createDataFrame([(K.TE_PRIOR,)], "global_mean double")
+    in_cut = F.col(date_col) <= F.to_date(F.lit(cutoff))
+    n_cut = labelled.agg(F.count(F.when(in_cut, 1)).alias("n")).scalar()
+    fit_rows = labelled.where(in_cut | (n_cut == 0))
+    enc, mean = target_fit(fit_rows, cols, target, **kw)
+    mean = mean.select(F.coalesce(F.col("global_mean"), F.lit(K.TE_PRIOR)).alias("global_mean"))
     return enc, mean
 
 
@@ -305,10 +304,9 @@ def fill_with(df: DataFrame, med: DataFrame, cols: Sequence[str], default: float
     """Replace NULLs of ``cols`` by the per-feature value in ``med`` (else ``default``)."""
     # one scalar subquery holding a (feature -> median) map; bounded by len(cols)
     m = med.agg(F.map_from_entries(F.collect_list(F.struct("feature", "median"))).alias("m")).scalar()
-    out = df
-    for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), m[F.lit(c)], F.lit(default)))
-    return out
+    fill = set(cols)
+    return df.select(*[F.coalesce(F.col(c), m[F.lit(c)], F.lit(default)).alias(c) if c in fill else F.col(c)
+                       for c in df.columns])
 
 
 def critical_fill(df: DataFrame, critical: Sequence[str] = K.CRITICAL_NO_NULL,
@@ -322,10 +320,10 @@ def critical_fill(df: DataFrame, critical: Sequence[str] = K.CRITICAL_NO_NULL,
     crit = [c for c in critical if c in df.columns]
     src = df if median_source is None else median_source
     out = fill_with(df, medians(src, crit), crit) if crit else df
-    for c in all_features:
-        if c in out.columns:
-            out = out.withColumn(c, F.coalesce(finite_or_null(F.col(c).cast("double")), F.lit(0.0)))
-    return out
+    zero = set(all_features)
+    # one projection (a withColumn loop would re-analyse the plan once per column)
+    return out.select(*[F.coalesce(finite_or_null(F.col(c).cast("double")), F.lit(0.0)).alias(c) if c in zero else F.col(c)
+                        for c in out.columns])
 
 
 def class_weight(df: DataFrame, label: str = "y") -> DataFrame:

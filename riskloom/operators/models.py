@@ -292,8 +292,9 @@ def perturbation_contributions(model: PipelineModel, df: DataFrame, features: Se
     (median) value, as one exploded scoring job (rows x features)."""
     base = score(model, df).select(id_col, *features, F.col("pd_score").alias("_base"))
     ex = base.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("_f"))
-    for f in features:
-        ex = ex.withColumn(f, F.when(F.col("_f") == f, reference[f]).otherwise(F.col(f)))
+    feats = set(features)
+    ex = ex.select(*[F.when(F.col("_f") == c, reference[c]).otherwise(F.col(c)).alias(c) if c in feats else F.col(c)
+                     for c in ex.columns])
     s = score(model, ex)
     long = s.select(id_col, F.col("_f").alias("feature"), (F.col("_base") - F.col("pd_score")).alias("value"))
     return long.groupBy(id_col).agg(F.collect_list(F.struct("feature", "value")).alias("contributions"))
@@ -349,9 +350,10 @@ def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequen
         perms = p if perms is None else perms.unionByName(p)
     rows = df.join(perms, id_col)
     ex = rows.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("_f"))
-    for f in features:
-        ex = ex.withColumn(f, F.when(F.col("_f") == f, F.col(f"_p_{f}")).otherwise(F.col(f)))
-    s = score(model, ex.drop(*[f"_p_{f}" for f in features]))
+    feats = set(features)
+    ex = ex.select(*[F.when(F.col("_f") == c, F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c) if c in feats else F.col(c)
+                     for c in ex.columns if not c.startswith("_p_")])
+    s = score(model, ex)
     ap = M.binary(s, y, by=["_f", "_r"]).select(F.col("_f").alias("feature"), "_r", (base_ap - F.col("auc_pr")).alias("drop"))
     return ap.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
 

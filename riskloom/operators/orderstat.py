@@ -20,10 +20,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 1024
 
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
@@ -44,20 +43,21 @@ def as_number(df: DataFrame, col: str):
 
 
 def range_bucket(df: DataFrame, order_col: str, n_buckets: int, out: str = "_bucket") -> DataFrame:
-    """Add an explicit range-bucket column (stable under re-planning)."""
+    """Add an explicit range-bucket column (stable under re-planning).
+
+    The ``n - 1`` split points are approximate quantiles of ``order_col`` taken by a
+    scalar subquery inside the same plan (no driver round trip); a value's bucket is
+    the number of split points below it.
+    """
     if n_buckets <= 1:
         return df.withColumn(out, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     num = as_number(df, order_col)
-    row = df.agg(F.percentile_approx(num, probs, 10000).alias("s")).first()
-    splits = sorted({float(x) for x in (row["s"] or [])})
-    if not splits:
-        return df.withColumn(out, F.lit(0))
+    splits = df.agg(F.array_sort(F.array_distinct(F.percentile_approx(num, probs, 10000))).alias("s")).scalar()
     tmp = "_bucket_in"
-    b = Bucketizer(splits=[float("-inf")] + splits + [float("inf")], inputCol=tmp, outputCol=out,
-                   handleInvalid="keep")
-    res = b.transform(df.withColumn(tmp, num))
-    return res.drop(tmp).withColumn(out, F.col(out).cast("int"))
+    staged = df.withColumn(tmp, num).withColumn("_splits", splits)
+    return staged.withColumn(out, F.size(F.filter(F.col("_splits"), lambda x: x < F.col(tmp))).cast("int")) \
+        .drop(tmp, "_splits")
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], by: Sequence[str] = (),

@@ -12,8 +12,6 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.expr import safe_corr
-
 from . import orderstat
 
 
@@ -76,10 +74,22 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, max_null_rate
         "feature", "outliers", (F.col("outliers") / F.col("n_rows")).alias("outlier_rate"), "min", "max", "q1", "q3", "iqr")
 
 
+def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list:
+    """Pearson correlation columns for ``pairs`` (pairwise-complete rows); a pair with a
+    constant column is NULL.  One cheap min/max probe (2 numbers per column) decides which
+    pairs are constant, so the main pass keeps Spark's single-aggregate ``corr``."""
+    cols = sorted({c for p in pairs for c in p})
+    probe = df.agg(*[F.min(F.col(c).cast("double")).alias(f"lo_{i}") for i, c in enumerate(cols)],
+                   *[F.max(F.col(c).cast("double")).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
+    const = {c for i, c in enumerate(cols) if probe[f"lo_{i}"] is None or probe[f"lo_{i}"] == probe[f"hi_{i}"]}
+    return [F.lit(None).cast("double") if (a in const or b in const)
+            else F.corr(F.col(a).cast("double"), F.col(b).cast("double")) for a, b in pairs]
+
+
 def correlation_pairs(df: DataFrame, cols: Sequence[str], high: float = 0.7, very_high: float = 0.85) -> DataFrame:
     """pairwise Pearson (pairwise-complete rows), one aggregation for all pairs."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.agg(*[c.alias(f"{i}") for i, c in enumerate(pair_correlations(df, pairs))])
     arr = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"{i}").alias("r"))
                     for i, (a, b) in enumerate(pairs)])
     long = row.select(F.inline(arr))

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.expr import round_doubles, safe_corr
+from ..functions.expr import round_doubles
 from ..operators import features as fe
 from ..operators import metrics as M
 from ..operators import models as MD
@@ -263,7 +263,8 @@ def _corr_importance_sql(src: str, cols: list[str]) -> str:
 
 def corr_importance(df, cols):
     """|corr(feature, default)| per feature, one aggregation (a model-free importance)."""
-    row = df.agg(*[F.abs(safe_corr(F.col(c), F.col("is_default"))).alias(c) for c in cols])
+    d = df.withColumn("_y", F.col("is_default").cast("double"))
+    row = d.agg(*[F.abs(c).alias(n) for n, c in zip(cols, P.pair_correlations(d, [(c, "_y") for c in cols]))])
     return row.unpivot([], cols, "feature", "importance")
 
 
