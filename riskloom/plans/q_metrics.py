@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import round_doubles
 from ..operators import metrics as M
+from ..session import cut_lineage
 from ..sources import fixtures
 from .catalog import register
 from .oracle_views import with_ctes
@@ -183,8 +184,9 @@ def _ef(spark, sf_dir):
     raw = apps.select("application_id", "credit_score", "loan_amount", "income", "dti_ratio", "interest_rate",
                       "employment_years", "num_open_accounts",
                       F.when(F.col("income") > 0, F.col("loan_amount") / F.col("income")).alias("loan_to_income"))
-    # Validation rows enriched with raw columns; names are chosen so none clash
-    return M.error_frame(_scored(spark, sf_dir).join(raw, "application_id", "left"))
+    # Validation rows enriched with raw columns; names are chosen so none clash.
+    # The analysis table feeds several bucketings: written once to the shared folder.
+    return cut_lineage(M.error_frame(_scored(spark, sf_dir).join(raw, "application_id", "left")))
 
 
 @register("raw_enrich", with_ctes(["scored_r", "applications_v"], [("ef", EF_SQL)],
