@@ -178,8 +178,14 @@ NUMERIC_FIELDS = ["client_id", "external_id", "loan_amount", "interest_rate", "i
                   "revolving_utilization", "total_accounts", "pub_rec_bankruptcies", "total_credit_limit"]
 
 
-def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default: bool | None = None) -> DataFrame:
-    """B1-B14 on every row (no row dropped yet); keeps ``external_id`` as the row key."""
+def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default: bool | None = None,
+                  usable_only: bool = False) -> DataFrame:
+    """B1-B14 on every row (no row dropped yet); keeps ``external_id`` as the row key.
+
+    ``usable_only`` applies B15 right after loan, income and date are parsed, so
+    the filter runs on those three columns only and the remaining parsing is
+    done for kept rows alone.
+    """
     df = rename_aliases(drop_footer(raw))
     has = set(df.columns)
     typ = lambda n: df.schema[n].dataType if n in has else None
@@ -198,7 +204,13 @@ def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default:
     row_hash = -F.abs(F.xxhash64(*[F.col(c) for c in df.columns]))
     client = F.coalesce(F.floor(finite_or_null(cid)), F.floor(finite_or_null(fallback)), row_hash).cast("bigint")
     # stage 2: bounded base values as columns
-    st = st.select("*", bound(num("loan_amount"), "loan_amount").alias("_loan"))
+    st = st.select("*", bound(num("loan_amount"), "loan_amount").alias("_loan"),
+                   bound(num("income"), "income").alias("_income"),
+                   (parse_date(F.col("application_date"), typ("application_date")) if "application_date" in has
+                    else F.to_date(F.lit(K.DEFAULT_APPLICATION_DATE))).alias("_date"))
+    if usable_only:
+        ok = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")) & (c > 0)
+        st = st.where(ok(F.col("_loan")) & ok(F.col("_income")) & F.col("_date").isNotNull())
     if "total_credit_limit" in has:
         limit_ = bound(num("total_credit_limit"), "total_credit_limit")
     else:
@@ -206,12 +218,11 @@ def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default:
     cols = {
         "external_id": F.col("external_id").cast("string") if "external_id" in has else F.lit(None).cast("string"),
         "client_id": client,
-        "application_date": parse_date(F.col("application_date"), typ("application_date")) if "application_date" in has
-        else F.to_date(F.lit(K.DEFAULT_APPLICATION_DATE)),
+        "application_date": F.col("_date"),
         "loan_amount": F.col("_loan"),
         "loan_term": parse_term(F.col("loan_term"), typ("loan_term")) if "loan_term" in has else F.lit(36),
         "interest_rate": bound(num("interest_rate"), "interest_rate"),
-        "income": bound(num("income"), "income"),
+        "income": F.col("_income"),
         "employment_years": parse_employment(F.col("employment_years"), typ("employment_years"))
         if "employment_years" in has else F.lit(0.0),
         "home_ownership": normalise_home(F.col("home_ownership") if "home_ownership" in has else None),
@@ -243,7 +254,8 @@ def drop_unusable(df: DataFrame) -> DataFrame:
 
 def applications(raw: DataFrame, data_source: str = "vendor", explicit_default: bool | None = None) -> DataFrame:
     """Vendor rows to typed raw applications (plus the vendor ``external_id``)."""
-    return drop_unusable(parsed_fields(raw, data_source, explicit_default)).select("external_id", *RAW_APPLICATION_COLUMNS)
+    return drop_unusable(parsed_fields(raw, data_source, explicit_default, usable_only=True)) \
+        .select("external_id", *RAW_APPLICATION_COLUMNS)
 
 
 # B16 -------------------------------------------------------------------------
