@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULT_CONF = {
@@ -67,6 +68,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint)."""
+    """Reliable checkpoint into the shared folder (never a local checkpoint).
+
+    The frame is persisted for the duration of the checkpoint so it is computed
+    once (the checkpoint write would otherwise recompute it), then released: the
+    result reads the written files and survives executor loss.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
