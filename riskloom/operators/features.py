@@ -186,7 +186,8 @@ def bureau_asof(applications: DataFrame, reports: DataFrame, strategy: str = "ti
     ``max_by``: equi-join on client with ``report_date < application_date`` and
     ``max_by`` per loan; its intermediate size is loans x reports per client.
     """
-    apps = applications.select("application_id", "client_id", "application_date")
+    carry = [c for c in ("income",) if c in applications.columns]  # rides along for E3, no second join
+    apps = applications.select("application_id", "client_id", "application_date", *carry)
     rep = reports.select("client_id", *BUREAU_COLS)
     rstruct = F.struct(*[F.col(c) for c in BUREAU_COLS])
     if strategy == "max_by":
@@ -204,15 +205,14 @@ def bureau_asof(applications: DataFrame, reports: DataFrame, strategy: str = "ti
             .where(F.col("kind") == 0).drop("kind")
         res = apps.join(carried, (apps.client_id == carried.client_id) & (apps.application_date == carried.day), "left") \
             .drop(carried.client_id).drop("day")
-    return res.select("application_id", "client_id", "application_date",
+    return res.select("application_id", "client_id", "application_date", *carry,
                       *[F.col(f"r.{c}").alias(c) for c in BUREAU_COLS])
 
 
 def bureau(applications: DataFrame, reports: DataFrame, strategy: str = "timeline") -> DataFrame:
     """E2 + E3: bureau ratios of the as-of report; zero denominators give NULL."""
-    asof = bureau_asof(applications, reports, strategy)
-    inc = applications.select("application_id", F.col("income").cast("double").alias("_income"))
-    j = asof.join(inc, "application_id", "inner")
+    j = bureau_asof(applications, reports, strategy).withColumn("_income", col_or_null(applications, "income").cast("double")
+                                                                if "income" not in applications.columns else F.col("income").cast("double"))
     return j.select(
         "application_id",
         finite_or_null(nullif_zero_ratio(F.col("total_balance").cast("double"), F.col("_income"))).alias("bureau_balance_to_income"),

@@ -59,8 +59,8 @@ def binary(df: DataFrame, y: str = "y", p: str = "pd_score", by: Sequence[str] =
         F.sum(pos * (sc - 1.0) * (sc - 1.0) + neg * sc * sc).alias("_sq"),
         F.sum(pos * F.log(scl) + neg * F.log(1.0 - scl)).alias("_ll"),
     )
-    n = F.col("n_pos") + F.col("n_neg")
-    both = (F.col("n_pos") > 0) & (F.col("n_neg") > 0)
+    n = F.coalesce(F.col("n_pos") + F.col("n_neg"), F.lit(0))
+    both = F.coalesce((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.lit(False))
     auc = F.when(both, F.col("_auc_num") / (F.col("n_pos") * F.col("n_neg")))
     return ranked.select(
         *by, n.alias("n"), auc.alias("auc_roc"), (2 * auc - 1).alias("gini"),

@@ -83,3 +83,23 @@ def test_overlap_and_splits_partition(spark):
     s = S.time_split(df, "2020-02-01", "2020-03-01")
     counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
     assert sum(counts.values()) == 100 and set(counts) == {"train", "val", "test"}
+
+
+def test_zero_rows(spark):
+    from riskloom.operators import metrics as M
+    empty = spark.createDataFrame([], "y int, pd_score double")
+    m = M.binary(empty).collect()          # a global aggregate: one row, nothing to rank
+    assert len(m) == 1 and m[0]["n"] == 0 and m[0]["auc_roc"] is None and m[0]["ks"] == 0.0
+    assert D.psi(spark.createDataFrame([], "feature string, window string, value double")).count() == 0
+    checks = {r["check"]: r for r in Q.applications(spark.createDataFrame(
+        [], "client_id long, application_date string, loan_amount double, income double, is_default boolean")).collect()}
+    assert checks["row_count"]["value"] == 0 and checks["loan_amount<=0"]["severity"] == "ok"
+
+
+def test_fe_ids_no_repeats_and_size(spark, small_dir):
+    from riskloom.sources import fixtures
+    from riskloom.operators import sampling as S
+    fx = fixtures.load(spark, small_dir)
+    ids = S.fe_ids(fx.applications, fx.payments, 1000, S.portable_order())
+    n = ids.count()
+    assert n == ids.distinct().count() == min(1000, fx.applications.count())
