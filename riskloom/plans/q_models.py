@@ -305,3 +305,51 @@ def q_learning_curve(spark, sf_dir):
     """train/val AUC by nested training size for the cold-start logistic model, with diagnosis."""
     d = _seg(model_dataset(spark, sf_dir), "cold_start")
     return round_doubles(MD.learning_curve(d, FEATS_COLD, [500, 1000, 2000, 4000], order=S.portable_order()))
+
+
+# ------------------------------------------------------------------ C11-C13
+REQ_FEATS = K.NUMERICAL_FEATURES + K.TARGET_ENCODED_FEATURES
+
+
+def _request_features_sql() -> str:
+    from .oracle_views import clip as sclip
+    norm = sclip("(credit_score - 300.0e0) / 550.0e0", "0.0e0", "1.0e0")
+    serving = {
+        "loan_to_income": "CASE WHEN income > 0 THEN loan_amount / income ELSE 0.0e0 END",
+        "credit_utilization": "CASE WHEN total_credit_limit > 0 THEN loan_amount / total_credit_limit ELSE 0.0e0 END",
+        "income_log": "ln(1 + income)", "loan_amount_log": "ln(1 + loan_amount)",
+        "dti_ratio_clipped": sclip("dti_ratio", "0.0e0", "100.0e0"),
+        "employment_years": "CAST(employment_years AS DOUBLE)", "credit_score_norm": norm,
+        "num_open_accounts": "CAST(num_open_accounts AS DOUBLE)", "num_delinquencies": "CAST(num_delinquencies AS DOUBLE)",
+        "interest_rate": "interest_rate", "loan_term": "CAST(loan_term AS DOUBLE)", "num_inquiries_6m": "0.0e0",
+        "revolving_utilization": "CAST(NULL AS DOUBLE)", "total_accounts_log": "CAST(NULL AS DOUBLE)",
+        "revolving_balance_log": "CAST(NULL AS DOUBLE)", "has_bankruptcy": "CAST(NULL AS DOUBLE)", "grade": "CAST(NULL AS DOUBLE)",
+        "loan_amount_x_dti": "loan_amount * dti_ratio", "income_x_credit_score": "income * credit_score",
+    }
+    req = "SELECT a.application_id, " + ", ".join(f"{e} AS {c}" for c, e in serving.items()) + ", " + ", ".join(
+        f"coalesce(e_{c}.enc, (SELECT g FROM te_mean)) AS {c}_target_enc" for c in K.CATEGORICAL_FEATURES) + \
+        " FROM applications_v a " + " ".join(
+        f"LEFT JOIN te_enc e_{c} ON e_{c}.col = '{c}' AND e_{c}.cat = a.{c}" for c in K.CATEGORICAL_FEATURES)
+    med = "SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in K.NUMERICAL_FEATURES) + \
+          f" FROM ({OF.num_select()}) n WHERE feature_date <= DATE '{T1}'"
+    body = "SELECT application_id, " + ", ".join(
+        f"round(coalesce({c}, " + (f"(SELECT m_{c} FROM med)" if c in K.NUMERICAL_FEATURES else "NULL") + ", 0.0e0), 6) AS " + c
+        for c in REQ_FEATS) + " FROM req"
+    return with_ctes(["applications_v"], OF.te_blocks(TE_CUTOFF) + [("req", req), ("med", med)], body)
+
+
+@register("request_features", _request_features_sql())
+def q_request_features(spark, sf_dir):
+    """Serving-time features of every loan as a scoring request: serving ratios (0 for a
+    non-positive denominator), category lookup with the global-mean fallback, then training
+    medians (loans up to 1998-12-31) and 0 for what is still missing."""
+    from ..streaming.streams import serving_features
+    fx = fixtures.load(spark, sf_dir)
+    a = fx.applications
+    enc, mean = fe.target_fit_fallback(a, TE_CUTOFF)
+    train_num = fe.numerical(a.where(F.col("application_date") <= F.to_date(F.lit(T1))))
+    med = fe.medians(train_num, K.NUMERICAL_FEATURES)
+    req = a.select("application_id", "loan_amount", "income", "loan_term", "interest_rate", "employment_years", "credit_score",
+                   "dti_ratio", "num_open_accounts", "num_delinquencies", "total_credit_limit", "home_ownership", "purpose",
+                   *[F.lit(None).cast("double").alias(c) for c in K.AGGREGATION_FEATURES + K.BUREAU_FEATURES])
+    return round_doubles(serving_features(req, enc, mean, med, REQ_FEATS))
