@@ -209,8 +209,10 @@ def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default:
                    (parse_date(F.col("application_date"), typ("application_date")) if "application_date" in has
                     else F.to_date(F.lit(K.DEFAULT_APPLICATION_DATE))).alias("_date"))
     if usable_only:
-        ok = lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")) & (c > 0)
-        st = st.where(ok(F.col("_loan")) & ok(F.col("_income")) & F.col("_date").isNotNull())
+        # after nanvl and the clip bounds the values are finite, so "present and > 0" is a
+        # plain comparison; Catalyst pushes this filter below the projections with the
+        # parsing inlined, so it references each parsed value once.
+        st = st.where((F.col("_loan") > 0) & (F.col("_income") > 0) & F.col("_date").isNotNull())
     if "total_credit_limit" in has:
         limit_ = bound(num("total_credit_limit"), "total_credit_limit")
     else:
@@ -254,8 +256,11 @@ def drop_unusable(df: DataFrame) -> DataFrame:
 
 def applications(raw: DataFrame, data_source: str = "vendor", explicit_default: bool | None = None) -> DataFrame:
     """Vendor rows to typed raw applications (plus the vendor ``external_id``)."""
-    return drop_unusable(parsed_fields(raw, data_source, explicit_default, usable_only=True)) \
-        .select("external_id", *RAW_APPLICATION_COLUMNS)
+    p = parsed_fields(raw, data_source, explicit_default, usable_only=True)
+    # the B15 filter already ran inside; only the infinity-to-NULL projection is left
+    doubles = [f.name for f in p.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    p = p.select(*[finite_or_null(F.col(c)).alias(c) if c in doubles else F.col(c) for c in p.columns])
+    return p.select("external_id", *RAW_APPLICATION_COLUMNS)
 
 
 # B16 -------------------------------------------------------------------------
