@@ -67,7 +67,7 @@ def drift_blocks(src: str = "snapshot", feats=FEATS, variant: str = "monitor") -
                "FROM vals GROUP BY feature, value"),
         ("kc", "SELECT *, sum(r) OVER w AS cum_r, sum(c) OVER w AS cum_c, sum(r) OVER (PARTITION BY feature) AS tot_r, "
                "sum(c) OVER (PARTITION BY feature) AS tot_c FROM kv WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING)"),
-        ("ks0", "SELECT feature, max(tot_r) AS n_ref, max(tot_c) AS n_cur, max(abs(cum_r * 1.0e0 / tot_r - cum_c * 1.0e0 / tot_c)) AS d "
+        ("ks0", "SELECT feature, CAST(max(tot_r) AS BIGINT) AS n_ref, CAST(max(tot_c) AS BIGINT) AS n_cur, max(abs(cum_r * 1.0e0 / tot_r - cum_c * 1.0e0 / tot_c)) AS d "
                 "FROM kc GROUP BY feature"),
         ("ks", "SELECT feature, n_ref, n_cur, d AS ks_statistic, CASE WHEN lam < 0.2e0 THEN 1.0e0 ELSE least(greatest(list_sum("
                "list_transform(range(1, 101), lambda k: CASE WHEN k % 2 = 1 THEN 1.0e0 ELSE -1.0e0 END * 2.0e0 * exp(-2.0e0 * k * k * lam * lam))), "

@@ -17,8 +17,8 @@ SCORE_COUNTS = [
     ("sc", "SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg, "
            "sum(pos) OVER (PARTITION BY segment) AS tot_pos, sum(neg) OVER (PARTITION BY segment) AS tot_neg "
            "FROM sc0 WINDOW w AS (PARTITION BY segment ORDER BY s ROWS UNBOUNDED PRECEDING)"),
-    ("th", "SELECT *, tot_pos - (cum_pos - pos) AS tp, tot_neg - (cum_neg - neg) AS fp, "
-           "cum_pos - pos AS fn, cum_neg - neg AS tn FROM sc"),
+    ("th", "SELECT *, CAST(tot_pos - (cum_pos - pos) AS BIGINT) AS tp, CAST(tot_neg - (cum_neg - neg) AS BIGINT) AS fp, "
+           "CAST(cum_pos - pos AS BIGINT) AS fn, CAST(cum_neg - neg AS BIGINT) AS tn FROM sc"),
 ]
 EPS = "2.220446049250313e-16"
 _prec = "(tp * 1.0e0 / (tp + fp))"
@@ -27,7 +27,7 @@ _tp_prev, _fp_prev = "(tp - pos)", "(fp - neg)"
 _prec_prev = f"(CASE WHEN {_tp_prev} + {_fp_prev} > 0 THEN {_tp_prev} * 1.0e0 / ({_tp_prev} + {_fp_prev}) ELSE 1.0e0 END)"
 _scl = f"(CASE WHEN s < {EPS} THEN {EPS} WHEN s > 1 - {EPS} THEN 1 - {EPS} ELSE s END)"
 BINARY_SQL = f"""
-SELECT segment, n_pos + n_neg AS n,
+SELECT segment, CAST(n_pos + n_neg AS BIGINT) AS n,
   CASE WHEN n_pos > 0 AND n_neg > 0 THEN auc_num / (n_pos * n_neg) END AS auc_roc,
   2 * (CASE WHEN n_pos > 0 AND n_neg > 0 THEN auc_num / (n_pos * n_neg) END) - 1 AS gini,
   CASE WHEN n_pos > 0 THEN ap_num / n_pos END AS auc_pr,
@@ -284,7 +284,7 @@ PERF_SQL = with_ctes(["scored_r"], [
            "sum(neg) OVER g AS tot_neg FROM sc0 WINDOW w AS (PARTITION BY model_version, period ORDER BY s ROWS UNBOUNDED PRECEDING), "
            "g AS (PARTITION BY model_version, period)"),
     ("th", "SELECT *, tot_pos - (cum_pos - pos) AS tp, tot_neg - (cum_neg - neg) AS fp FROM sc"),
-    ("m", f"""SELECT model_version, period, max(tot_pos) + max(tot_neg) AS n,
+    ("m", f"""SELECT model_version, period, CAST(max(tot_pos) + max(tot_neg) AS BIGINT) AS n,
   CASE WHEN max(tot_pos) > 0 AND max(tot_neg) > 0 THEN sum(pos * (cum_neg - 0.5e0 * neg)) / (max(tot_pos) * max(tot_neg)) END AS auc_roc,
   CASE WHEN max(tot_pos) > 0 THEN sum(pos * {_prec}) / max(tot_pos) END AS auc_pr,
   sum(pos * (s - 1.0e0) * (s - 1.0e0) + neg * s * s) / (max(tot_pos) + max(tot_neg)) AS brier,

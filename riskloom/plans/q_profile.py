@@ -31,7 +31,7 @@ def _apps(spark, sf_dir):
 
 
 @register("yearly_default", with_ctes(["applications_v"], [], f"""
-SELECT year(application_date) AS year, count(*) AS n_loans, round(avg({Y}), 6) AS default_rate,
+SELECT CAST(year(application_date) AS INT) AS year, count(*) AS n_loans, round(avg({Y}), 6) AS default_rate,
   CAST(sum({Y}) AS BIGINT) AS n_defaults FROM applications_v GROUP BY 1"""))
 def q_yearly(spark, sf_dir):
     """loans, default rate and defaults by year."""
@@ -42,7 +42,7 @@ def q_yearly(spark, sf_dir):
 SELECT CAST(year(application_date) AS VARCHAR) || 'Q' || CAST(quarter(application_date) AS VARCHAR) AS quarter,
   count(*) AS n, avg({Y}) AS dr FROM applications_v
 WHERE application_date BETWEEN DATE '{STABLE[0]}' AND DATE '{STABLE[1]}' GROUP BY 1""")], """
-SELECT count(*) AS n_quarters, sum(n) AS n_loans, round(avg(dr), 6) AS mean_dr, round(stddev_samp(dr), 6) AS std_dr,
+SELECT count(*) AS n_quarters, CAST(sum(n) AS BIGINT) AS n_loans, round(avg(dr), 6) AS mean_dr, round(stddev_samp(dr), 6) AS std_dr,
   round(stddev_samp(dr) / avg(dr), 6) AS cv FROM q"""))
 def q_quarterly(spark, sf_dir):
     """coefficient of variation of quarterly default rates in the stable window."""

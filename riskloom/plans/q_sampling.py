@@ -160,7 +160,7 @@ def q_fixed_bucket(spark, sf_dir):
 
 
 @register("instalment_schedule", with_ctes(["applications_v"], [], """
-SELECT application_id, m, CAST(application_date - to_months(n_pay - m) - to_days(CAST(off AS INT)) AS DATE) AS payment_date,
+SELECT application_id, CAST(m AS INT) AS m, CAST(application_date - to_months(n_pay - m) - to_days(CAST(off AS INT)) AS DATE) AS payment_date,
   floor((CASE WHEN monthly < 0 THEN 0.0e0 WHEN monthly > 1.0e9 THEN 1.0e9 ELSE monthly END) * 100.0e0 + 0.5e0) / 100.0e0 AS amount_due
 FROM (SELECT application_id, application_date, least(12, greatest(coalesce(loan_term, 36), 1)) AS n_pay, 1 + application_id % 30 AS off,
   coalesce(loan_amount / least(12, greatest(coalesce(loan_term, 36), 1)), 0.0e0) AS monthly FROM applications_v) a,
