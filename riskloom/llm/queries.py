@@ -29,3 +29,25 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
     return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op9_warc", """
+with p as (select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as n from pages),
+g as (select *, min(page_id) over (partition by html) as first from p)
+select page_id, n as payload_bytes, sha256(html) as payload_digest,
+       case when n >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+       case when n >= 100 and page_id <> first then first end as refers_to
+from g""")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import warc_round_trip
+
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
+@register("op1_bpe")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import bpe_round_trip
+
+    return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
