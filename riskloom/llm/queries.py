@@ -51,3 +51,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import bpe_round_trip
 
     return bpe_round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@register("op2_decontam")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contamination_report
+
+    return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
