@@ -10,6 +10,7 @@ Conventions of every operator in this subpackage:
 
 from __future__ import annotations
 
+import os
 import uuid
 
 import numpy as np
@@ -23,7 +24,16 @@ from riskloom.session import checkpoint_dir
 BUCKET_BITS = 16  # positions of the repeat filter travel as 16-bit offsets inside buckets of 65,536 bits
 
 
+def prepare(spark: SparkSession) -> None:
+    """Python workers find this package where the driver found it (a cluster may also get it by --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

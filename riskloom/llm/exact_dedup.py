@@ -36,7 +36,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
     maybe = probed.where("possible").drop("possible")
-    groups = maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    grouped = maybe.join(groups, "text_sha256").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    # real groups only, as a table of their own: the join below then sits right on its exchanges and a hot digest's
+    # rows are split over tasks
+    groups = materialise(maybe.groupBy("text_sha256").agg(F.max("doc_id").alias("keep"), F.count("*").alias("n"))
+                         .where("n > 1"), "exact-groups")
+    keep_id = F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
+    grouped = maybe.join(groups, "text_sha256", "left").select(
+        "doc_id", keep_id.alias("keep_id"), F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
+        F.col("doc_id").eqNullSafe(keep_id).alias("kept"), "text_sha256")
     return unique.unionByName(grouped)

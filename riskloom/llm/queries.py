@@ -58,3 +58,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contamination_report
 
     return contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .simhash import simhash_components
+
+    out = simhash_components(table(spark, sf_dir, "documents"), size=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
