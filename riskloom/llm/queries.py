@@ -68,3 +68,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = simhash_components(table(spark, sf_dir, "documents"), size=3)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op8_langid")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .langid import identify, learn
+
+    docs = table(spark, sf_dir, "documents")
+    # a null doc_id has no remainder; it counts as training data
+    held = lambda c: F.coalesce(F.crc32(c.cast("string")) % 4 == 2, F.lit(False))
+    model = learn(docs.where(~held(F.col("doc_id"))))
+    out = identify(docs, model)
+    return out.select("doc_id", held(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
