@@ -82,3 +82,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn(docs.where(~held(F.col("doc_id"))))
     out = identify(docs, model)
     return out.select("doc_id", held(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@register("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

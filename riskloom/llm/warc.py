@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, scratch, shuffle_width
+from .common import materialise, scratch
 
 MAGIC = 0x184D2A5D
 READ_SCHEMA = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
@@ -108,8 +108,8 @@ def plan_records(pages: DataFrame, min_revisit: int) -> DataFrame:
                                         F.count_if(F.col("page_id").isNull()).alias("nulls")) \
         .where("copies > 1").select("digest", F.when(F.col("nulls") > 0, F.lit(None)).otherwise(F.col("first")).alias("first"),
                                     F.lit(True).alias("grouped"))
-    # only digests, not pages, decide; each page row then meets at most one group row
-    out = base.join(firsts, "digest", "left")
+    # only digests, not pages, decide; each page row then meets at most one row of the table of repeated digests
+    out = base.join(materialise(firsts, "warc-groups"), "digest", "left")
     revisit = F.coalesce(F.col("grouped"), F.lit(False)) & ~F.col("page_id").eqNullSafe(F.col("first"))
     return out.select("page_id", "url", "digest", "n", F.when(~revisit, F.col("html")).alias("html"),
                       F.when(revisit, F.col("first")).alias("refers_to"))
@@ -154,10 +154,9 @@ def write_warc(pages: DataFrame, folder: str, min_revisit: int = 100, archive_by
         if held:
             yield close()
 
-    plan = plan_records(pages, min_revisit)
-    # a fixed placing and order, so that a retried task writes the same archives
-    placed = plan.repartition(shuffle_width(pages.sparkSession), "page_id", "url").sortWithinPartitions(
-        "page_id", "url", "digest")
+    # the records stay where the join put them (pages move once at most); their fixed order inside a partition lets a
+    # retried task write the same archives
+    placed = plan_records(pages, min_revisit).sortWithinPartitions("page_id", "url", "digest")
     return placed.mapInArrow(write, "name string, records long, raw_bytes long, stored_bytes long")
 
 
