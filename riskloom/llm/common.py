@@ -162,3 +162,14 @@ class RepeatFilter:
 
 def sha256_hex(col):
     return F.sha2(F.coalesce(col, F.lit("")), 256)
+
+
+BROADCAST_ROWS = 500_000
+
+
+def join_checked(big: DataFrame, small: DataFrame, on, how: str = "inner", row_bytes: int = 64) -> DataFrame:
+    """Join with a table written to the shared folder: broadcast if it is measured to be small, else a shuffled join
+    whose hot keys adaptive execution splits.  ``row_bytes`` is an upper bound of a row of ``small``."""
+    if small.limit(BROADCAST_ROWS * 64 // row_bytes + 1).count() <= BROADCAST_ROWS * 64 // row_bytes:
+        small = F.broadcast(small)
+    return big.join(small, on, how)

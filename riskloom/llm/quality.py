@@ -29,6 +29,7 @@ STATS = 16
 SOURCES, LANGS, LENGTHS = 32, 16, 16
 META = SOURCES + LANGS + LENGTHS
 PIECE = 1 << 20
+THRESHOLD = 0.25  # a document is rejected below it; losing a clean one costs more than keeping a doubtful one
 
 
 def text_features(text: str | None) -> np.ndarray:
@@ -203,7 +204,7 @@ def with_scores(docs: DataFrame, model, out_col: str = "quality_scores") -> Data
     return docs.withColumn(out_col, score("text", "source", "lang", F.col("n_chars").cast("double")))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """doc_id, text_score, meta_score, score, kept for every document."""
     out = with_scores(docs.select("doc_id", "text", "source", "lang", "n_chars"), train(docs, labels, **options), "s")
     return out.select("doc_id", "s.text_score", "s.meta_score", "s.score", (F.col("s.score") >= threshold).alias("kept"))

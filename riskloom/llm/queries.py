@@ -89,3 +89,36 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import classify
 
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op4_line_dedup", """
+with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+e as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as i, len(ls) as n from l),
+h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as h from e),
+r as (select *, (h + 31 * coalesce(lag(h) over (partition by doc_id order by i), 0)) % 3 = 0 or i = n as is_end from h),
+c as (select *, coalesce(sum(is_end::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as pos from r),
+k as (select doc_id, pos, string_agg(line, chr(10) order by i) as body, count(*) as lines,
+             count(*) filter (trim(line, ' ') <> '') as filled from c group by doc_id, pos),
+m as (select *, filled >= 2 and row_number() over (partition by body order by doc_id, pos) > 1 as gone from k)
+select doc_id, sum(lines) as n_lines, coalesce(sum(lines) filter (gone), 0) as n_removed_lines,
+       count(*) filter (gone) as n_removed_chunks,
+       sha256(coalesce(string_agg(body, chr(10) order by pos) filter (not gone), '')) as kept_sha256
+from m group by doc_id""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .common import sha256_hex
+    from .line_dedup import line_dedup
+
+    out = line_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", *[F.col(f"line_dedup.{c}").cast("long").alias(c) for c in ("n_lines", "n_removed_lines", "n_removed_chunks")],
+                      sha256_hex(F.col("text")).alias("kept_sha256"))
+
+
+@register("op10_chunk_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chunk_dedup import chunk_dedup
+    from .common import sha256_hex
+
+    out = chunk_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", sha256_hex("text").alias("kept_sha256"))
