@@ -56,7 +56,8 @@ def bodies(rows: DataFrame) -> DataFrame:
 
 def repeated_chunks(rows: DataFrame, min_lines: int) -> DataFrame:
     """(doc_id, text_key, removed positions) per document that loses chunks.  ``rows`` have ``_chunks``."""
-    each = rows.select("doc_id", "text_key", F.posexplode("_chunks").alias("pos", "c")).where(F.col("c.filled") >= min_lines) \
+    # every text has a chunk; the outer form keeps the optimizer from testing that by computing all chunks beforehand
+    each = rows.select("doc_id", "text_key", F.posexplode_outer("_chunks").alias("pos", "c")).where(F.col("c.filled") >= min_lines) \
         .select("doc_id", "text_key", "pos", F.col("c.body").alias("body"), F.md5("c.body").alias("digest"))
     place = F.struct("doc_id", "pos", "text_key")
     # digests only; each task sends one row per digest it meets
