@@ -122,3 +122,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = chunk_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", sha256_hex("text").alias("kept_sha256"))
+
+
+@register("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .suffix_dedup import suffix_dedup
+
+    out = suffix_dedup(table(spark, sf_dir, "documents"), length=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
