@@ -183,6 +183,11 @@ def groups(col: pa.Array):
         i = j
 
 
+def id_lists(ids: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int32)))
+
+
 def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str = "ids") -> DataFrame:
     """``docs`` with an array<int> column of token ids (replaced if the name is taken)."""
     keep = [c for c in docs.columns if c != out_col]
@@ -193,10 +198,7 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str
             text = b.column(keep.index(text_col))
             for i, j in groups(text):
                 ids, _ = load(path).encode([t or "" for t in text[i:j].to_pylist()])
-                lens = np.fromiter(map(len, ids), np.int64, len(ids))
-                flat = pa.array(np.concatenate(ids).astype(np.int32) if len(ids) else np.empty(0, np.int32))
-                col = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(lens)).astype(np.int32)), flat)
-                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, col], names=[*keep, out_col])
+                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, id_lists(ids)], names=[*keep, out_col])
 
     return docs.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
 
@@ -215,18 +217,21 @@ def bpe_decode(ids: DataFrame, path: str, ids_col: str = "ids", out_col: str = "
     return ids.select(*[F.col(f"`{c}`") for c in keep]).mapInArrow(run, schema)
 
 
-def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode every whole text, decode the ids, and return counts and digests of both; no shuffle."""
+def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """Encode every whole text, decode the ids, and return counts and digests of both (and the ids); no shuffle."""
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    names = [x.split()[0] for x in schema.split(", ")]
+
     def run(batches):
         for b in batches:
             bpe = load(path)
             for i, j in groups(b.column(1)):
                 ids, joined = bpe.encode([t or "" for t in b.column(1)[i:j].to_pylist()])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[i:j], pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([hashlib.sha256(x.encode()).hexdigest() for x in joined]),
-                     pa.array([hashlib.sha256(bpe.decode(x).encode("utf-8")).hexdigest() for x in ids])],
-                    names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+                cols = [b.column(0)[i:j], pa.array([len(x) for x in ids], pa.int64()),
+                        pa.array([hashlib.sha256(x.encode()).hexdigest() for x in joined]),
+                        pa.array([hashlib.sha256(bpe.decode(x).encode("utf-8")).hexdigest() for x in ids])]
+                if with_ids:
+                    cols.append(id_lists(ids))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, schema)

@@ -71,9 +71,9 @@ def repeated_chunks(rows: DataFrame, min_lines: int) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-               divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
-    """All columns of ``docs``, the text without repeated chunks, and the struct ``line_dedup`` (n_lines,
-    n_removed_lines, n_removed_chunks)."""
+               divisor: int = DIVISOR, min_lines: int = MIN_LINES, out_col: str = "line_dedup") -> DataFrame:
+    """All columns of ``docs``, the text without repeated chunks, and the struct ``out_col`` (n_lines, n_removed_lines,
+    n_removed_chunks), which takes the place of a column of that name."""
     keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("text_key"))
     gone = repeated_chunks(bodies(chunked(keyed.drop("_row"), window, divisor)), min_lines)
@@ -91,5 +91,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.size(F.split(F.coalesce("text", F.lit("")), NEWLINE, -1)).alias("n_lines"), F.lit(0).alias("n_removed_lines"),
         F.lit(0).alias("n_removed_chunks")).alias("_report"))
     out = whole.unionByName(cut)
-    return out.select(*[(F.col("_text") if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c != "line_dedup"],
-                      F.col("_report").alias("line_dedup"))
+    return out.select(*[(F.col("_text") if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c != out_col],
+                      F.col("_report").alias(out_col))
