@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RepeatFilter, column_bytes, join_checked, materialise, mix64
+from .common import RepeatFilter, column_bytes, materialise, mix64
 
 MIN_SIZE, BITS, MAX_SIZE, MIN_RUN = 32, 5, 512, 100
 PIECE = 4 << 20
@@ -132,7 +132,8 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"))
     spans = repeated_spans(src, log2_bits, min_size=min_size, bits=bits, max_size=max_size)
     spans = spans.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "spans")
-    rows = join_checked(src, spans, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left", row_bytes=512)
+    # spans grow with the documents, so this is a shuffled join at every size
+    rows = src.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
 
     def run(batches):
         for b in batches:
