@@ -148,3 +148,8 @@ REPORT_THRESHOLDS = [0.05, 0.15, 0.30]
 COST_FP = 100.0
 COST_FN = 5000.0
 MIN_AUC_FOR_REGISTRATION = 0.70
+
+
+# Alert texts (feature, PSI, threshold, periods)
+DRIFT_ALERT = "🚨 Feature drift detected\nFeature: %s\nPSI: %.4f (threshold: %s)\nCurrent: %s → %s\nReference: %s → %s"
+DRIFT_WARNING = "⚠️ Feature drift warning\nFeature: %s\nPSI: %.4f (warning: %s)"

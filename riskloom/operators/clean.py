@@ -49,12 +49,6 @@ def drop_footer(df: DataFrame, id_col: str = "id") -> DataFrame:
     return df.where(~F.coalesce(F.col(id_col).cast("string").rlike("(?i)total|loans"), F.lit(False)))
 
 
-def _num(df: DataFrame, name: str) -> Column:
-    if name not in df.columns:
-        return F.lit(None).cast("double")
-    return clean_numeric(F.col(name), df.schema[name].dataType)
-
-
 def _plain_num(df: DataFrame, name: str) -> Column:
     """Numeric without the %/, stripping (the inquiries rule)."""
     if name not in df.columns:
@@ -246,12 +240,17 @@ def parsed_fields(raw: DataFrame, data_source: str = "vendor", explicit_default:
     return st.select(*[c.alias(n) for n, c in cols.items()])
 
 
+def usable() -> Column:
+    """Loan, income and date present, both amounts above zero."""
+    return (F.col("loan_amount").isNotNull() & F.col("income").isNotNull() & F.col("application_date").isNotNull()
+            & (F.col("loan_amount") > 0) & (F.col("income") > 0))
+
+
 def drop_unusable(df: DataFrame) -> DataFrame:
     """Infinities to NULL; loan, income and date present; loan > 0 and income > 0."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     df = df.select(*[finite_or_null(F.col(c)).alias(c) if c in doubles else F.col(c) for c in df.columns])
-    return df.where(F.col("loan_amount").isNotNull() & F.col("income").isNotNull() & F.col("application_date").isNotNull()
-                    & (F.col("loan_amount") > 0) & (F.col("income") > 0))
+    return df.where(usable())
 
 
 def applications(raw: DataFrame, data_source: str = "vendor", explicit_default: bool | None = None) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
+from ..session import materialise
 from . import orderstat
 
 
@@ -50,54 +51,55 @@ def window_values(df: DataFrame, win: DataFrame, features: Sequence[str], date_c
 
 
 # ------------------------------------------------------------------- J2, J3
-def _edges(values: DataFrame, n_bins: int, by: Sequence[str]) -> DataFrame:
-    probs = [i / n_bins for i in range(n_bins + 1)]
-    q = orderstat.exact_quantiles(values, "value", probs, by=by)
-    return q.groupBy(*by).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-
-
-def _bin(value: Column, edges: Column) -> Column:
-    """np.histogram bin of ``value`` over unique sorted ``edges``: [e_i, e_i+1), last bin closed;
-    NULL outside [e_0, e_last]."""
-    m = F.size(edges)
-    idx = F.size(F.filter(edges, lambda e: e <= value)) - 1
-    return F.when((value < edges[0]) | (value > F.element_at(edges, -1)), F.lit(None)) \
-        .when(value == F.element_at(edges, -1), m - 2).otherwise(idx)
+def window_sums(values: DataFrame, by: Sequence[str] = ("feature",), n_buckets: int | None = None) -> DataFrame:
+    """Running 'ref' and 'cur' counts per distinct value: what PSI deciles, PSI bins and KS all read."""
+    base = values.select(*by, F.col("value").alias("_v"),
+                         (F.col("window") == "ref").cast("long").alias("r"),
+                         (F.col("window") == "cur").cast("long").alias("c"))
+    return orderstat.prefix_sums(base, "_v", ["r", "c"], by, n_buckets)
 
 
 def psi(values: DataFrame, by: Sequence[str] = ("feature",), n_bins: int = K.PSI_BINS,
-        variant: str = "monitor") -> DataFrame:
+        variant: str = "monitor", sums: DataFrame | None = None) -> DataFrame:
     """Population stability index of the 'cur' window against the 'ref' window.
 
     ``values``: (by..., window in {'ref','cur'}, value).  ``monitor`` (J2): shares
     of the in-range counts, fewer than 10 values or fewer than 2 edges give 0.
     ``eda`` (J3): shares of all values, fewer than 50 values or 2 edges give NULL.
+
+    Bins are numpy histogram bins over the reference deciles: [e_i, e_i+1), the last one closed.  A bin's count is
+    the difference of the running counts at its edges, so the values are sorted once and never joined to the edges.
     """
     by = list(by)
-    ref = values.where(F.col("window") == "ref")
-    edges = _edges(ref, n_bins, by)
-    n = values.groupBy(*by).agg(F.count(F.when(F.col("window") == "ref", 1)).alias("n_ref"),
-                                F.count(F.when(F.col("window") == "cur", 1)).alias("n_cur"))
-    # edges: (features x n_bins) values; adaptive execution broadcasts the measured side
-    binned = values.join(edges, by, "inner").select(*by, "window", _bin(F.col("value"), F.col("edges")).alias("bin"))
-    counts = binned.where(F.col("bin").isNotNull()).groupBy(*by, "bin").agg(
-        F.count(F.when(F.col("window") == "ref", 1)).alias("c_ref"),
-        F.count(F.when(F.col("window") == "cur", 1)).alias("c_cur"))
-    tot = counts.groupBy(*by).agg(F.sum("c_ref").alias("in_ref"), F.sum("c_cur").alias("in_cur"))
-    j = counts.join(tot, by, "inner").join(n, by, "inner")
+    ps = window_sums(values, by) if sums is None else sums
+    probs = [i / n_bins for i in range(n_bins + 1)]
+    edges = orderstat.edge_map(orderstat.quantiles_of_sums(ps, probs, by, "_v", "r"), by)
+    e = F.col("_edges")[orderstat.group_key(by)]
+    at = ps.withColumn("_edges", edges).withColumn("_e", e).drop("_edges")
+    # counts below each edge (up to the last one inclusive); NULL where the group has fewer edges
+    last = F.element_at("_e", -1)
+    below = lambda i, c: F.max(F.when((F.col("_v") < F.get("_e", F.lit(i))) |
+                                      ((F.col("_v") == last) & (F.get("_e", F.lit(i)) == last)), F.col(c)))
+    g = at.groupBy(*by).agg(
+        F.first("tot_r").alias("n_ref"), F.first("tot_c").alias("n_cur"), F.first("_e").alias("_e"),
+        *[F.coalesce(below(i, f"cum_{c}"), F.lit(0)).alias(f"_{c}{i}") for c in ("r", "c") for i in range(n_bins + 1)])
+    m = F.coalesce(F.size("_e"), F.lit(0))
+    total = lambda c: F.get(F.array(*[F.col(f"_{c}{i}") for i in range(n_bins + 1)]), m - 1) - F.col(f"_{c}0")
+    g = g.withColumn("in_ref", total("r")).withColumn("in_cur", total("c"))
     if variant == "eda":
-        rp, cp = F.col("c_ref") / F.col("n_ref"), F.col("c_cur") / F.col("n_cur")
+        dr, dc = F.col("n_ref"), F.col("n_cur")
     else:
-        rp = F.col("c_ref") / F.greatest(F.col("in_ref"), F.lit(1))
-        cp = F.col("c_cur") / F.greatest(F.col("in_cur"), F.lit(1))
-    rp = F.greatest(rp, F.lit(K.PSI_FLOOR))
-    cp = F.greatest(cp, F.lit(K.PSI_FLOOR))
-    terms = j.groupBy(*by).agg(F.sum((cp - rp) * F.log(cp / rp)).alias("_psi"))
-    out = n.join(edges, by, "left").join(terms, by, "left")
+        dr, dc = F.greatest(F.col("in_ref"), F.lit(1)), F.greatest(F.col("in_cur"), F.lit(1))
+    terms = F.lit(0.0)
+    for i in range(n_bins):
+        cr, cc = F.col(f"_r{i + 1}") - F.col(f"_r{i}"), F.col(f"_c{i + 1}") - F.col(f"_c{i}")
+        rp = F.greatest(F.try_divide(cr, dr), F.lit(K.PSI_FLOOR))
+        cp = F.greatest(F.try_divide(cc, dc), F.lit(K.PSI_FLOOR))
+        terms = terms + F.when((m > i + 1) & (cr + cc > 0), (cp - rp) * F.log(cp / rp)).otherwise(0.0)
     enough = 50 if variant == "eda" else 10
-    ok = (F.col("n_ref") >= enough) & (F.col("n_cur") >= enough) & (F.coalesce(F.size("edges"), F.lit(0)) >= 2)
+    ok = (F.col("n_ref") >= enough) & (F.col("n_cur") >= enough) & (m >= 2)
     fallback = F.lit(None).cast("double") if variant == "eda" else F.lit(0.0)
-    return out.select(*by, "n_ref", "n_cur", F.when(ok, F.coalesce(F.col("_psi"), F.lit(0.0))).otherwise(fallback).alias("psi"))
+    return g.select(*by, "n_ref", "n_cur", F.when(ok, terms).otherwise(fallback).alias("psi"))
 
 
 def psi_level(p: Column, levels: Sequence[float] = K.PSI_EDA_LEVELS) -> Column:
@@ -115,13 +117,11 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
     return F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
 
 
-def ks_two_sample(values: DataFrame, by: Sequence[str] = ("feature",), n_buckets: int | None = None) -> DataFrame:
+def ks_two_sample(values: DataFrame, by: Sequence[str] = ("feature",), n_buckets: int | None = None,
+                  sums: DataFrame | None = None) -> DataFrame:
     """Two-sample KS statistic (max ECDF gap of 'ref' vs 'cur') and its asymptotic p-value."""
     by = list(by)
-    base = values.select(*by, F.col("value").alias("v"),
-                         (F.col("window") == "ref").cast("long").alias("r"),
-                         (F.col("window") == "cur").cast("long").alias("c"))
-    ps = orderstat.prefix_sums(base, "v", ["r", "c"], by, n_buckets)
+    ps = window_sums(values, by, n_buckets) if sums is None else sums
     g = ps.groupBy(*by).agg(
         F.first("tot_r").alias("n_ref"), F.first("tot_c").alias("n_cur"),
         F.max(F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))).alias("_d"))
@@ -141,8 +141,10 @@ def check(df: DataFrame, win: DataFrame, features: Sequence[str] = DRIFT_FEATURE
     at least ``min_rows`` rows; drifted above 0.15, warning above 0.10."""
     feats = [f for f in features if f in df.columns]
     vals = window_values(df, win, feats, date_col)
-    p = psi(vals)
-    ks = ks_two_sample(vals)
+    # one sort of the values serves the deciles, the bins and the ECDFs; it is written once to the shared folder
+    sums = materialise(window_sums(vals), "drift-sums")
+    p = psi(vals, sums=sums)
+    ks = ks_two_sample(vals, sums=sums)
     w = win.select(F.struct("reference_start", "reference_end", "current_start", "current_end").alias("w")).scalar()
     d = F.col(date_col)
     rows = df.withColumn("_w", w).agg(
@@ -168,11 +170,9 @@ def alerts(drift: DataFrame) -> DataFrame:
     """One pending alert message per drifted or warned feature."""
     cur = F.split(F.col("current_period"), "/")
     ref = F.split(F.col("reference_period"), "/")
-    drifted = F.format_string("\U0001F6A8 Feature drift detected\nFeature: %s\nPSI: %.4f (threshold: %s)\nCurrent: %s → %s\n"
-                              "Reference: %s → %s", F.col("feature_name"), F.col("psi_value"), F.lit(str(K.PSI_THRESHOLD)),
+    drifted = F.format_string(K.DRIFT_ALERT, F.col("feature_name"), F.col("psi_value"), F.lit(str(K.PSI_THRESHOLD)),
                               cur[0], cur[1], ref[0], ref[1])
-    warned = F.format_string("⚠️ Feature drift warning\nFeature: %s\nPSI: %.4f (warning: %s)",
-                             F.col("feature_name"), F.col("psi_value"), F.lit(str(K.PSI_WARNING)))
+    warned = F.format_string(K.DRIFT_WARNING, F.col("feature_name"), F.col("psi_value"), F.lit(str(K.PSI_WARNING)))
     msg = F.when(F.col("is_drifted"), drifted).otherwise(warned)
     return drift.where(F.col("is_drifted") | F.col("is_warning")).select(
         "feature_name", "check_date", F.substring(msg, 1, 4000).alias("message"), F.lit("pending").alias("status"),

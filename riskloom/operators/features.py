@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions.expr import clip, col_or_null, finite_or_null, log1p_clip, nullif_zero_ratio, right_closed_bucket, safe_ratio
+from ..session import materialise
 from . import orderstat
 
 
@@ -265,18 +266,24 @@ def target_fit_fallback(df: DataFrame, cutoff: str, cols: Sequence[str] = K.CATE
     return enc, mean
 
 
+MAP_ROWS = 200_000  # rows of an encoding map that may be broadcast (about 10 MB)
+
+
 def target_apply(df: DataFrame, enc: DataFrame, mean: DataFrame, cols: Sequence[str] = K.CATEGORICAL_FEATURES,
                  suffix: str = "_target_enc") -> DataFrame:
     """Category to its encoding, unseen or NULL category to the global mean.
 
-    The map is joined without a hint: adaptive execution turns the join into a
-    broadcast when the measured map is small and keeps a shuffle join otherwise.
+    The map is written to the shared folder and its rows counted: up to ``MAP_ROWS`` rows it is broadcast, so the loans
+    are not shuffled on a handful of category values; a larger map (many categories, hence no hot ones by necessity)
+    is joined by a shuffle whose skew adaptive execution splits.
     """
     g = mean.select("global_mean").scalar()  # one-row scalar subquery
+    enc = materialise(enc.select("column", "category", "encoded"), "encoding-map")
+    small = enc.limit(MAP_ROWS + 1).count() <= MAP_ROWS
     out = df
     for c in cols:
         m = enc.where(F.col("column") == c).select(F.col("category").alias(f"_cat_{c}"), F.col("encoded").alias(f"_enc_{c}"))
-        out = out.join(m, out[c].cast("string") == m[f"_cat_{c}"], "left") \
+        out = out.join(F.broadcast(m) if small else m, out[c].cast("string") == m[f"_cat_{c}"], "left") \
             .withColumn(f"{c}{suffix}", F.coalesce(F.col(f"_enc_{c}"), g)) \
             .drop(f"_cat_{c}", f"_enc_{c}")
     return out

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .. import constants as K
 from ..functions.expr import clip, risk_bucket
+from ..session import cut_lineage
 from . import metrics as M
 from . import orderstat, sampling
 
@@ -86,9 +87,9 @@ def auc_of(scored: DataFrame, y: str = "y", p: str = "pd_score") -> float | None
 
 # ----------------------------------------------------------------- K3, K5
 SEARCH_SPACE = {
-    "gbt": {"n_estimators": ("int", 20, 80), "learning_rate": ("log", 0.01, 0.2), "max_depth": ("int", 3, 6),
+    "gbt": {"n_estimators": ("int", 200, 800), "learning_rate": ("log", 0.01, 0.2), "max_depth": ("int", 3, 6),
             "subsample": ("float", 0.6, 1.0)},
-    "rf": {"n_estimators": ("int", 20, 80), "max_depth": ("int", 4, 10), "subsample": ("float", 0.6, 1.0)},
+    "rf": {"n_estimators": ("int", 200, 800), "max_depth": ("int", 4, 10), "subsample": ("float", 0.6, 1.0)},
     "logistic": {"reg": ("log", 1e-4, 1.0), "l1_ratio": ("float", 0.0, 1.0)},
 }
 
@@ -122,24 +123,28 @@ def search(train: DataFrame, val: DataFrame, kind: str, features: Sequence[str],
 
 
 def train_segment(dataset: DataFrame, features: Sequence[str], kinds: Sequence[str] = ("logistic", "rf", "gbt"),
-                  params: dict | None = None) -> tuple[str, PipelineModel, DataFrame]:
+                  params: dict | None = None, early_stopping: bool = False) -> tuple[str, PipelineModel, DataFrame]:
     """K3: per segment, fit every candidate on train, keep the best raw validation AUC.
 
-    Returns (best kind, its model, metrics table of all candidates).
+    With ``early_stopping`` the boosting learner sees the validation rows as its stopping set.
+    Returns (best kind, its model, metrics table of all candidates on the val and test rows).
     """
     params = params or {}
     train = dataset.where(F.col("split") == "train")
     val = dataset.where(F.col("split") == "val")
-    rows, models = [], {}
+    table, models, aucs = None, {}, {}
     for kind in kinds:
-        m = fit(train, kind, features, params.get(kind))
+        if kind == "gbt" and early_stopping:
+            rows = dataset.where(F.col("split").isin("train", "val")).withColumn("stopping_row", F.col("split") == "val")
+            m = fit(rows, kind, features, params.get(kind), validation_col="stopping_row")
+        else:
+            m = fit(train, kind, features, params.get(kind))
         models[kind] = m
-        mm = M.binary(score(m, val)).withColumn("model", F.lit(kind))
-        rows.append(mm)
-    table = rows[0]
-    for r in rows[1:]:
-        table = table.unionByName(r)
-    best = table.orderBy(F.col("auc_roc").desc_nulls_last(), "model").first()["model"]
+        for split, part in (("val", val), ("test", dataset.where(F.col("split") == "test"))):
+            mm = M.binary(score(m, part)).withColumn("model", F.lit(kind)).withColumn("split", F.lit(split))
+            table = mm if table is None else table.unionByName(mm)
+    table = cut_lineage(table)  # a few rows; the fits behind them are not scored again
+    best = table.where(F.col("split") == "val").orderBy(F.col("auc_roc").desc_nulls_last(), "model").first()["model"]
     return best, models[best], table
 
 
@@ -184,7 +189,7 @@ def stack(dataset: DataFrame, features: Sequence[str], kinds: Sequence[str] = ("
     params = params or {}
     train = dataset.where(F.col("split") == "train")
     val = dataset.where(F.col("split") == "val")
-    f = sampling.time_series_folds(train, max_folds=folds)
+    f = cut_lineage(sampling.time_series_folds(train, max_folds=folds))  # read by every fold, learner and optimiser pass
     info = f.select("n_folds", "fold_size").first()
     k, ts = info["n_folds"], info["fold_size"]
     n = f.count()
@@ -198,12 +203,13 @@ def stack(dataset: DataFrame, features: Sequence[str], kinds: Sequence[str] = ("
             m = fit(f.where(F.col("row_idx") < start), kind, features, params.get(kind))
             s = score(m, f.where(F.col("test_fold") == i)).select("application_id", F.col("pd_score").alias(f"s_{kind}"))
             parts = s if parts is None else parts.unionByName(s)
+        parts = cut_lineage(parts)
         oof = oof.join(parts, "application_id", "left")
         mean = parts.agg(F.avg(f"s_{kind}")).scalar()
         oof = oof.withColumn(f"s_{kind}", F.coalesce(F.col(f"s_{kind}"), mean))
         bases.append(fit(train, kind, features, params.get(kind)))
     meta_cols = [f"s_{kind}" for kind in kinds]
-    meta = fit(oof, "logistic", meta_cols, weight=None)
+    meta = fit(cut_lineage(oof), "logistic", meta_cols, weight=None)
     v = val
     for kind, b in zip(kinds, bases):
         v = score(b, v, out=f"s_{kind}")
@@ -403,7 +409,7 @@ def learning_curve(dataset: DataFrame, features: Sequence[str], sizes: Sequence[
     """Metrics by training size (nested random subsets, G7) with the fit diagnosis."""
     train = dataset.where(F.col("split") == "train")
     val = dataset.where(F.col("split") == "val")
-    ranked = sampling.nested_sizes(train, sizes, order)
+    ranked = cut_lineage(sampling.nested_sizes(train, sizes, order))  # ordered once for all sizes
     rows = None
     for s in sorted(sizes):
         sub = ranked.where(F.col("rank") < s).drop("rank", "min_size")

@@ -20,19 +20,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
-
-# The bucket of a value is found by comparing it with every split point (a built-in
-# array filter), so the split count stays modest; each bucket still sorts only 1/n of
-# the distinct values and all heavy work before it is fully parallel.
-MAX_BUCKETS = 128
-
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
+    """Ranges per group: as many as the session shuffles into, so the width follows the cluster."""
     if n_buckets:
         return max(1, int(n_buckets))
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, min(MAX_BUCKETS, parts))
+    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
 def as_number(df: DataFrame, col: str):
@@ -45,22 +39,48 @@ def as_number(df: DataFrame, col: str):
     return F.col(col).cast("double")
 
 
-def range_bucket(df: DataFrame, order_col: str, n_buckets: int, out: str = "_bucket") -> DataFrame:
+def _count_below(splits: Column, value: Column, n: int, or_equal: bool = False) -> Column:
+    """Number of entries of the sorted array ``splits`` (at most ``n``) below ``value`` (or equal), by halving."""
+    steps = max(1, n).bit_length()
+    start = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
+
+    def halve(acc, _):
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        open_ = acc["lo"] < acc["hi"]
+        below = open_ & ((F.get(splits, mid) <= value) if or_equal else (F.get(splits, mid) < value))
+        return F.struct(F.when(below, mid + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(open_ & ~F.coalesce(below, F.lit(False)), mid).otherwise(acc["hi"]).alias("hi"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["lo"].cast("int")
+
+
+def group_key(by: Sequence[str]) -> Column:
+    """One string per group (each part with a mark that tells NULL from text)."""
+    return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in by])
+
+
+def range_bucket(df: DataFrame, order_col: str, n_buckets: int, out: str = "_bucket", by: Sequence[str] = ()) -> DataFrame:
     """Add an explicit range-bucket column (stable under re-planning).
 
-    The ``n - 1`` split points are approximate quantiles of ``order_col`` taken by a
-    scalar subquery inside the same plan (no driver round trip); a value's bucket is
-    the number of split points below it.
+    The ``n - 1`` split points are approximate quantiles of ``order_col``, taken per ``by`` group so that
+    groups of different scale are cut equally well, by a scalar subquery inside the same plan (no driver round
+    trip).  A value's bucket is the number of split points below it.  Groups are features, windows or models,
+    a bounded number; the subquery holds groups x (n - 1) numbers.
     """
     if n_buckets <= 1:
         return df.withColumn(out, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     num = as_number(df, order_col)
-    splits = df.agg(F.array_sort(F.array_distinct(F.percentile_approx(num, probs, 10000))).alias("s")).scalar()
-    tmp = "_bucket_in"
-    staged = df.withColumn(tmp, num).withColumn("_splits", splits)
-    return staged.withColumn(out, F.size(F.filter(F.col("_splits"), lambda x: x < F.col(tmp))).cast("int")) \
-        .drop(tmp, "_splits")
+    cuts = F.array_sort(F.array_distinct(F.percentile_approx(num, probs, 10000)))
+    if by:
+        per = df.groupBy(group_key(by).alias("_g")).agg(cuts.alias("_s"))
+        splits = per.agg(F.map_from_entries(F.collect_list(F.struct("_g", "_s"))).alias("s")).scalar()
+        staged = df.withColumn("_bucket_in", num).withColumn("_splits_of", splits) \
+            .withColumn("_splits", F.col("_splits_of")[group_key(by)]).drop("_splits_of")
+    else:
+        staged = df.withColumn("_bucket_in", num).withColumn("_splits", df.agg(cuts.alias("s")).scalar())
+    found = _count_below(F.col("_splits"), F.col("_bucket_in"), n_buckets)
+    return staged.withColumn(out, F.coalesce(found, F.lit(0))).drop("_bucket_in", "_splits")
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], by: Sequence[str] = (),
@@ -77,7 +97,7 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], by: Se
     else:
         agg = df.groupBy(*by, order_col).agg(*[F.sum(v).alias(v) for v in vals])
     nb = _n_buckets(df, n_buckets)
-    agg = range_bucket(agg, order_col, nb)
+    agg = range_bucket(agg, order_col, nb, by=by)
     totals = agg.groupBy(*by, "_bucket").agg(*[F.sum(v).alias(f"_bt_{v}") for v in vals])
     wo = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -99,36 +119,53 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], by: Se
     )
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    n_buckets: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles (numpy 'linear', SQL percentile_cont).
-
-    Returns (by..., p, q).  NULL values are ignored; a group with no value has no row.
-    """
+def quantiles_of_sums(ps: DataFrame, probs: Sequence[float], by: Sequence[str] = (), value: str = "_v",
+                      count: str = "_n") -> DataFrame:
+    """Exact linear-interpolated quantiles from the running counts of ``prefix_sums``: (by..., p, q)."""
     by = list(by)
-    counts = df.where(F.col(value_col).isNotNull()).select(*by, F.col(value_col).cast("double").alias("_v"),
-                                                            F.lit(1).cast("long").alias("_n"))
-    ps = prefix_sums(counts, "_v", ["_n"], by, n_buckets)
-    h = lambda p: (F.col("tot__n") - 1) * float(p)
+    h = lambda p: (F.col(f"tot_{count}") - 1) * float(p)
     targets = F.array(*[
         F.struct(F.lit(float(p)).alias("p"), h(p).alias("h"), F.floor(h(p)).alias("lo"), F.ceil(h(p)).alias("hi"))
         for p in probs
     ])
-    start = F.col("cum__n") - F.col("_n")
-    end = F.col("cum__n") - 1
-    hit = ps.select(*by, "_v", F.explode(F.filter(
+    start = F.col(f"cum_{count}") - F.col(count)
+    end = F.col(f"cum_{count}") - 1
+    hit = ps.where(F.col(count) > 0).select(*by, value, F.explode(F.filter(
         targets, lambda t: ((t["lo"] >= start) & (t["lo"] <= end)) | ((t["hi"] >= start) & (t["hi"] <= end))
     )).alias("t"), start.alias("_s"), end.alias("_e"))
     lo_hit = (F.col("t.lo") >= F.col("_s")) & (F.col("t.lo") <= F.col("_e"))
     hi_hit = (F.col("t.hi") >= F.col("_s")) & (F.col("t.hi") <= F.col("_e"))
     res = hit.groupBy(*by, F.col("t.p").alias("p")).agg(
-        F.max(F.when(lo_hit, F.col("_v"))).alias("_vlo"),
-        F.max(F.when(hi_hit, F.col("_v"))).alias("_vhi"),
+        F.max(F.when(lo_hit, F.col(value))).alias("_vlo"),
+        F.max(F.when(hi_hit, F.col(value))).alias("_vhi"),
         F.first(F.col("t.h")).alias("_h"), F.first(F.col("t.lo")).alias("_lo"),
     )
     return res.select(*by, "p", (F.col("_vlo") + (F.col("_h") - F.col("_lo")) * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
 
+def value_counts(df: DataFrame, value_col: str, by: Sequence[str] = (), n_buckets: int | None = None) -> DataFrame:
+    """Running counts per distinct value: (by..., _v, _n, cum__n, tot__n); NULL values are ignored."""
+    counts = df.where(F.col(value_col).isNotNull()).select(*by, F.col(value_col).cast("double").alias("_v"),
+                                                            F.lit(1).cast("long").alias("_n"))
+    return prefix_sums(counts, "_v", ["_n"], by, n_buckets)
+
+
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], by: Sequence[str] = (),
+                    n_buckets: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy 'linear', SQL percentile_cont).
+
+    Returns (by..., p, q).  NULL values are ignored; a group with no value has no row.
+    """
+    return quantiles_of_sums(value_counts(df, value_col, by, n_buckets), probs, by)
+
+
+def edge_map(q: DataFrame, by: Sequence[str]) -> Column:
+    """(group -> sorted distinct quantiles) as one map-valued scalar subquery, keyed by ``group_key``; it holds
+    groups x quantiles numbers, so the rows that are binned with it need no join."""
+    per = q.groupBy(*by).agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("_e"))
+    return per.agg(F.map_from_entries(F.collect_list(F.struct(group_key(by), "_e"))).alias("m")).scalar()
+
+
 def wide_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles of many columns in one job: unpivot to (feature, value) first."""
     long = unpivot(df, cols)
@@ -145,14 +182,30 @@ def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name:
 def row_index(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None, out: str = "row_idx") -> DataFrame:
     """0-based global row index in the order of ``order_cols`` (must be unique), without a global window.
 
-    The first order column drives the range buckets; ties inside it are broken
-    by the rest.  Returns ``df`` with ``out`` added.
+    Rows are dealt into ranges of the first order column.  A first value that fills several ranges by itself (a date
+    that holds a third of all rows) shows as a repeated split point; its rows are dealt on, into as many ranges of the
+    second order column.  There are at most twice ``n_buckets`` cells, so their offsets are a small table.
+    Returns ``df`` with ``out`` added.
     """
-    key = order_cols[0]
     nb = _n_buckets(df, n_buckets)
-    b = range_bucket(df, key, nb)
-    totals = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_bt"))
-    wo = Window.partitionBy().orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(totals.select("_bucket", F.coalesce(F.sum("_bt").over(wo), F.lit(0)).alias("_off")))
-    wi = Window.partitionBy("_bucket").orderBy(*order_cols)
-    return b.join(offsets, "_bucket").withColumn(out, F.row_number().over(wi) - 1 + F.col("_off")).drop("_bucket", "_off")
+    if nb == 1:
+        b = df.withColumn("_b1", F.lit(0)).withColumn("_b2", F.lit(0))
+    else:
+        probs = [i / nb for i in range(1, nb)]
+        cuts = [F.array_sort(F.percentile_approx(as_number(df, c), probs, 10000)) for c in order_cols[:2]]
+        points = df.agg(F.struct(*[c.alias(f"s{i}") for i, c in enumerate(cuts)]).alias("s")).scalar()
+        b = df.withColumn("_s", points)
+        below = lambda i, eq=False: F.coalesce(_count_below(F.col(f"_s.s{i}"), as_number(df, order_cols[i]), nb, eq), F.lit(0))
+        b = b.withColumn("_b1", below(0))
+        if len(order_cols) > 1:
+            share = below(0, True) - F.col("_b1")  # ranges that the first value fills
+            b = b.withColumn("_b2", F.when(share >= 2, F.lit(1) + F.floor(below(1) * share / F.lit(nb)).cast("int")).otherwise(F.lit(0)))
+        else:
+            b = b.withColumn("_b2", F.lit(0))
+        b = b.drop("_s")
+    cells = ["_b1", "_b2"]  # other values of a range come before the value that ends it
+    totals = b.groupBy(*cells).agg(F.count(F.lit(1)).alias("_bt"))
+    wo = Window.partitionBy().orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(totals.select(*cells, F.coalesce(F.sum("_bt").over(wo), F.lit(0)).alias("_off")))  # 2 nb rows at most
+    wi = Window.partitionBy(*cells).orderBy(*order_cols)
+    return b.join(offsets, cells).withColumn(out, F.row_number().over(wi) - 1 + F.col("_off")).drop(*cells, "_off")

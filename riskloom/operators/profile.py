@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from . import orderstat
 
@@ -54,24 +54,26 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, max_null_rate: float = 0.5) -> DataFrame:
     """Q1, Q3, IQR bounds, outlier count and rate per numeric column (skip > 50% NULL).
 
-    Quantiles are exact (distributed); the bounds are joined back by feature and
-    the outliers counted in one more grouped pass over the long form.
+    Quantiles are exact (distributed).  Outliers are counted from the same per-value counts, whose bounds arrive as a
+    map-valued scalar subquery (one entry per column): the rows are read once and joined to nothing.
     """
     cols = list(numeric_columns(df) if cols is None else cols)
     long = orderstat.unpivot(df, cols)
-    stats = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n_rows"), F.count("value").alias("n_values"),
-                                        F.min("value").alias("min"), F.max("value").alias("max"))
-    keep = stats.where(F.col("n_values") >= (1 - max_null_rate) * F.col("n_rows"))
-    q = orderstat.exact_quantiles(long.join(keep.select("feature"), "feature", "left_semi"), "value", [0.25, 0.75], by=["feature"])
+    ps = orderstat.value_counts(long, "value", ["feature"])
+    q = orderstat.quantiles_of_sums(ps, [0.25, 0.75], ["feature"])
     qq = q.groupBy("feature").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
                                   F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
-    b = qq.select("feature", "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
-                  (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower"),
-                  (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper"))
-    out = long.join(b, "feature", "inner").groupBy("feature").agg(
-        F.count(F.when((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")), 1)).alias("outliers"))
-    return out.join(b, "feature").join(keep, "feature").select(
-        "feature", "outliers", (F.col("outliers") / F.col("n_rows")).alias("outlier_rate"), "min", "max", "q1", "q3", "iqr")
+    b = qq.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("q1", "q3")))).alias("m")).scalar()
+    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    at = ps.withColumn("_m", b).withColumn("_b", F.col("_m")[F.col("feature")]).drop("_m")
+    iqr = F.col("_b.q3") - F.col("_b.q1")
+    lower, upper = F.col("_b.q1") - 1.5 * iqr, F.col("_b.q3") + 1.5 * iqr
+    g = at.groupBy("feature").agg(
+        F.coalesce(F.sum(F.when((F.col("_v") < lower) | (F.col("_v") > upper), F.col("_n"))), F.lit(0)).alias("outliers"),
+        F.first("tot__n").alias("n_values"), F.min("_v").alias("min"), F.max("_v").alias("max"), F.first("_b").alias("_b"))
+    g = g.withColumn("n_rows", n_rows).where(F.col("n_values") >= (1 - max_null_rate) * F.col("n_rows"))
+    return g.select("feature", "outliers", (F.col("outliers") / F.col("n_rows")).alias("outlier_rate"), "min", "max",
+                    F.col("_b.q1").alias("q1"), F.col("_b.q3").alias("q3"), iqr.alias("iqr"))
 
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list:
@@ -168,26 +170,39 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "is_defa
     long = full.unpivot(["_y"], list(cols), "feature", "value")
     probs = [i / n_bins for i in range(n_bins + 1)]
     q = orderstat.exact_quantiles(long, "value", probs, by=["feature"])
-    edges = q.groupBy("feature").agg(F.array_sort(F.array_distinct(F.collect_list("q"))).alias("edges"))
-    binned = long.join(edges, "feature").select("feature", "_y", _decile_bin(F.col("value"), F.col("edges")).alias("bin"))
+    edges = orderstat.edge_map(q, ["feature"])  # columns x deciles numbers: no join on the feature name
+    binned = long.withColumn("_m", edges).withColumn("edges", F.col("_m")[orderstat.group_key(["feature"])]) \
+        .select("feature", "_y", _decile_bin(F.col("value"), F.col("edges")).alias("bin"))
     cell = binned.groupBy("feature", "bin", "_y").agg(F.count(F.lit(1)).alias("n_xy"))
-    nx = cell.groupBy("feature", "bin").agg(F.sum("n_xy").alias("n_x"))
-    ny = cell.groupBy("feature", "_y").agg(F.sum("n_xy").alias("n_y"))
-    nt = cell.groupBy("feature").agg(F.sum("n_xy").alias("n"))
-    j = cell.join(nx, ["feature", "bin"]).join(ny, ["feature", "_y"]).join(nt, "feature")
+    # margins over the small cell table (features x bins x labels rows)
+    over = lambda *keys: F.sum("n_xy").over(Window.partitionBy(*keys))
+    j = cell.withColumns({"n_x": over("feature", "bin"), "n_y": over("feature", "_y"), "n": over("feature")})
     term = (F.col("n_xy") / F.col("n")) * F.log(F.col("n_xy") * F.col("n") / (F.col("n_x") * F.col("n_y")))
     return j.groupBy("feature").agg(F.sum(term).alias("mutual_information"))
 
 
-def chi_square(df: DataFrame, group_col: str, label: str = "is_default") -> DataFrame:
-    """chi-squared test of label x group (defaults vs non-defaults per group).
+def chi2_sf(x, dof, terms: int = 400):
+    """Upper tail of the chi-squared distribution for any whole ``dof``: 1 - P(dof/2, x/2) by the power series of the
+    lower incomplete gamma function; far in the tail (where 1 - P has no digits left) it is 0."""
+    a, h = dof / F.lit(2.0), x / F.lit(2.0)
+    # gamma(a) for halves and wholes, from gamma(1/2) or gamma(1) upwards
+    first = F.when(dof % 2 == 1, F.lit(0.5)).otherwise(F.lit(1.0))
+    steps = F.greatest(F.round(a - first).cast("int"), F.lit(0))
+    log_gamma = F.aggregate(F.sequence(F.lit(0), steps), F.when(dof % 2 == 1, F.lit(0.5723649429247001)).otherwise(F.lit(0.0)),
+                            lambda acc, k: acc + F.when(k < steps, F.log(first + k)).otherwise(F.lit(0.0)))
+    start = F.struct((F.lit(1.0) / a).alias("t"), (F.lit(1.0) / a).alias("s"))
+    total = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), start, lambda acc, k: F.struct(
+        (acc["t"] * h / (a + k)).alias("t"), (acc["s"] + acc["t"] * h / (a + k)).alias("s")))["s"]
+    p = F.exp(a * F.log(h) - h - log_gamma) * total
+    return F.when(x <= 0, F.lit(1.0)).when(h > a + 120, F.lit(0.0)).otherwise(F.greatest(F.lit(1.0) - p, F.lit(0.0)))
 
-    p-value in closed form for 2 degrees of freedom (exp(-x/2)); with one degree of
-    freedom Yates' correction is applied and the p-value is left NULL (no erfc
-    built in); other dof: NULL.
-    """
+
+def chi_square(df: DataFrame, group_col: str, label: str = "is_default") -> DataFrame:
+    """chi-squared test of label x group (defaults vs non-defaults per group); rows without a label or a group
+    do not count.  With two groups Yates' correction is applied.  The p-value holds for any number of groups and is
+    NULL for fewer than two."""
     y = F.col(label).cast("int")
-    g = df.where(F.col(group_col).isNotNull()).groupBy(group_col).agg(
+    g = df.where(F.col(group_col).isNotNull() & y.isNotNull()).groupBy(group_col).agg(
         F.sum(y).alias("n_def"), (F.count(F.lit(1)) - F.sum(y)).alias("n_non"))
     tot = g.agg(F.sum("n_def").alias("td"), F.sum("n_non").alias("tn"), F.count(F.lit(1)).alias("r"))
     t = tot.select(F.struct("td", "tn", "r").alias("t")).scalar()
@@ -197,10 +212,10 @@ def chi_square(df: DataFrame, group_col: str, label: str = "is_default") -> Data
     e_d, e_n = rows * F.col("_t.td") / n, rows * F.col("_t.tn") / n
     yates = F.when(F.col("_t.r") == 2, 0.5).otherwise(0.0)
     dev = lambda o, e: F.greatest(F.abs(o - e) - yates, F.lit(0.0))
-    term = dev(F.col("n_def"), e_d) ** 2 / e_d + dev(F.col("n_non"), e_n) ** 2 / e_n
-    s = gt.agg(F.sum(term).alias("chi2"), F.first("_t.r").alias("r"))
-    dof = F.col("r") - 1
-    return s.select("chi2", dof.alias("dof"), F.when(dof == 2, F.exp(-F.col("chi2") / 2)).alias("p_value"))
+    term = F.try_divide(dev(F.col("n_def"), e_d) ** 2, e_d) + F.try_divide(dev(F.col("n_non"), e_n) ** 2, e_n)
+    s = gt.agg(F.sum(term).alias("chi2"), F.first("_t.r").alias("r")).withColumn("dof", F.col("r") - 1)
+    p = F.when(F.col("dof") == 2, F.exp(-F.col("chi2") / 2)).when(F.col("dof") >= 1, chi2_sf(F.col("chi2"), F.col("dof")))
+    return s.select("chi2", "dof", p.alias("p_value"))
 
 
 def class_distributions(df: DataFrame, cols: Sequence[str], label: str = "is_default", bins: int = 40) -> DataFrame:
@@ -212,9 +227,13 @@ def class_distributions(df: DataFrame, cols: Sequence[str], label: str = "is_def
     rng = rng.select("feature", "label", "n",
                      F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
                      F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
+    # ranges of (feature, label) pairs, a handful of numbers, as one map-valued scalar subquery
+    key = orderstat.group_key(["feature", "label"])
+    m = rng.agg(F.map_from_entries(F.collect_list(F.struct(key, F.struct("n", "lo", "hi")))).alias("m")).scalar()
+    at = long.withColumn("_m", m).withColumn("_r", F.col("_m")[key]).select("feature", "label", "value", "_r.n", "_r.lo", "_r.hi")
     width = (F.col("hi") - F.col("lo")) / bins
     b = F.least(F.floor((F.col("value") - F.col("lo")) / width), F.lit(bins - 1)).cast("int")
-    h = long.join(rng, ["feature", "label"]).select("feature", "label", b.alias("bin"), "lo", "hi", "n", width.alias("w"))
+    h = at.select("feature", "label", b.alias("bin"), "lo", "hi", "n", width.alias("w"))
     return h.groupBy("feature", "label", "bin").agg(
         F.count(F.lit(1)).alias("count"), F.first("lo").alias("lo"), F.first("w").alias("w"), F.first("n").alias("n")) \
         .select("feature", "label", "bin", (F.col("lo") + F.col("bin") * F.col("w")).alias("bin_start"), "count",

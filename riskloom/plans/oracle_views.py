@@ -61,10 +61,34 @@ SELECT CAST(o_orderkey AS VARCHAR) AS id,
 FROM orders JOIN customer ON c_custkey = o_custkey""",
 }
 
+VIEWS["raw_dirty_v"] = """
+SELECT CASE WHEN CAST(id AS BIGINT) % 499 = 0 THEN concat('Total Loans ', id) ELSE id END AS id,
+  member_id,
+  loan_amnt,
+  '1' AS funded_amnt,
+  term,
+  int_rate,
+  annual_inc,
+  emp_length,
+  home_ownership,
+  purpose,
+  grade,
+  fico_range_low,
+  fico_range_high,
+  CASE CAST(id AS BIGINT) % 6 WHEN 0 THEN '1999-05-17' WHEN 1 THEN 'soon' WHEN 2 THEN NULL ELSE issue_d END AS issue_d,
+  loan_status,
+  CASE WHEN CAST(id AS BIGINT) % 9 = 0 THEN NULL ELSE CAST(CAST(id AS BIGINT) % 700 AS VARCHAR) END AS open_acc,
+  CASE WHEN CAST(id AS BIGINT) % 8 = 0 THEN 'nan' ELSE CAST(CAST(id AS BIGINT) % 300 AS VARCHAR) END AS delinq_2yrs,
+  concat(CAST(CAST(id AS BIGINT) % 1300 AS VARCHAR), '.7') AS total_acc,
+  CAST(CAST(id AS BIGINT) % 120 - 5 AS VARCHAR) AS pub_rec_bankruptcies,
+  CASE WHEN CAST(id AS BIGINT) % 4 = 0 THEN 'x' ELSE CAST(CAST(id AS BIGINT) % 60 AS VARCHAR) END AS inq_last_6mths,
+  CASE CAST(id AS BIGINT) % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' WHEN 2 THEN '1' WHEN 3 THEN NULL ELSE 'default' END AS is_default
+FROM raw_loans_v"""
+
 VIEWS["scored_r"] = """
 SELECT application_id, application_date, is_default, y, round(pd_score, 10) AS pd_score, segment FROM scored_v"""
 
-DEPS = {"scored_v": ["applications_v", "payments_v"], "scored_r": ["applications_v", "payments_v", "scored_v"]}
+DEPS = {"raw_dirty_v": ["raw_loans_v"], "scored_v": ["applications_v", "payments_v"], "scored_r": ["applications_v", "payments_v", "scored_v"]}
 
 
 def clip(x: str, lo: str, hi: str) -> str:

@@ -73,6 +73,29 @@ def q_parse_vendor_fields(spark, sf_dir):
     return round_doubles(clean.parsed_fields(fx.raw_loans), overrides=MONEY)
 
 
+def _count_sql(col: str, hi: str, bound_hi: str | None = None) -> str:
+    v = sql_num(col)
+    v = clip(v, "0.0e0", bound_hi) if bound_hi else v
+    return f"CAST(floor({clip(f'coalesce({v}, 0.0e0)', '0.0e0', hi)}) AS INT)"
+
+
+# the second vendor file: footer rows, ISO and unreadable dates, the five count columns, an explicit default flag
+DIRTY_SQL = PARSED_SQL.replace("raw_loans_v", "raw_dirty_v") \
+    .replace("CAST(0 AS INT) AS num_open_accounts", _count_sql("open_acc", "500.0e0", "500.0e0") + " AS num_open_accounts") \
+    .replace("CAST(0 AS INT) AS num_delinquencies", _count_sql("delinq_2yrs", "200.0e0", "200.0e0") + " AS num_delinquencies") \
+    .replace("CAST(0 AS INT) AS total_accounts", _count_sql("total_acc", "1000.0e0") + " AS total_accounts") \
+    .replace("CAST(0 AS INT) AS pub_rec_bankruptcies", _count_sql("pub_rec_bankruptcies", "100.0e0") + " AS pub_rec_bankruptcies") \
+    .replace("CAST(0 AS INT) AS num_inquiries_6m", _count_sql("inq_last_6mths", "50.0e0") + " AS num_inquiries_6m") \
+    .replace(f"coalesce(loan_status IN {_in(K.DEFAULT_STATUSES)}, false) AS is_default", f"coalesce(lower(is_default) IN {_in(K.TRUE_TOKENS)}, false) AS is_default")
+
+
+@register("parse_dirty_fields", with_ctes(["raw_dirty_v"], [("parsed", DIRTY_SQL)], f"SELECT {PARSED_OUT} FROM parsed"))
+def q_parse_dirty_fields(spark, sf_dir):
+    """B1 (a second column for one target), B2, B7 (ISO and default dates), B8 (explicit flag), B13 on every row of a
+    dirtier vendor file."""
+    return round_doubles(clean.parsed_fields(fixtures.load(spark, sf_dir).raw_dirty), overrides=MONEY)
+
+
 @register("clean_applications", with_ctes(
     ["raw_loans_v"], [("parsed", PARSED_SQL)],
     f"SELECT {PARSED_OUT} FROM parsed WHERE loan_amount IS NOT NULL AND income IS NOT NULL "
@@ -93,21 +116,18 @@ def q_clean_applications(spark, sf_dir):
 def q_drop_unusable(spark, sf_dir):
     """B15 summary: vendor rows, kept rows, rows without loan amount / income."""
     fx = fixtures.load(spark, sf_dir)
-    p = clean.parsed_fields(fx.raw_loans)
-    kept = clean.drop_unusable(p).select(F.lit(1).alias("k"), "external_id")
-    j = p.join(kept, "external_id", "left")
-    return j.agg(F.count(F.lit(1)).alias("n_rows"), F.count("k").alias("n_kept"),
-                 F.count(F.when(F.col("loan_amount").isNull(), 1)).alias("n_no_loan"),
-                 F.count(F.when(F.col("income").isNull(), 1)).alias("n_no_income"))
+    return clean.parsed_fields(fx.raw_loans).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(clean.usable()).alias("n_kept"),
+        F.count_if(F.col("loan_amount").isNull()).alias("n_no_loan"), F.count_if(F.col("income").isNull()).alias("n_no_income"))
 
 
 @register("drop_footer", with_ctes(
-    ["raw_loans_v"], [],
-    "SELECT count(*) AS n_kept FROM raw_loans_v WHERE NOT coalesce(regexp_matches(id, '(?i)total|loans'), false)"))
+    ["raw_dirty_v"], [],
+    "SELECT count(*) AS n_kept FROM raw_dirty_v WHERE NOT coalesce(regexp_matches(id, '(?i)total|loans'), false)"))
 def q_drop_footer(spark, sf_dir):
     """B2: rows left after the footer filter."""
     fx = fixtures.load(spark, sf_dir)
-    return clean.drop_footer(fx.raw_loans).agg(F.count(F.lit(1)).alias("n_kept"))
+    return clean.drop_footer(fx.raw_dirty).agg(F.count(F.lit(1)).alias("n_kept"))
 
 
 @register("candidate_columns", with_ctes(

@@ -129,6 +129,20 @@ CHECK_SQL = with_ctes(BASE, SNAP + check_blocks(),
                       "round(ks_pvalue, 6) AS ks_pvalue, is_drifted, is_warning, reference_period, current_period FROM dchk")
 
 
+# a change that the monitor must see: from this day on two features are scaled
+SHIFT_FROM, SHIFTS = "2001-01-01", {"loan_to_income": 1.6, "credit_score_norm": 1.12}
+SHIFTED = [("shifted", "SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN feature_date >= DATE '{SHIFT_FROM}' THEN {c} * {k}e0 ELSE {c} END AS {c}" for c, k in SHIFTS.items()) + ") FROM snapshot")]
+
+
+def shifted_check_df(spark, sf_dir):
+    """The drift check over a snapshot whose newest rows have shifted features."""
+    snap = snapshot_table(spark, sf_dir)
+    new = F.col("feature_date") >= F.to_date(F.lit(SHIFT_FROM))
+    snap = snap.withColumns({c: F.when(new, F.col(c) * k).otherwise(F.col(c)) for c, k in SHIFTS.items()})
+    return D.check(snap, D.windows(snap), FEATS, CHECK_DATE)
+
+
 def drift_check_df(spark, sf_dir):
     snap, win = _drift_inputs(spark, sf_dir)
     return D.check(snap, win, FEATS, CHECK_DATE)
@@ -148,16 +162,16 @@ ALERT_SQL_BODY = ("SELECT feature_name, check_date, substr(CASE WHEN is_drifted
                   "CAST(NULL AS TIMESTAMP) AS sent_at, CAST(NULL AS VARCHAR) AS error FROM dchk WHERE is_drifted OR is_warning")
 
 
-@register("drift_alerts", with_ctes(BASE, SNAP + check_blocks(), ALERT_SQL_BODY))
+@register("drift_alerts", with_ctes(BASE, SNAP + SHIFTED + check_blocks("shifted"), ALERT_SQL_BODY))
 def q_drift_alerts(spark, sf_dir):
     """Alert messages (pending) for drifted and warned features."""
-    return D.alerts(drift_check_df(spark, sf_dir))
+    return D.alerts(shifted_check_df(spark, sf_dir))
 
 
 FEATURE_LIST = "[" + ", ".join(f"'{f}'" for f in FEATS) + "]"
 
 
-@register("alert_drain", with_ctes(BASE, SNAP + check_blocks() + [
+@register("alert_drain", with_ctes(BASE, SNAP + SHIFTED + check_blocks("shifted") + [
     ("aq0", ALERT_SQL_BODY),
     ("aq", f"SELECT CAST(list_position({FEATURE_LIST}, feature_name) AS BIGINT) AS alert_id, * FROM aq0"),
     ("taken", "SELECT alert_id FROM aq WHERE status = 'pending' ORDER BY created_at, alert_id LIMIT 50"),
@@ -166,7 +180,7 @@ FEATURE_LIST = "[" + ", ".join(f"'{f}'" for f in FEATS) + "]"
    "WHERE alert_id IN (SELECT alert_id FROM taken)"))
 def q_alert_drain(spark, sf_dir):
     """Oldest 50 pending alerts marked sent; the queue after one drain."""
-    a = D.alerts(drift_check_df(spark, sf_dir))
+    a = D.alerts(shifted_check_df(spark, sf_dir))
     a = a.withColumn("alert_id", F.array_position(F.array(*[F.lit(f) for f in FEATS]), F.col("feature_name")))
     return D.drain(a, "2001-08-02 00:00:00").select("alert_id", "feature_name", "status", "sent_at")
 
@@ -213,17 +227,13 @@ def q_era_filter(spark, sf_dir):
 
 
 def _eda_values(spark, sf_dir):
-    a = fixtures.load(spark, sf_dir).applications.withColumn("era", era_label())
-    ref = a.where(F.col("era") == ERA_REF)
+    """(era, window, feature, value): one scan; a reference-era row is tagged once for every other era."""
+    a = fixtures.load(spark, sf_dir).applications.withColumn("era", era_label()).where(F.col("era").isNotNull())
     others = [e for e in ERAS if e != ERA_REF]
-    parts = []
-    for e in others:
-        cur = a.where(F.col("era") == e)
-        for w, frame in (("ref", ref), ("cur", cur)):
-            parts.append(frame.select(F.lit(e).alias("era"), F.lit(w).alias("window"), *EDA_FEATS))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    tag = lambda era, w: F.struct(era.alias("era"), F.lit(w).alias("window"))
+    tags = F.when(F.col("era") == ERA_REF, F.array(*[tag(F.lit(e), "ref") for e in others])) \
+        .otherwise(F.array(tag(F.col("era"), "cur")))
+    u = a.select(F.explode(tags).alias("t"), *[F.col(c).cast("double").alias(c) for c in EDA_FEATS]).select("t.*", *EDA_FEATS)
     return u.unpivot(["era", "window"], EDA_FEATS, "feature", "value").where(F.col("value").isNotNull())
 
 

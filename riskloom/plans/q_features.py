@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.expr import round_doubles
 from ..operators import features as fe
+from ..session import materialise
 from ..sources import fixtures
 from . import oracle_features as OF
 from .catalog import register
@@ -167,18 +168,28 @@ def q_plain_target_mean(spark, sf_dir):
     return round_doubles(fe.plain_target_mean(fx.applications, ["home_ownership", "purpose", "loan_term", "num_open_accounts"]))
 
 
+T1, T2 = "1998-12-31", "1999-12-31"  # last train and validation day
+
+SPLIT_SQL = f"CASE WHEN feature_date <= DATE '{T1}' THEN 'train' WHEN feature_date <= DATE '{T2}' THEN 'val' ELSE 'test' END"
+
+
 @register("median_impute", with_ctes(
-    ["applications_v", "payments_v", "bureau_v"], OF.snapshot_blocks(TE_CUTOFF),
-    " UNION ALL ".join(f"SELECT '{c}' AS feature, round(median({c}), 6) AS median FROM merged"
-                       for c in K.ALL_FEATURES)))
+    ["applications_v", "payments_v", "bureau_v"], OF.snapshot_blocks(TE_CUTOFF) + [
+        ("tmed", "SELECT " + ", ".join(f"median({c}) AS {c}" for c in K.ALL_FEATURES) + f" FROM merged WHERE feature_date <= DATE '{T1}'")],
+    f"SELECT m.application_id, {SPLIT_SQL} AS split, " + ", ".join(f"round(coalesce(m.{c}, t.{c}, 0.0e0), 6) AS {c}" for c in K.ALL_FEATURES)
+    + " FROM merged m, tmed t"))
 def q_median_impute(spark, sf_dir):
-    """exact train medians of every feature of the merged (unfilled) snapshot."""
+    """every row of the merged (unfilled) snapshot with its missing values imputed by the medians of the train rows."""
     fx = fixtures.load(spark, sf_dir)
     enc, mean = fe.target_fit_fallback(fx.applications, TE_CUTOFF)
     num = fe.target_apply(fe.numerical(fx.applications, keep=K.CATEGORICAL_FEATURES), enc, mean)
-    merged = num.join(fe.payment_windows(fx.payments, fx.applications), "application_id", "left") \
-        .join(fe.bureau(fx.applications, fx.bureau), "application_id", "left")
-    return round_doubles(fe.medians(merged, K.ALL_FEATURES))
+    merged = materialise(num.join(fe.payment_windows(fx.payments, fx.applications), "application_id", "left")
+                         .join(fe.bureau(fx.applications, fx.bureau), "application_id", "left"), "merged")
+    d = F.col("feature_date")
+    split = F.when(d <= F.to_date(F.lit(T1)), "train").when(d <= F.to_date(F.lit(T2)), "val").otherwise("test")
+    rows = merged.withColumn("split", split)
+    med = fe.medians(rows.where(F.col("split") == "train"), K.ALL_FEATURES)
+    return round_doubles(fe.fill_with(rows, med, K.ALL_FEATURES).select("application_id", "split", *K.ALL_FEATURES))
 
 
 @register("critical_fill", with_ctes(

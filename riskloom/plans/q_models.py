@@ -42,7 +42,9 @@ def model_dataset(spark, sf_dir):
 
 
 def _seg(d, seg):
-    return d.where(F.col("segment") == seg)
+    """One segment, with the class weight of its own train rows."""
+    part = d.where(F.col("segment") == seg).drop("weight")
+    return cut_lineage(fe.with_weight(part, fe.class_weight(part.where(F.col("split") == "train"))))
 
 
 @register("feature_matrix")
@@ -55,37 +57,54 @@ def q_feature_matrix(spark, sf_dir):
                     F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 4).alias("sq_norm"))
 
 
+# trees of the registered fits; the functions default to the full sizes
+TREES = {"rf": {"n_estimators": 30}, "gbt": {"n_estimators": 30}}
+
+
+def _candidates_table(spark, sf_dir):
+    """Validation and test metrics of all three learners in both segments."""
+    d = model_dataset(spark, sf_dir)
+    out = None
+    for seg, feats in (("with_history", FEATS_HIST), ("cold_start", FEATS_COLD)):
+        best, _, table = MD.train_segment(_seg(d, seg), feats, params=TREES, early_stopping=True)
+        table = table.withColumn("segment", F.lit(seg)).withColumn("best", F.col("model") == best)
+        out = table if out is None else out.unionByName(table)
+    return out
+
+
 @register("train_boosting")
 def q_train_boosting(spark, sf_dir):
-    """K2: the three candidate learners fitted on the cold-start train rows; validation metrics."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    _, _, table = MD.train_segment(d, FEATS_COLD, kinds=("logistic", "rf", "gbt"),
-                                   params={"rf": {"n_estimators": 30}, "gbt": {"n_estimators": 30}})
-    return round_doubles(table.select("model", "n", "auc_roc", "auc_pr", "brier", "ks"))
+    """K2: the three candidate learners of both segments, boosting stopped early; validation and test metrics."""
+    return round_doubles(_candidates_table(spark, sf_dir).select("segment", "model", "split", "n", "auc_roc", "auc_pr", "brier", "ks"))
 
 
 @register("train_segment")
 def q_train_segment(spark, sf_dir):
-    """K3: per segment, best of the candidates by raw validation AUC."""
-    d = model_dataset(spark, sf_dir)
-    rows = []
-    for seg, feats in (("with_history", FEATS_HIST), ("cold_start", FEATS_COLD)):
-        best, _, table = MD.train_segment(_seg(d, seg), feats, kinds=("logistic", "rf"), params={"rf": {"n_estimators": 30}})
-        rows.append(table.withColumn("segment", F.lit(seg)).withColumn("best", F.col("model") == best))
-    return round_doubles(rows[0].unionByName(rows[1]).select("segment", "model", "best", "n", "auc_roc", "ks"))
+    """K3: per segment, best of the three learners by raw validation AUC."""
+    t = _candidates_table(spark, sf_dir).where(F.col("split") == "val")
+    return round_doubles(t.select("segment", "model", "best", "n", "auc_roc", "ks"))
+
+
+SEGMENTS = (("with_history", FEATS_HIST), ("cold_start", FEATS_COLD))
 
 
 @register("calibrate")
 def q_calibrate(spark, sf_dir):
-    """K4: isotonic calibration of the cold-start logistic model on validation rows."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    m = MD.fit(d.where(F.col("split") == "train"), "logistic", FEATS_COLD)
-    val = MD.score(m, d.where(F.col("split") == "val"))
-    cal = MD.calibrate(val, "isotonic")
-    out = MD.apply_calibration(cal, val)
-    raw = M.binary(out).select(F.lit("raw").alias("score"), "n", "auc_roc", "brier")
-    calm = M.binary(out, p="pd_calibrated").select(F.lit("calibrated").alias("score"), "n", "auc_roc", "brier")
-    return round_doubles(raw.unionByName(calm).withColumn("kept", F.lit(cal is not None)))
+    """K4: isotonic and sigmoid calibration of the logistic models of both segments on validation rows."""
+    d = model_dataset(spark, sf_dir)
+    out = None
+    for seg, feats in SEGMENTS:
+        part = _seg(d, seg)
+        m = MD.fit(part.where(F.col("split") == "train"), "logistic", feats)
+        val = cut_lineage(MD.score(m, part.where(F.col("split") == "val")))
+        rows = M.binary(val).select(F.lit("raw").alias("score"), "n", "auc_roc", "brier").withColumn("kept", F.lit(True))
+        for method in ("isotonic", "sigmoid"):
+            cal = MD.calibrate(val, method)
+            r = M.binary(MD.apply_calibration(cal, val), p="pd_calibrated").select(F.lit(method).alias("score"), "n", "auc_roc", "brier")
+            rows = rows.unionByName(r.withColumn("kept", F.lit(cal is not None)))
+        rows = rows.withColumn("segment", F.lit(seg))
+        out = rows if out is None else out.unionByName(rows)
+    return round_doubles(out)
 
 
 @register("hyper_search")
@@ -256,8 +275,8 @@ def q_permutation(spark, sf_dir):
 
 def _corr_importance_sql(src: str, cols: list[str]) -> str:
     y = "CASE WHEN is_default THEN 1.0e0 ELSE 0.0e0 END"
-    return " UNION ALL ".join(f"SELECT '{c}' AS feature, abs(covar_samp(CAST({c} AS DOUBLE), {y}) / "
-                              f"NULLIF(stddev_samp(CAST({c} AS DOUBLE)) * stddev_samp({y}), 0)) AS importance FROM {src}" for c in cols)
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, CASE WHEN min({c}) = max({c}) THEN NULL ELSE abs(corr(CAST({c} AS DOUBLE), {y})) END "
+                              f"AS importance FROM {src}" for c in cols)
 
 
 def corr_importance(df, cols):

@@ -14,7 +14,7 @@ from ..session import checkpoint_dir, cut_lineage
 from ..sources import fixtures
 from ..streaming import streams as ST
 from .catalog import register
-from .q_drift import drift_check_df
+from .q_drift import shifted_check_df
 from .q_features import TE_CUTOFF
 from .q_models import FEATS_COLD, FEATS_HIST, model_dataset
 
@@ -50,7 +50,7 @@ def q_stream_score(spark, sf_dir):
     enc, mean = fe.target_fit_fallback(fx.applications, TE_CUTOFF)
     enc, mean = cut_lineage(enc), cut_lineage(mean)
     in_dir, out_dir = _scratch(spark, "requests"), _scratch(spark, "scored")
-    requests_frame(spark, sf_dir).repartition(4, "application_id").write.parquet(in_dir)
+    requests_frame(spark, sf_dir).write.parquet(in_dir)
     ST.score_stream(spark, in_dir, out_dir, _scratch(spark, "ckpt-score"), bundles, enc, mean)
     scores = spark.read.parquet(os.path.join(out_dir, "scores")).select(
         "application_id", "model_version", F.round("pd_calibrated", 6).alias("pd_calibrated"), "risk_bucket",
@@ -63,7 +63,7 @@ def q_stream_score(spark, sf_dir):
 
 def _drift_files(spark, sf_dir):
     """Two runs of the drift check land as files (the second a re-delivery of the first)."""
-    rows = drift_check_df(spark, sf_dir).withColumn("checked_at", F.col("check_date").cast("timestamp"))
+    rows = shifted_check_df(spark, sf_dir).withColumn("checked_at", F.col("check_date").cast("timestamp"))
     path = _scratch(spark, "drift-rows")
     rows.write.parquet(os.path.join(path, "run=1"))
     rows.write.parquet(os.path.join(path, "run=2"))

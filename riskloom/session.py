@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+_WRITTEN: list[str] = []
 _DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -67,16 +68,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (never a local checkpoint).
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder and read it from there.
 
-    The frame is persisted for the duration of the checkpoint so it is computed
-    once (the checkpoint write would otherwise recompute it), then released: the
-    result reads the written files and survives executor loss.
+    Survives executor loss; unlike a checkpoint it is computed once, and its readers prune columns and push filters.
+    The folders last as long as the application; ``drop_materialised`` deletes them.
     """
-    checkpoint_dir(df.sparkSession)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return held.checkpoint(eager=True)
-    finally:
-        held.unpersist()
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialised(spark: SparkSession) -> int:
+    """Delete the tables that ``materialise`` wrote in this application; returns their number."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a frame that several jobs read: a table in the shared folder."""
+    return materialise(df, "cut")

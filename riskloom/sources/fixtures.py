@@ -110,6 +110,23 @@ def raw_loans(t: Tables) -> DataFrame:
     )
 
 
+def raw_dirty(t: Tables) -> DataFrame:
+    """raw_dirty_v: raw_loans_v with footer rows, mixed dates, count columns, a second amount column and an explicit flag."""
+    return raw_loans(t).selectExpr(
+        "CASE WHEN CAST(id AS BIGINT) % 499 = 0 THEN concat('Total Loans ', id) ELSE id END AS id",
+        "member_id", "loan_amnt", "'1' AS funded_amnt", "term", "int_rate", "annual_inc", "emp_length", "home_ownership", "purpose",
+        "grade", "fico_range_low", "fico_range_high",
+        "CASE CAST(id AS BIGINT) % 6 WHEN 0 THEN '1999-05-17' WHEN 1 THEN 'soon' WHEN 2 THEN NULL ELSE issue_d END AS issue_d",
+        "loan_status",
+        "CASE WHEN CAST(id AS BIGINT) % 9 = 0 THEN NULL ELSE CAST(CAST(id AS BIGINT) % 700 AS STRING) END AS open_acc",
+        "CASE WHEN CAST(id AS BIGINT) % 8 = 0 THEN 'nan' ELSE CAST(CAST(id AS BIGINT) % 300 AS STRING) END AS delinq_2yrs",
+        "concat(CAST(CAST(id AS BIGINT) % 1300 AS STRING), '.7') AS total_acc",
+        "CAST(CAST(id AS BIGINT) % 120 - 5 AS STRING) AS pub_rec_bankruptcies",
+        "CASE WHEN CAST(id AS BIGINT) % 4 = 0 THEN 'x' ELSE CAST(CAST(id AS BIGINT) % 60 AS STRING) END AS inq_last_6mths",
+        "CASE CAST(id AS BIGINT) % 5 WHEN 0 THEN 'Yes' WHEN 1 THEN 'no' WHEN 2 THEN '1' WHEN 3 THEN NULL ELSE 'default' END AS is_default",
+    )
+
+
 class Fixtures:
     """The five loan views of one data directory."""
 
@@ -136,6 +153,10 @@ class Fixtures:
     def raw_loans(self) -> DataFrame:
         return raw_loans(self.t)
 
+    @property
+    def raw_dirty(self) -> DataFrame:
+        return raw_dirty(self.t)
+
 
 def load(spark, root: str) -> Fixtures:
     return Fixtures(Tables(spark, root))

@@ -1,12 +1,14 @@
 """Sources and sinks.
 
-Tables are parquet directories in a shared store; every write is a Spark job
-that commits at job end (a failed or lost task is retried, a failed job leaves
-the previous table in place).
+Tables are parquet directories in a shared store.  ``replace_table`` writes the new
+table beside the old one and swaps the folders only when the job has succeeded, so a
+failed job leaves the previous table in place.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, sampling
@@ -17,14 +19,37 @@ def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("mode", "DROPMALFORMED").option("inferSchema", False).csv(path)
 
 
+def replace_table(df: DataFrame, out: str, partition_by: tuple[str, ...] = ()) -> int:
+    """Replace the parquet table ``out`` by ``df`` (which may read it); returns the rows written.
+
+    The old folder is moved aside, the new one moved in, and only then the old one deleted.  The count comes from the
+    new files' footers.
+    """
+    spark = df.sparkSession
+    new, old = (f"{out.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    df.write.partitionBy(*partition_by).parquet(new)
+    n = spark.read.parquet(new).count()
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    store = jvm(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    had = store.exists(jvm(out))
+    if had and not store.rename(jvm(out), jvm(old)):
+        raise OSError(f"cannot move {out} aside; the new table is in {new}")
+    if not store.rename(jvm(new), jvm(out)):
+        if had:
+            store.rename(jvm(old), jvm(out))
+        raise OSError(f"cannot move {new} to {out}; the old table stays")
+    if had:
+        store.delete(jvm(old), True)
+    return n
+
+
 def load_replace(spark: SparkSession, raw: DataFrame, out: str, data_source: str = "vendor") -> int:
     """A3: idempotent load: clean, probe for one usable row **before** replacing the table,
     then overwrite; raises when nothing is usable.  Returns the row count written."""
     typed = clean.applications(raw, data_source)
     if not typed.limit(1).count():  # probe: one row is enough
         raise ValueError("no usable rows in the input; table left unchanged")
-    typed.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out).count()
+    return replace_table(typed, out)
 
 
 def applications(df: DataFrame, date: str | None = None, limit: int | None = None,
@@ -50,7 +75,7 @@ def feature_dataset(features: DataFrame, applications_df: DataFrame, train_end:
 
 def snapshot_write(df: DataFrame, path: str) -> None:
     """Replace the snapshot table, partitioned by feature_version."""
-    df.write.mode("overwrite").partitionBy("feature_version").parquet(path)
+    replace_table(df, path, ("feature_version",))
 
 
 def predictions_replace(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -58,6 +83,11 @@ def predictions_replace(existing: DataFrame, new: DataFrame) -> DataFrame:
     return existing.where(~F.col("model_version").like("batch:%")).unionByName(new)
 
 
+def predictions_commit(spark: SparkSession, path: str, new: DataFrame) -> int:
+    """The same on a stored table, delete and append as one swap of folders; returns its row count."""
+    return replace_table(predictions_replace(spark.read.parquet(path), new), path)
+
+
 def export_recent_subset(raw: DataFrame, n: int, date_col: str = "issue_d", id_col: str = "id") -> DataFrame:
     """A10: vendor rows with a parsable issue date, the newest ``n`` by (date, id) (a top-k)."""
     d = F.coalesce(F.try_to_timestamp(F.trim(F.col(date_col)), F.lit("MMM-yyyy")),
@@ -68,7 +98,7 @@ def export_recent_subset(raw: DataFrame, n: int, date_col: str = "issue_d", id_c
 
 def metrics_export(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Write a small report table (CSV with header, or parquet)."""
-    w = df.coalesce(1).write.mode("overwrite")  # report tables are small by construction
+    w = df.write.mode("overwrite")  # as many files as the last exchange leaves; adaptive execution merges small ones
     if fmt == "csv":
         w.option("header", True).csv(path)
     else:

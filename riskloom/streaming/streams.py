@@ -72,14 +72,17 @@ def score_requests(batch: DataFrame, bundles: dict, encodings: DataFrame, mean:
 
 
 def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: str, bundles: dict,
-                 encodings: DataFrame, mean: DataFrame, max_files_per_trigger: int = 1):
+                 encodings: DataFrame, mean: DataFrame, max_files_per_trigger: int | None = None):
     """File-source stream of requests scored batch by batch (availableNow trigger).
 
     ``bundles``: segment -> (kind, PipelineModel, feature list, medians frame).
     The sink writes ``scores/batch=<id>`` and ``refused/batch=<id>`` with overwrite,
     so a replayed batch after a failure rewrites the same folder (idempotent).
     """
-    stream = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger).parquet(in_dir)
+    reader = spark.readStream.schema(REQUEST_SCHEMA)
+    if max_files_per_trigger:  # a caller's own bound of a micro-batch; by default a batch takes all that has arrived
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.parquet(in_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         scores, refused = score_requests(batch, bundles, encodings, mean)
