@@ -16,6 +16,7 @@ from ..operators import sampling as S
 from ..session import checkpoint_dir
 from ..sources import fixtures, io
 from .catalog import register
+from .q_metrics import _binary, _binary_sql
 from .oracle_views import with_ctes
 from .q_clean import PARSED_SQL
 from .q_features import SNAPSHOT_SQL, TE_CUTOFF, features_snapshot_df
@@ -139,11 +140,13 @@ def q_export_recent(spark, sf_dir):
                     .when(F.col("issue_date") <= F.col("_c.val_end"), "val").otherwise("test").alias("split"))
 
 
-@register("metrics_export")
+METRICS = ["n", "auc_roc", "gini", "auc_pr", "auc_pr_trapz", "brier", "log_loss", "ks"]
+
+
+@register("metrics_export", _binary_sql(METRICS))
 def q_metrics_export(spark, sf_dir):
-    """A metrics table written as CSV with a header and read back (rows-only check)."""
-    from ..operators import metrics as M
-    m = M.binary(fixtures.load(spark, sf_dir).scored, by=["segment"])
+    """The metrics table written as CSV with a header, read back and cast to its types."""
+    m = _binary(spark, sf_dir, METRICS)
     path = _scratch(spark, "metrics-csv")
-    io.metrics_export(round_doubles(m), path)
-    return io.csv_scan(spark, path)
+    io.metrics_export(m, path)
+    return io.csv_scan(spark, path).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in m.schema.fields])

@@ -47,14 +47,16 @@ def _seg(d, seg):
     return cut_lineage(fe.with_weight(part, fe.class_weight(part.where(F.col("split") == "train"))))
 
 
-@register("feature_matrix")
+@register("feature_matrix", with_ctes(["applications_v", "payments_v", "bureau_v"], OF.snapshot_blocks(TE_CUTOFF),
+    f"SELECT application_id, {len(K.ALL_FEATURES)} AS n_features, round(ln(1.0e0 + " + " + ".join(
+        f"CAST({c} AS DOUBLE) * CAST({c} AS DOUBLE)" for c in K.ALL_FEATURES) + "), 6) AS log_norm FROM snapshot"))
 def q_feature_matrix(spark, sf_dir):
     """K1: feature vectors of the snapshot (vector size and norm per loan)."""
     d = model_dataset(spark, sf_dir)
     v = MD.feature_matrix(FEATS_HIST).transform(d)
     arr = vector_to_array("features")
     return v.select("application_id", F.size(arr).alias("n_features"),
-                    F.round(F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x), 4).alias("sq_norm"))
+                    F.round(F.log(F.lit(1.0) + F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x)), 6).alias("log_norm"))
 
 
 # trees of the registered fits; the functions default to the full sizes

@@ -14,7 +14,8 @@ from ..session import checkpoint_dir, cut_lineage
 from ..sources import fixtures
 from ..streaming import streams as ST
 from .catalog import register
-from .q_drift import shifted_check_df
+from .oracle_views import with_ctes
+from .q_drift import ALERT_SQL_BODY, BASE, SHIFTED, SNAP, check_blocks, shifted_check_df
 from .q_features import TE_CUTOFF
 from .q_models import FEATS_COLD, FEATS_HIST, model_dataset
 
@@ -70,7 +71,10 @@ def _drift_files(spark, sf_dir):
     return path
 
 
-@register("stream_dedup")
+SHIFTED_CHECK = SNAP + SHIFTED + check_blocks("shifted")
+
+
+@register("stream_dedup", with_ctes(BASE, SHIFTED_CHECK, "SELECT feature_name, check_date, round(psi_value, 6) AS psi_value FROM dchk"))
 def q_stream_dedup(spark, sf_dir):
     """S2 (input side): drift rows deduplicated within the watermark on (feature, check date)."""
     src = _drift_files(spark, sf_dir)
@@ -79,7 +83,7 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.schema(ST.DRIFT_SCHEMA).parquet(out).select("feature_name", "check_date", F.round("psi_value", 6).alias("psi_value"))
 
 
-@register("stream_alerts")
+@register("stream_alerts", with_ctes(BASE, SHIFTED_CHECK + [("aq", ALERT_SQL_BODY)], "SELECT feature_name, check_date, status, message FROM aq"))
 def q_stream_alerts(spark, sf_dir):
     """Pending alert rows for drifted or warned features, appended by the alert stream."""
     src = _drift_files(spark, sf_dir)

@@ -4,7 +4,7 @@ The driver's tables are orders/customer/lineitem; the loan pipeline needs
 applications, payments, bureau reports, scores and a raw vendor file.  These
 views derive all five from the base tables, so every job's work grows with the
 data.  The derivations are fixed (they define the test data model) and are
-mirrored by the DuckDB text in ``riskloom.plans.oracle``.
+mirrored by the DuckDB text in ``riskloom.plans.oracle_views``.
 """
 
 from __future__ import annotations
