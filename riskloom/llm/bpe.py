@@ -20,15 +20,15 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, ranges
+from .common import column_bytes, ranges, small
 
 # fixed values: the word pattern of byte-level tokenizer files (their pre-tokenizer's use_regex)
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Unicode white space, which is what \s means to the tokenizer file's pattern
 WHITE = r"[\t\n\x0b\x0c\r\x20\x85\xa0  -     　]"
 NOT_MERGEABLE = np.iinfo(np.int32).max
-CACHE_WORDS = 400_000  # encoded words a worker keeps; beyond it the store starts anew
-BATCH_BYTES = 8 << 20
+CACHE_WORDS = 150_000  # encoded words a worker keeps; beyond it the store starts anew
+BATCH_BYTES = 1 << 20
 
 
 def byte_symbols() -> list[str]:
@@ -194,7 +194,7 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text", out_col: str
     schema = docs.select(*[F.col(f"`{c}`") for c in keep], F.lit(None).cast("array<int>").alias(out_col)).schema
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             text = b.column(keep.index(text_col))
             for i, j in groups(text):
                 ids, _ = load(path).encode([t or "" for t in text[i:j].to_pylist()])
@@ -209,7 +209,7 @@ def bpe_decode(ids: DataFrame, path: str, ids_col: str = "ids", out_col: str = "
     schema = ids.select(*[F.col(f"`{c}`") for c in keep], F.lit(None).cast("string").alias(out_col)).schema
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             bpe, col = load(path), b.column(keep.index(ids_col))
             texts = [bpe.decode(np.asarray(x.values, np.int64)) if x.is_valid else "" for x in col]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*keep, out_col])
@@ -223,7 +223,7 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             bpe = load(path)
             for i, j in groups(b.column(1)):
                 ids, joined = bpe.encode([t or "" for t in b.column(1)[i:j].to_pylist()])

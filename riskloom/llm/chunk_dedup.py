@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RepeatFilter, column_bytes, materialise, mix64
+from .common import RepeatFilter, column_bytes, materialise, mix64, small
 
 MIN_SIZE, BITS, MAX_SIZE, MIN_RUN = 32, 5, 512, 100
 PIECE = 4 << 20
@@ -71,7 +71,7 @@ def chunk_ends(raw: np.ndarray, min_size: int = MIN_SIZE, bits: int = BITS, max_
 def chunk_table(docs: DataFrame, seen: RepeatFilter | None, **sizes) -> DataFrame:
     """Chunks that ``seen`` does not rule out: digest halves d1 and d2, doc_id, text_key, start, size."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             data, offs = column_bytes(b.column(1))
             ids, keys = b.column(0).to_pylist(), b.column(2).to_pylist()
             whole, parts, held = data.tobytes(), [], 0
@@ -136,7 +136,7 @@ def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = src.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             texts, out = b.column(1).to_pylist(), []
             for t, found in zip(texts, b.column(2).to_pylist()):
                 raw = t.encode()

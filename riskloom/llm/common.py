@@ -67,6 +67,13 @@ def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offs[0]:offs[-1]], offs - offs[0]
 
 
+def small(batches, rows: int = 512):
+    """Arrow batches in slices of ``rows`` rows, which bounds what an operator copies of a batch at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def ranges(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """starts[0]..starts[0]+lens[0]-1, starts[1].., concatenated."""
     total = int(lens.sum())

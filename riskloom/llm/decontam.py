@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_bytes, materialise, ranges
+from .common import column_bytes, materialise, ranges, small
 
 RESULT = "doc_id long, n_words long, spans array<struct<start:int,end:int>>, items array<long>, text_key long"
 HEADS = (24, 8, 3)  # patterns are searched in classes by these least lengths (" a " has 3 bytes)
-BATCH = 8 << 20
+BATCH = 2 << 20
 
 
 def letter_table() -> np.ndarray:
@@ -226,7 +226,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, window: int = 10,
 
     def runner(shared):
         def run(batches):
-            for b in batches:
+            for b in small(batches):
                 _, all_offs = column_bytes(b.column(1))
                 i = 0
                 while i < b.num_rows:

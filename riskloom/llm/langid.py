@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ranges
+from .common import ranges, small
 
 BITS = 15
 ALPHA = 0.5  # added to every count
 ROUNDS = 10
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 has_letter = re.compile(r"[^\W\d_]").search
 
 
@@ -147,7 +147,7 @@ def learn(train: DataFrame, text_col: str = "text", lang_col: str = "lang") -> M
     """Trigram counts per language over every training text.  The model grows with the languages, not the rows."""
     def run(batches):
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in small(batches):
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
             doc, bucket, count = bag(texts)
             names = sorted(set(langs))
@@ -185,7 +185,7 @@ def identify(docs: DataFrame, model: Model | None, penalty: float = 3.0, id_col:
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in small(batches):
             at = 0
             size = np.cumsum([len(t) if t else 0 for t in (x.as_py() for x in b.column(1))])
             while at < b.num_rows:  # groups of bounded length; a longer text stands alone

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small
+
 TRIGRAMS = 256
 STATS = 16
 SOURCES, LANGS, LENGTHS = 32, 16, 16
@@ -173,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = 6000, pool_ro
     rows = docs.select("doc_id", "text", "source", "lang", "n_chars").join(F.broadcast(chosen), "doc_id")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             t, m = features_of(*(b.column(i).to_pylist() for i in (1, 2, 3, 4)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(5), pa.array([x.tobytes() for x in t], pa.binary()),
                                               pa.array([x.tobytes() for x in m], pa.binary())], names=["doc_id", "y", "t", "m"])

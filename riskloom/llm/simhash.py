@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, shuffle_width
+from .common import materialise, shuffle_width, small
 from .graph import components
 
 SEED = 42
@@ -62,7 +62,7 @@ def fingerprint(text: str | None, size: int = 3) -> int:
 def fingerprints(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, fp (signed long)."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             fp = np.array([fingerprint(t.as_py(), size) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
