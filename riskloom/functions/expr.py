@@ -104,12 +104,3 @@ def round_doubles(df: DataFrame, digits: int = 6, overrides: dict | None = None)
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
-
-
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation that is NULL (not an ANSI divide error) for a constant column:
-    sample covariance over the product of sample standard deviations."""
-    x, y = x.cast("double"), y.cast("double")
-    both = F.when(x.isNotNull() & y.isNotNull(), F.lit(1))
-    xs, ys = F.when(both.isNotNull(), x), F.when(both.isNotNull(), y)
-    return F.try_divide(F.covar_samp(xs, ys), F.stddev_samp(xs) * F.stddev_samp(ys))
