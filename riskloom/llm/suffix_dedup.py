@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RepeatFilter, column_bytes, join_checked, materialise, mix64, ranges, shuffle_width
+from .common import RepeatFilter, column_bytes, materialise, mix64, ranges, shuffle_width, small
 
 GRAM = 32
-GROUP_BYTES = 4 << 20  # text whose keys are computed together
-SHARD_BYTES = 3 << 20  # text of a suffix array
-BLOCK_BYTES = 2 << 20  # text merged together across shards
+GROUP_BYTES = 1 << 20  # text whose keys are computed together
+SHARD_BYTES = 1 << 20  # text of a suffix array
+BLOCK_BYTES = 1 << 20  # text merged together across shards
 NO_ID = np.iinfo(np.int64).min
 PARTS = "key long, doc_id long, text_key long, start long, stop long, body binary"
 _BYTE = mix64(mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
@@ -110,13 +110,13 @@ def packed_words(text: np.ndarray) -> np.ndarray:
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Positions in the order of their suffixes, to at least ``depth`` bytes (ties beyond in text order).
+    """Positions in the order of their suffixes, to at least ``depth`` bytes (ties beyond in any order).
 
     ``rank[p]`` is the number of the first place of p's group, so a group that becomes single has its final place and
     takes no further part in the rounds.
     """
     n, w = len(text), packed_words(text)
-    sa = np.argsort(w, kind="stable")
+    sa = np.argsort(w)
     new = np.r_[True, w[sa[1:]] != w[sa[:-1]]]
     rank = np.empty(n + 1, np.int64)
     rank[n] = -1  # the empty suffix is the least
@@ -127,11 +127,11 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     places = np.flatnonzero(~single)
     while h < depth and len(places):
         p = sa[places]
-        follow = rank[np.minimum(p + h, n)]
-        order = np.lexsort((follow, rank[p]))
-        p, follow, group = p[order], follow[order], rank[p][order]
+        key = (rank[p] << 32) | (rank[np.minimum(p + h, n)] + 1)  # group, then the group h bytes on
+        order = np.argsort(key)
+        p, key = p[order], key[order]
         sa[places] = p  # groups keep their places, so the sorted members go back in order
-        new = np.r_[True, (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])]
+        new = np.r_[True, key[1:] != key[:-1]]
         head = np.flatnonzero(new)
         rank[p] = np.repeat(places[head], np.diff(np.append(head, len(p))))
         places = places[~(new & np.append(new[1:], True))]
@@ -189,7 +189,7 @@ def local_repeats(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndarr
 def candidate_keys(src: DataFrame, length: int) -> DataFrame:
     """A key once for every place whose hash is the key of some string, so that a repeat inside a text counts too."""
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             for _, _, _, _, _, owner, (key, at) in text_groups(b, length, True):
                 new = np.r_[True, (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])]
                 yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64))], names=["key"])
@@ -223,7 +223,7 @@ def shard_parts(src: DataFrame, seen: RepeatFilter, length: int, shard_bytes: in
     """Suffix arrays of the shards of a partition's candidate text."""
     def run(batches):
         held, size = [], 0
-        for b in batches:
+        for b in small(batches):
             for doc, text_key, base, text, starts, owner, key in text_groups(b, length):
                 may = seen.test(key.view(np.int64))
                 starts, owner, key = starts[may], owner[may], key[may]
@@ -232,7 +232,8 @@ def shard_parts(src: DataFrame, seen: RepeatFilter, length: int, shard_bytes: in
                 cut = np.flatnonzero(np.r_[True, (np.diff(starts) != 1) | (np.diff(owner) != 0)])
                 for s, e in zip(cut.tolist(), np.append(cut[1:], len(starts)).tolist()):
                     o, lo = owner[s], starts[s]
-                    held.append((doc[o], text_key[o], base[o] + lo, text[lo:starts[e - 1] + length], key[s:e]))
+                    # copies: a view would keep the whole group's arrays
+                    held.append((doc[o], text_key[o], base[o] + lo, text[lo:starts[e - 1] + length].copy(), key[s:e].copy()))
                     size += e - s + length
                     if size >= shard_bytes:
                         yield from shard(held)
@@ -374,10 +375,11 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
         merge_shards(parts.where("key is not null"), length, block_bytes))
     spans = materialise(spans.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")), "suffix-spans")
-    rows = join_checked(src, spans, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left", row_bytes=512)
+    # spans grow with the documents, so this is a shuffled join at every size
+    rows = src.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
 
     def run(batches):
-        for b in batches:
+        for b in small(batches):
             out = []
             for t, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 raw = t.encode()
