@@ -9,6 +9,11 @@ non-blank lines that occur more than once in the table are compared byte by byte
 Null texts count as empty (one blank line).  A text that loses all its chunks stays as an empty text.  Rows that repeat
 doc_id and text are one document and lose the same chunks; a chunk that repeats inside a text loses its later copies.
 Only digests are grouped, with map-side aggregation, so a chunk that a third of all documents share is one row there.
+
+``passage_dedup`` has the finest chunks, which the lines of a passage's neighbours cannot blur: every two successive
+non-blank lines (with the blank ones between) and every line of ``MIN_WORDS`` words or more.  A repeated passage of two
+or more non-blank lines is a run of such pairs, so all of its lines go, wherever it stands, and so does a long line
+alone.  The first occurrence of a line is in no repeated pair, so every line of the table stays at least once.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from pyspark.sql import functions as F
 from .common import join_checked, materialise
 
 WINDOW, DIVISOR, MIN_LINES, BASE = 2, 3, 2, 31
+MIN_WORDS = 50
 NEWLINE = "\n"
 
 
@@ -59,15 +65,20 @@ def repeated_chunks(rows: DataFrame, min_lines: int) -> DataFrame:
     # every text has a chunk; the outer form keeps the optimizer from testing that by computing all chunks beforehand
     each = rows.select("doc_id", "text_key", F.posexplode_outer("_chunks").alias("pos", "c")).where(F.col("c.filled") >= min_lines) \
         .select("doc_id", "text_key", "pos", F.col("c.body").alias("body"), F.md5("c.body").alias("digest"))
+    same = later_copies(each)
+    return materialise(same.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone")), "line-removed")
+
+
+def later_copies(each: DataFrame) -> DataFrame:
+    """Rows of ``each`` (doc_id, text_key, pos, body, digest) whose body is that of the first with their digest."""
     place = F.struct("doc_id", "pos", "text_key")
     # digests only; each task sends one row per digest it meets
     groups = each.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     groups = materialise(groups.select("digest", "first"), "line-groups")
     hits = join_checked(each, groups, "digest", row_bytes=128).withColumn("is_first", place == F.col("first"))
-    hits = materialise(hits.select("digest", "doc_id", "text_key", "pos", "body", "is_first"), "line-hits")
+    hits = materialise(hits.select(*each.columns, "is_first"), "line-hits")
     firsts = hits.where("is_first").select("digest", F.col("body").alias("first_body")).dropDuplicates(["digest"])
-    same = hits.where("not is_first").join(materialise(firsts, "line-firsts"), "digest").where(F.col("body") == F.col("first_body"))
-    return materialise(same.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone")), "line-removed")
+    return hits.where("not is_first").join(materialise(firsts, "line-firsts"), "digest").where(F.col("body") == F.col("first_body"))
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -93,3 +104,45 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = whole.unionByName(cut)
     return out.select(*[(F.col("_text") if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c != out_col],
                       F.col("_report").alias(out_col))
+
+
+def passages(rows: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, text_key, pos, stop, body, digest): every two successive non-blank lines, every line of ``min_words``."""
+    rows = rows.select("doc_id", "text_key", F.split(F.coalesce("text", F.lit("")), NEWLINE, -1).alias("_lines"))
+    filled = F.filter(F.transform("_lines", lambda x, i: F.when(F.trim(x) != "", i)), lambda i: i.isNotNull())
+    rows = rows.withColumn("_filled", filled)
+
+    def unit(start, stop, body):
+        return F.struct(start.alias("pos"), stop.alias("stop"), body.alias("body"))
+
+    def pair(start, k):
+        stop = F.get("_filled", k + 1)
+        return F.when(stop.isNotNull(), unit(start, stop, F.array_join(F.slice("_lines", start + 1, stop - start + 1), NEWLINE)))
+
+    long = F.transform("_lines", lambda x, i: F.when(x.rlike(rf"^\s*+(?:\S++\s++){{{min_words - 1}}}\S"), unit(i, i, x)))
+    units = F.concat(F.transform("_filled", pair), long)
+    return rows.select("doc_id", "text_key", F.explode(units).alias("c")).where("c is not null") \
+        .select("doc_id", "text_key", "c.pos", "c.stop", "c.body", F.md5("c.body").alias("digest"))
+
+
+def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
+                  out_col: str = "line_dedup") -> DataFrame:
+    """All columns of ``docs``, the text without repeated passages, and the struct ``out_col`` (n_lines, n_removed_lines,
+    n_removed_runs), which takes the place of a column of that name."""
+    keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                        F.xxhash64(F.col(text_col)).alias("text_key"))
+    same = later_copies(passages(keyed.drop("_row"), min_words))
+    same = same.select("doc_id", "text_key", F.explode(F.sequence("pos", "stop")).alias("line"))
+    gone = materialise(same.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("gone")), "line-removed")
+    gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")
+    # removed lines grow with the documents, so this is a shuffled join at every size
+    rows = keyed.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
+    rows = rows.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), NEWLINE, -1))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")
+    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.element_at("_lines", i + 1)), NEWLINE))
+    size = lambda a: F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size(a))
+    report = F.struct(F.size("_lines").alias("n_lines"), size("gone").alias("n_removed_lines"),
+                      size(F.array_except("gone", F.transform("gone", lambda i: i + 1))).alias("n_removed_runs"))
+    return rows.select(*[(text if c == text_col else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns if c != out_col],
+                       report.alias(out_col))

@@ -93,6 +93,52 @@ def test_lines_shift_resistance():
     assert len(same) >= len(a) - 5
 
 
+def passages_plain(rows):
+    """Text and removed lines of each document: pairs of successive non-blank lines and lines of 50 words met before."""
+    units = []
+    for i, t in set(rows):
+        lines = (t or "").split("\n")
+        full = [k for k, x in enumerate(lines) if x.strip(" ")]
+        for a, b in [*zip(full, full[1:]), *((k, k) for k, x in enumerate(lines) if len(re.findall(r"[^ \t\n\x0b\f\r]+", x)) >= 50)]:
+            units.append(((order(i), a, t or ""), (i, t), b, tuple(lines[a:b + 1])))
+    first, gone = {}, {}
+    for place, doc, b, body in sorted(units, key=lambda u: u[0]):
+        if first.setdefault(body, place) != place:
+            gone.setdefault(doc, set()).update(range(place[1], b + 1))
+    return {(i, t): ("\n".join(x for k, x in enumerate(t.split("\n")) if k not in gone[i, t]) if (i, t) in gone else t,
+                     len(gone.get((i, t), ()))) for i, t in rows}
+
+
+def test_passages(docs, rows, rows_of, none):
+    want = passages_plain(rows)
+    out = line_dedup.passage_dedup(docs)
+    assert out.columns == [*docs.columns, "line_dedup"]
+    got = rows_of(out.select("doc_id", "text", "line_dedup.*"), "doc_id", "text", "n_removed_lines")
+    assert got == sorted(((i, *want[i, t]) for i, t in rows), key=str) and any(n for _, n in want.values())
+    assert line_dedup.passage_dedup(none).count() == 0
+    assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().toString().replace("ArrowColumnar", ""))
+
+
+def test_short_passages_between_other_lines_go(spark, monkeypatch):
+    rows, planted = [], {}
+    for n in range(1, 6):
+        for k in range(4):
+            words = 60 if n == 1 else 5
+            block = [f"{n} {k} {x} " + " ".join(f"w{j}" for j in range(words)) for x in range(n)]
+            for copy in range(2):
+                i = 100 * n + 10 * k + copy
+                around = [f"line {x} of document {i}" for x in range(6)]
+                rows.append((i, "\n".join([*around[:3], *block, *around[3:]]), 0))
+                planted[i] = "\n".join(around) if copy else rows[-1][1]
+    # single short lines stay
+    for i in (900, 901):
+        rows.append((i, f"only here {i}\na short line\nand only here {i}", 0))
+        planted[i] = rows[-1][1]
+    monkeypatch.setattr(corpus_pipeline, "prepare", lambda s: None)
+    got = corpus_pipeline.lines(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), "").collect()
+    assert {r.doc_id: r.text for r in got} == planted and all(r.n_chars == len(r.text) for r in got)
+
+
 def simhash_plain(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
     sh = [b" ".join(w[k:k + 3]) for k in range(max(1, len(w) - 2))] if w else []
