@@ -9,8 +9,9 @@ its bytes for removal.  All starts are judged on the input.
    then doubling over the groups that are still tied), Kasai's walk gives the common prefixes, and runs of prefixes of
    ``length`` or more are the shard's repeats.  Only a shard's first occurrences go on.
 3. First occurrences meet by key.  The strings of the shards that meet there are merged: sorted fingerprints, each
-   string finds the earliest of its kind by binary search, and its bytes are compared.  Strings of a key that fills more
-   than a block are merged block by block with the distinct ones met before.
+   string finds the earliest of its kind by binary search, and its bytes are compared.  Keys that fill more than half a
+   block are hot: their strings are dealt on by a fingerprint of the whole string, those that a second filter knows to
+   occur once stay behind, and bytes are compared inside equal fingerprints.
 
 Null text counts as empty.  Rows that repeat doc_id and text are one document; different texts of one doc_id are separate
 documents in the order of their text hash.  A null doc_id comes first.  Texts shorter than ``length`` keep all bytes.
@@ -23,13 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RepeatFilter, column_bytes, materialise, mix64, ranges, shuffle_width, small
+from .common import RepeatFilter, column_bytes, join_checked, materialise, mix64, ranges, shuffle_width, small
 
 GRAM = 32
 GROUP_BYTES = 1 << 20  # text whose keys are computed together
 SHARD_BYTES = 1 << 20  # text of a suffix array
 BLOCK_BYTES = 1 << 20  # text merged together across shards
 NO_ID = np.iinfo(np.int64).min
+SPANS = "doc_id long, text_key long, start long, stop long"
 PARTS = "key long, doc_id long, text_key long, start long, stop long, body binary"
 _BYTE = mix64(mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
@@ -256,18 +258,8 @@ def shard_parts(src: DataFrame, seen: RepeatFilter, length: int, shard_bytes: in
     return src.mapInArrow(run, PARTS)
 
 
-class Merged:
-    """Distinct strings of the key that is still open, as sorted fingerprints with their bytes and places."""
-
-    def __init__(self, length: int):
-        self.h, self.rows, self.place = np.empty(0, np.uint64), np.empty((0, length), np.uint8), np.empty((0, 3), np.int64)
-
-
-def merge_block(rows, carry: Merged, length: int):
-    """Strings of a block of rows in place order; True where an equal string is earlier, and the fingerprints.
-
-    ``carry`` holds distinct strings of earlier blocks.
-    """
+def merge_block(rows, length: int):
+    """Strings of a block of rows; True where an equal string is earlier in the block."""
     n = np.array([len(r[4]) for r in rows], np.int64)
     text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
     first = np.cumsum(n) - n
@@ -291,64 +283,105 @@ def merge_block(rows, carry: Merged, length: int):
             s = whole[pos[i]:pos[i] + length]
             j = met.setdefault(s, i)
             gone[i] = (place[i] != place[j]).any()
-    if len(carry.h):
-        slot = np.minimum(np.searchsorted(carry.h, h), len(carry.h) - 1)
-        hit = np.flatnonzero((carry.h[slot] == h) & ~gone)
-        for part in np.array_split(hit, len(hit) // 50_000 + 1):
-            s = slot[part]
-            equal = (text[pos[part][:, None] + np.arange(length)] == carry.rows[s]).all(axis=1)
-            gone[part] = equal & (carry.place[s] != place[part]).any(axis=1)
-    return text, pos, row, place, h, gone
+    return pos, row, place, gone
 
 
 def merge_shards(parts: DataFrame, length: int, block_bytes: int) -> DataFrame:
-    """Repeats across shards: spans (doc_id, text_key, start, stop)."""
+    """Repeats across shards among keys that fill half a block at most: spans (doc_id, text_key, start, stop)."""
     def run(batches):
-        held, size, carry, open_key = [], 0, Merged(length), None
+        held, size = [], 0
         for b in batches:
             for r in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if size >= block_bytes:
-                    last = held[-1][0]
-                    yield from block(held, carry if held[0][0] == open_key else Merged(length))
-                    carry = after(held, carry if held[0][0] == open_key else Merged(length), last) if r[0] == last else Merged(length)
-                    open_key, held, size = last, [], 0
+                if size >= block_bytes // 2 and r[0] != held[-1][0]:
+                    yield from block(held)
+                    held, size = [], 0
                 held.append((r[0], NO_ID if r[1] is None else r[1], *r[2:]))
                 size += len(r[4])
         if held:
-            yield from block(held, carry if held[0][0] == open_key else Merged(length))
-
-    def after(held, carry, key):
-        """What the next block of the same key must know."""
-        rows = [r for r in held if r[0] == key]
-        if rows[0] is not held[0]:
-            carry = Merged(length)
-        text, pos, _, place, h, gone = merge_block(rows, carry, length)
-        keep = np.flatnonzero(~gone)
-        keep = keep[np.unique(h[keep], return_index=True)[1]]
-        out = Merged(length)
-        out.h = np.concatenate([carry.h, h[keep]])
-        out.rows = np.concatenate([carry.rows, text[pos[keep][:, None] + np.arange(length)]])
-        out.place = np.concatenate([carry.place, place[keep]])
-        out.h, first = np.unique(out.h, return_index=True)
-        out.rows, out.place = out.rows[first], out.place[first]
-        return out
-
-    def block(held, carry):
-        _, pos, row, place, _, gone = merge_block(held, carry, length)
+            yield from block(held)
+
+    def block(held):
+        pos, row, place, gone = merge_block(held, length)
         at = np.flatnonzero(gone)
         if not len(at):
             return
         new = np.r_[True, (np.diff(row[at]) != 0) | (np.diff(pos[at]) != 1)]
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(at)) - 1
-        ids = place[at[head], 0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, mask=ids == NO_ID), pa.array(place[at[head], 1]), pa.array(place[at[head], 2]),
-             pa.array(place[at[tail], 2] + length)], names=["doc_id", "text_key", "start", "stop"])
+        yield span_batch(place[at[head]], place[at[tail], 2] + length)
 
     dealt = parts.select("key", "doc_id", "text_key", "start", "body").repartition(shuffle_width(parts.sparkSession), "key") \
         .sortWithinPartitions("key", "doc_id", "text_key", "start")
-    return dealt.mapInArrow(run, "doc_id long, text_key long, start long, stop long")
+    return dealt.mapInArrow(run, SPANS)
+
+
+def span_batch(place: np.ndarray, stop: np.ndarray):
+    ids = place[:, 0]
+    return pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == NO_ID), pa.array(place[:, 1]), pa.array(place[:, 2]), pa.array(stop)],
+                                      names=["doc_id", "text_key", "start", "stop"])
+
+
+def hot_windows(parts: DataFrame, length: int, seen: RepeatFilter | None) -> DataFrame:
+    """Fingerprints of all strings; with ``seen`` only strings whose fingerprint may repeat, with place and bytes."""
+    def run(batches):
+        for b in small(batches):
+            data, offs = column_bytes(b.column(3))
+            n = np.diff(offs)
+            pos = ranges(offs[:-1], n - length + 1)
+            row = np.repeat(np.arange(len(n)), n - length + 1)
+            h = string_hash(data, length)[pos].view(np.int64)
+            if not seen:
+                yield pa.RecordBatch.from_arrays([pa.array(h)], names=["h"])
+                continue
+            start = np.asarray(b.column(2)) + np.zeros(len(n), np.int64)
+            for at in np.array_split(np.flatnonzero(seen.test(h)), len(h) // 50_000 + 1):
+                p, r = pos[at], row[at]
+                body = np.ascontiguousarray(data[p[:, None] + np.arange(length)])
+                cuts = np.arange(len(at) + 1, dtype=np.int32) * length
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[at]), b.column(0).take(pa.array(r)), b.column(1).take(pa.array(r)), pa.array(start[r] + p - offs[r]),
+                     pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(body)])],
+                    names=["h", "doc_id", "text_key", "start", "body"])
+
+    return parts.select("doc_id", "text_key", "start", "body").mapInArrow(
+        run, "h long, doc_id long, text_key long, start long, body binary" if seen else "h long")
+
+
+def merge_hot(parts: DataFrame, length: int, log2_bits: int) -> DataFrame:
+    """Repeats across shards among the strings of hot keys, dealt by the fingerprint of the whole string.
+
+    A string comes once from a shard at most, so a fingerprint has as many rows as there are shards; of a fingerprint the
+    distinct strings are kept (one, but for collisions), of a key nothing.
+    """
+    seen = RepeatFilter(log2_bits, k=1).build(hot_windows(parts, length, None))
+
+    def run(batches):
+        open_h, met = None, {}
+        for b in batches:
+            out = []
+            for h, doc, text_key, start, body in zip(*(c.to_pylist() for c in b.columns)):
+                if h != open_h:
+                    open_h, met = h, {}
+                place = (NO_ID if doc is None else doc, text_key, start)
+                if met.setdefault(body, place) != place:
+                    out.append(place)
+            if out:
+                place = np.array(out, np.int64)
+                yield span_batch(place, place[:, 2] + length)
+
+    dealt = hot_windows(parts, length, seen).repartition(shuffle_width(parts.sparkSession), "h") \
+        .sortWithinPartitions("h", "doc_id", "text_key", "start")
+    return dealt.mapInArrow(run, SPANS)
+
+
+def merged_repeats(firsts: DataFrame, length: int, block_bytes: int, log2_bits: int) -> DataFrame:
+    """Repeats across shards.  Keys with more than half a block of strings are told by a sum over the written shards."""
+    hot = firsts.groupBy("key").agg(F.sum(F.col("stop") - F.col("start")).alias("n")).where(F.col("n") > block_bytes // 2)
+    hot = materialise(hot.select("key"), "suffix-hot-keys")
+    if hot.isEmpty():
+        return merge_shards(firsts, length, block_bytes)
+    return merge_shards(join_checked(firsts, hot, "key", "left_anti"), length, block_bytes).unionByName(
+        merge_hot(join_checked(firsts, hot, "key", "left_semi"), length, log2_bits))
 
 
 def union_spans(spans: list) -> list[list[int]]:
@@ -372,7 +405,7 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     seen = RepeatFilter(log2_bits, k=1).build(candidate_keys(src, length))
     parts = materialise(shard_parts(src, seen, length, shard_bytes), "suffix-shards")
     spans = parts.where("key is null").select("doc_id", "text_key", "start", "stop").unionByName(
-        merge_shards(parts.where("key is not null"), length, block_bytes))
+        merged_repeats(parts.where("key is not null"), length, block_bytes, log2_bits))
     spans = materialise(spans.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")), "suffix-spans")
     # spans grow with the documents, so this is a shuffled join at every size

@@ -228,6 +228,23 @@ def test_suffix_dedup(docs, rows, none, sizes):
         assert suffix_dedup.suffix_dedup(none).count() == 0
 
 
+def test_strings_of_a_hot_key_spread_over_tasks(spark, monkeypatch):
+    r = np.random.default_rng(8)
+    word = lambda n: "".join(r.choice(list("abcdefgh"), n))
+    # a passage shorter than a string, with different edges in every document: one key, nearly all strings distinct
+    passage = word(60)
+    rows = [(i, word(80) + passage + word(80)) for i in range(300)]
+    rows += [(1000 + i, rows[i][1][20:] + word(30)) for i in range(40)]
+    dealt = []
+    take = suffix_dedup.hot_windows
+    monkeypatch.setattr(suffix_dedup, "hot_windows", lambda *a: dealt.append(take(*a)) or dealt[-1])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = suffix_dedup.suffix_dedup(df, shard_bytes=4000, block_bytes=4000).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
+    assert sorted(((*x[:4], bytes(x[4])) for x in got), key=str) == suffix_plain(rows, 100)
+    whole, sent = dealt
+    assert sent.count() < whole.count() / 2 and sent.groupBy("h").count().agg(F.max("count")).first()[0] <= 12
+
+
 def test_suffix_array_and_common_prefixes():
     r = np.random.default_rng(6)
     for t in range(40):
