@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common
 from .common import join_checked, materialise
 
 WINDOW, DIVISOR, MIN_LINES, BASE = 2, 3, 2, 31
@@ -89,7 +90,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         F.xxhash64(F.col(text_col)).alias("text_key"))
     gone = repeated_chunks(bodies(chunked(keyed.drop("_row"), window, divisor)), min_lines)
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")
-    rows = join_checked(keyed, gone, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left", row_bytes=256)
+    # a row is as long as its array, so the bound is on all positions together
+    row, places = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
+    is_small = row * 64 + places * 8 <= common.BROADCAST_ROWS * 64
+    rows = keyed.join(F.broadcast(gone) if is_small else gone.hint("merge"),
+                      F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
     # only texts that lose something are cut again
     cut = bodies(chunked(rows.where("gone is not null"), window, divisor))
     removed = F.filter("_chunks", lambda c, i: F.array_contains("gone", i))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskloom.llm import chunk_dedup, exact_dedup, line_dedup, simhash, suffix_dedup
+from riskloom.llm import chunk_dedup, common, exact_dedup, line_dedup, simhash, suffix_dedup
 from riskloom.llm.common import RepeatFilter
 from riskloom.llm.graph import components
 
@@ -86,6 +86,15 @@ def test_lines_plan_is_native(docs):
     assert not re.search("Python|Arrow|Pandas", plan.replace("ArrowColumnar", ""))
 
 
+def test_lines_of_long_texts_are_not_broadcast(spark, monkeypatch):
+    # two rows of removed chunks, with hundreds of positions each
+    text = "\n".join(f"line {i % 7}" for i in range(3000))
+    df = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 100)
+    plan = line_dedup.line_dedup(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" not in plan and "strategy=merge" in plan
+
+
 def test_lines_shift_resistance():
     block = [f"line {i} of the block" for i in range(60)]
     a, b = line_chunks("\n".join(block)), line_chunks("\n".join(["new", *block[:20], *block[25:]]))
