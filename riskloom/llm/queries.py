@@ -132,3 +132,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     out = suffix_dedup(table(spark, sf_dir, "documents"), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .common import sha256_hex
+    from .periodic_runs import periodic_runs, with_planted_period
+
+    out = periodic_runs(with_planted_period(table(spark, sf_dir, "documents")))
+    # the greatest length/period, compared as fractions; ties: smallest start, then period
+    before = ("(l, r) -> case when l.length * r.period <> r.length * l.period then if(l.length * r.period > r.length * l.period, -1, 1)"
+              " when l.start <> r.start then if(l.start < r.start, -1, 1) when l.period < r.period then -1 when l.period > r.period then 1 else 0 end")
+    best = F.get(F.expr(f"array_sort(runs, {before})"), F.lit(0))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    out = out.withColumn("best", best)
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                      F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                      sha256_hex(F.concat_ws("", listed)).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"))
