@@ -151,3 +151,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                       sha256_hex(F.concat_ws("", listed)).alias("runs_sha256"), sha256_hex(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+@register("op13_spelling")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"), drop_every=97)
