@@ -65,30 +65,35 @@ def reduced_code(sym: np.ndarray) -> np.ndarray:
     return mix64((sym * powers(len(sym))[:len(sym)]).sum(dtype=np.uint64)[None] + np.uint64(len(sym)))
 
 
-def neighbourhood(sym: np.ndarray, count: int):
-    """Codes of a reduced word and of all words one edit from it, each once, in slices.
+def neighbourhoods(sym: np.ndarray, count: int):
+    """(row, code) arrays: the reduced words of one length that are the rows of ``sym``, and all words one edit from each,
+    each once, in slices.
 
     Deleting any letter of a stretch of equal ones, or adding one to it, gives one word: only its last place is used."""
-    n = len(sym)
+    rows, n = sym.shape
     p = powers(n + 1)
     terms = sym * p[:n]
-    before = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])  # sum of the first i terms
-    total = before[n]
-    after = total - before  # terms from i on
-    left = np.zeros(n, np.uint64)  # terms after i, moved one place to the left
-    left[:n - 1] = np.cumsum((sym[1:] * p[:n - 1])[::-1], dtype=np.uint64)[::-1]
-    last = np.append(sym[1:] != sym[:-1], True)
-    yield np.append(reduced_code(sym), mix64((before[:n] + left)[last] + np.uint64(n - 1)))
-    step = max(1, SLICE // count)
+    before = np.zeros((rows, n + 1), np.uint64)  # sum of the first i terms
+    np.cumsum(terms, axis=1, out=before[:, 1:])
+    total = before[:, n:]
+    after = (total - before) * BASE  # terms from i on, moved one place to the right
+    left = np.zeros((rows, n), np.uint64)  # terms after i, moved one place to the left
+    left[:, :n - 1] = np.cumsum((sym[:, 1:] * p[:n - 1])[:, ::-1], axis=1, dtype=np.uint64)[:, ::-1]
+    at = np.nonzero(np.concatenate([sym[:, 1:] != sym[:, :-1], np.ones((rows, 1), bool)], 1))
+    yield np.arange(rows), mix64(total[:, 0] + np.uint64(n))
+    yield at[0], mix64(before[:, :n][at] + left[at] + np.uint64(n - 1))
+    step = max(1, SLICE // (count * rows))
     letters = np.arange(1, count + 1, dtype=np.uint64)
-    follows = np.append(sym, np.uint64(0))  # the letter after each gap
+    follows = np.concatenate([sym, np.zeros((rows, 1), np.uint64)], 1)  # the letter after each gap
     for i in range(0, n + 1, step):
-        j = np.arange(i, min(i + step, n + 1))
-        put = before[j][:, None] + letters * p[j][:, None] + (after[j] * BASE)[:, None]
-        k = j[j < n]
-        other = (total - terms[k])[:, None] + letters * p[k][:, None]
-        yield np.concatenate([mix64(put[follows[j][:, None] != letters] + np.uint64(n + 1)),
-                              mix64(other[sym[k][:, None] != letters] + np.uint64(n))])
+        j = slice(i, min(i + step, n + 1))
+        put = (before + after)[:, j, None] + letters * p[j][:, None]
+        at = np.nonzero(follows[:, j, None] != letters)
+        yield at[0], mix64(put[at] + np.uint64(n + 1))
+        j = slice(i, min(i + step, n))
+        other = (total - terms[:, j])[..., None] + letters * p[j][:, None]
+        at = np.nonzero(sym[:, j, None] != letters)
+        yield at[0], mix64(other[at] + np.uint64(n))
 
 
 def letters_of(word: str) -> np.ndarray:
@@ -111,30 +116,27 @@ def near_words(vocab: DataFrame, count: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.concatenate(codes).view(np.int64))], names=["near", "near_n", "code"])
 
     def near(batches):
-        held, size = [], 0
         for b in batches:
-            for i, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                for codes in neighbourhood(symbols_of(letters_of(w), count), count):
-                    held.append((i, w if len(w) <= CARRIED else None, codes))
-                    size += len(codes)
-                    if size > SLICE:
-                        yield emit(held)
-                        held, size = [], 0
-        if held:
-            yield emit(held)
-
-    def emit(held):
-        ids, words, codes = zip(*held)
-        take = pa.array(np.repeat(np.arange(len(held)), list(map(len, codes))))
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()).take(take), pa.array(words, pa.string()).take(take),
-                                           pa.array(np.concatenate(codes).view(np.int64))], names=["id", "word", "code"])
+            ids, words = np.asarray(b.column(0)), b.column(1).to_pylist()
+            lens = np.fromiter(map(len, words), np.int64, len(words))
+            for n in np.unique(lens).tolist():
+                same = np.flatnonzero(lens == n)
+                step = max(1, SLICE // (n * count))
+                for i in range(0, len(same), step):
+                    some = same[i:i + step]
+                    sym = np.stack([symbols_of(letters_of(words[k]), count) for k in some.tolist()])
+                    for row, codes in neighbourhoods(sym, count):
+                        take = pa.array(some[row])
+                        word = b.column(1).take(take) if n <= CARRIED else pa.nulls(len(row), pa.string())
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[some[row]]), word, pa.array(codes.view(np.int64))], names=["id", "word", "code"])
 
     one_edit = lambda word: (F.abs(F.length(word) - F.length("near")) <= 1) & (F.levenshtein(word, "near", 1) == 1)
-    met = vocab.select("id", "word").mapInArrow(near, "id long, word string, code long").join(
-        vocab.select("word", "n").mapInArrow(own, "near string, near_n long, code long"), "code")
-    met = met.where(F.col("word").isNull() | one_edit("word"))
-    late = met.where("word is null").drop("word").join(vocab.where(F.length("word") > CARRIED).select("id", "word"), "id").where(one_edit("word"))
-    return met.where("word is not null").select("id", "near", "near_n").unionByName(late.select("id", "near", "near_n"))
+    here = vocab.select("word", "n").mapInArrow(own, "near string, near_n long, code long")
+    meet = lambda words: words.select("id", "word").mapInArrow(near, "id long, word string, code long").join(here, "code")
+    long_ = vocab.where(F.length("word") > CARRIED)
+    met = meet(vocab.where(F.length("word") <= CARRIED)).where(one_edit("word"))
+    late = meet(long_).drop("word").join(long_.select("id", "word"), "id").where(one_edit("word"))
+    return met.select("id", "near", "near_n").unionByName(late.select("id", "near", "near_n"))
 
 
 def roots(forms: DataFrame) -> DataFrame:
