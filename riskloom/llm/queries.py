@@ -134,6 +134,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@register("op11_packing")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), window=1024)
+
+
 @register("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
