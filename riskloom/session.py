@@ -68,15 +68,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def written(path: str) -> str:
+    """Note a folder for ``drop_materialised``."""
+    _WRITTEN.append(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it from there.
 
     Survives executor loss; unlike a checkpoint it is computed once, and its readers prune columns and push filters.
     The folders last as long as the application; ``drop_materialised`` deletes them.
     """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = written(f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
