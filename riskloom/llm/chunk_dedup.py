@@ -6,7 +6,8 @@ step again after an insertion.  Chunks with equal digests (XXH3, 128 bits) are o
 doc_id, then position) are repeats.  A run of adjacent repeats of ``min_run`` bytes or more is removed; shorter runs
 are common turns of phrase and stay.
 
-A filter of repeated digests (``RepeatFilter``, fixed size) keeps chunks that certainly occur once out of the shuffle.
+A filter of repeated digests (``RepeatFilter``, sized by the number of chunks, in slices by digest where one filter would be
+too large to broadcast) keeps 95 % or more of the chunks that occur once out of the shuffle, at any size.
 
 Null texts count as empty and have no chunks; a text that loses everything stays as an empty text.  Rows that repeat
 doc_id and text are one document.
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RepeatFilter, column_bytes, materialise, mix64, small
+from .common import column_bytes, materialise, mix64, probed, small
 
 MIN_SIZE, BITS, MAX_SIZE, MIN_RUN = 32, 5, 512, 100
 PIECE = 4 << 20
@@ -68,8 +69,8 @@ def chunk_ends(raw: np.ndarray, min_size: int = MIN_SIZE, bits: int = BITS, max_
     return ends
 
 
-def chunk_table(docs: DataFrame, seen: RepeatFilter | None, **sizes) -> DataFrame:
-    """Chunks that ``seen`` does not rule out: digest halves d1 and d2, doc_id, text_key, start, size."""
+def chunk_table(docs: DataFrame, **sizes) -> DataFrame:
+    """All chunks: digest halves d1 and d2, doc_id, text_key, start, size."""
     def run(batches):
         for b in small(batches):
             data, offs = column_bytes(b.column(1))
@@ -84,11 +85,8 @@ def chunk_table(docs: DataFrame, seen: RepeatFilter | None, **sizes) -> DataFram
                 at = int(offs[i])
                 d = np.frombuffer(b"".join([xxhash.xxh3_128_digest(whole[at + s:at + e]) for s, e in zip(starts, ends)]), np.int64).reshape(-1, 2)
                 starts, ends = np.array(starts, np.int32), np.array(ends, np.int32)
-                keep = seen.test(d[:, 0]) if seen else np.ones(len(d), bool)
-                k = int(keep.sum())
-                if k:
-                    parts.append((d[keep, 0], d[keep, 1], [doc] * k, np.full(k, key, np.int64), starts[keep], (ends - starts)[keep]))
-                    held += k
+                parts.append((d[:, 0], d[:, 1], [doc] * len(d), np.full(len(d), key, np.int64), starts, ends - starts))
+                held += len(d)
                 if held > 100_000:
                     yield batch(parts)
                     parts, held = [], 0
@@ -114,10 +112,10 @@ def merge_runs(spans: list, min_run: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if b - a >= min_run]
 
 
-def repeated_spans(docs: DataFrame, log2_bits: int, **sizes) -> DataFrame:
+def repeated_spans(docs: DataFrame, slices: int | None, log2_bits: int | None, **sizes) -> DataFrame:
     """(doc_id, text_key, spans) of the documents with repeated chunks."""
-    seen = RepeatFilter(log2_bits, k=2).build(chunk_table(docs, None, **sizes).select("d1"))
-    chunks = materialise(chunk_table(docs, seen, **sizes), "chunks")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = probed(chunk_table(docs, **sizes), "d1", size // (sizes["min_size"] + (1 << sizes["bits"])), "chunks", slices, log2_bits).where("possible").drop("possible")
     place = F.struct("doc_id", "start", "text_key")
     groups = chunks.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     groups = materialise(groups.select("d1", "d2", "first"), "chunk-groups")
@@ -125,12 +123,12 @@ def repeated_spans(docs: DataFrame, log2_bits: int, **sizes) -> DataFrame:
     return materialise(later.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "size")).alias("spans")), "chunk-spans")
 
 
-def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, log2_bits: int = 27,
+def chunk_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN, slices: int | None = None, log2_bits: int | None = None,
                 min_size: int = MIN_SIZE, bits: int = BITS, max_size: int = MAX_SIZE) -> DataFrame:
     """One row per input row: doc_id, kept text, n_bytes, n_removed, n_spans."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"))
-    spans = repeated_spans(src, log2_bits, min_size=min_size, bits=bits, max_size=max_size)
+    spans = repeated_spans(src, slices, log2_bits, min_size=min_size, bits=bits, max_size=max_size)
     spans = spans.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "spans")
     # spans grow with the documents, so this is a shuffled join at every size
     rows = src.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")

@@ -14,12 +14,13 @@ import os
 import uuid
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.session import checkpoint_dir
+from riskloom.session import checkpoint_dir, written
 
 BUCKET_BITS = 16  # positions of the repeat filter travel as 16-bit offsets inside buckets of 65,536 bits
 
@@ -38,14 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder under the shared checkpoint folder, which ``session.drop_materialised`` deletes with the others."""
+    return written(f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write to the shared folder and reread: computed once, cheap to reread, safe from lost executors."""
     path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -95,8 +96,8 @@ class RepeatFilter:
 
     ``build`` sets ``k`` positions per hash in a first filter and, where a position was set before, in a second
     one.  A hash that occurs twice has all its positions in the second filter, so ``test`` never misses a repeat;
-    a false alarm only costs work.  The filter has a fixed size (2**log2_bits bits, 16 MiB by default), whatever
-    the input, so it is safe to broadcast; beyond its capacity more rows pass it and results stay the same.
+    a false alarm only costs work.  It has 2**log2_bits bits; ``filter_bits`` gives the size for a number of hashes,
+    and ``filter_slices`` deals more hashes than one filter holds into slices with a filter each.
     """
 
     def __init__(self, log2_bits: int = 27, k: int = 2):
@@ -126,7 +127,9 @@ class RepeatFilter:
                 yield from emit(np.concatenate(held))
 
         def emit(h):
-            p = np.sort(np.concatenate(self.positions(h)))
+            # twice says all there is to say of a position, so a hot hash is two entries of a worker's emission
+            p, n = np.unique(np.concatenate(self.positions(h)), return_counts=True)
+            p = np.repeat(p, np.minimum(n, 2))
             bucket = p >> BUCKET_BITS
             cut = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
             low = (p & 0xFFFF).astype(np.uint16)
@@ -166,6 +169,56 @@ class RepeatFilter:
             hit = x if hit is None else hit & x
         return hit
 
+    def udf(self):
+        """``test`` as a column function."""
+        @F.pandas_udf("boolean")
+        def possible(x: pd.Series) -> pd.Series:
+            return pd.Series(self.test(x.to_numpy(np.int64)))
+
+        return possible
+
+
+FALSE_ALARM_BITS = 8  # bits a hash: under 5 % of unique hashes pass two positions
+MAX_FILTER_BITS = 29  # 64 MiB, the largest filter that is broadcast
+
+
+def filter_bits(hashes: int) -> int:
+    """Size (log2 of bits) at which a filter with two positions lets under 5 % of so many unique hashes pass."""
+    return min(MAX_FILTER_BITS, max(16, (max(1, hashes) * FALSE_ALARM_BITS - 1).bit_length()))
+
+
+def filter_slices(hashes: int) -> int:
+    """Slices (by hash) of which each fits the largest filter; one more than needed from two on, as slices vary."""
+    n = -(-max(1, hashes) * FALSE_ALARM_BITS // (1 << MAX_FILTER_BITS))
+    return n if n == 1 else n + 1
+
+
+def probed(rows: DataFrame, hash_col: str, hashes: int, name: str, slices: int | None = None,
+           log2_bits: int | None = None) -> DataFrame:
+    """``rows``, written once, with a column ``possible``: false where the hash (a long column) certainly occurs once.
+
+    ``hashes`` (an estimate of the rows) chooses the number of slices; each slice's filter is sized by its count (or
+    ``log2_bits``).  A slice is a folder of the written table, so that every row is read once for the filters and once for the probe."""
+    spark = rows.sparkSession
+    slices = slices or filter_slices(hashes)
+    path = scratch(spark, name)
+    rows.withColumn("filter_slice", F.pmod(F.xxhash64(F.col(hash_col)), F.lit(slices)).cast("int")) \
+        .write.partitionBy("filter_slice").parquet(path)
+    out = None
+    for k in range(slices):
+        part = spark.read.schema(rows.schema).parquet(path + f"/filter_slice={k}") if has_folder(spark, path + f"/filter_slice={k}") else None
+        if part is None:
+            continue
+        seen = RepeatFilter(log2_bits or filter_bits(part.count()), k=2).build(part.select(hash_col))
+        part = part.withColumn("possible", seen.udf()(F.col(hash_col)))
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], rows.schema.add("possible", "boolean"))
+
+
+def has_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
 
 def sha256_hex(col):
     return F.sha2(F.coalesce(col, F.lit("")), 256)

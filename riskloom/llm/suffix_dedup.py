@@ -4,14 +4,14 @@ Every ``length``-byte string that starts earlier elsewhere (smaller doc_id, or s
 its bytes for removal.  All starts are judged on the input.
 
 1. Each start's key is the least hash of the 32-byte strings inside its ``length`` bytes: equal strings have equal keys.
-   A filter of repeated keys (``RepeatFilter``, fixed size) leaves only text that may repeat.
+   A filter of repeated keys (``RepeatFilter``) leaves only text that may repeat.  It is probed while the text is read, so it
+   is one filter of at most 2**``log2_bits`` bits; beyond some 50 million keys more and more unique text passes it.
 2. That text is cut into shards.  A shard's suffix array is built by Larsson-Sadakane refinement (packed 8-byte prefixes,
    then doubling over the groups that are still tied), Kasai's walk gives the common prefixes, and runs of prefixes of
    ``length`` or more are the shard's repeats.  Only a shard's first occurrences go on.
 3. First occurrences meet by key.  The strings of the shards that meet there are merged: sorted fingerprints, each
    string finds the earliest of its kind by binary search, and its bytes are compared.  Keys that fill more than half a
-   block are hot: their strings are dealt on by a fingerprint of the whole string, those that a second filter knows to
-   occur once stay behind, and bytes are compared inside equal fingerprints.
+   block are hot: their strings are dealt on by a 128-bit fingerprint of the whole string, which stands for its bytes.
 
 Null text counts as empty.  Rows that repeat doc_id and text are one document; different texts of one doc_id are separate
 documents in the order of their text hash.  A null doc_id comes first.  Texts shorter than ``length`` keep all bytes.
@@ -321,67 +321,61 @@ def span_batch(place: np.ndarray, stop: np.ndarray):
                                       names=["doc_id", "text_key", "start", "stop"])
 
 
-def hot_windows(parts: DataFrame, length: int, seen: RepeatFilter | None) -> DataFrame:
-    """Fingerprints of all strings; with ``seen`` only strings whose fingerprint may repeat, with place and bytes."""
+def hot_windows(parts: DataFrame, length: int) -> DataFrame:
+    """A 128-bit fingerprint (a, c) and the place of every string."""
     def run(batches):
         for b in small(batches):
             data, offs = column_bytes(b.column(3))
             n = np.diff(offs)
             pos = ranges(offs[:-1], n - length + 1)
-            row = np.repeat(np.arange(len(n)), n - length + 1)
-            h = string_hash(data, length)[pos].view(np.int64)
-            if not seen:
-                yield pa.RecordBatch.from_arrays([pa.array(h)], names=["h"])
-                continue
-            start = np.asarray(b.column(2)) + np.zeros(len(n), np.int64)
-            for at in np.array_split(np.flatnonzero(seen.test(h)), len(h) // 50_000 + 1):
-                p, r = pos[at], row[at]
-                body = np.ascontiguousarray(data[p[:, None] + np.arange(length)])
-                cuts = np.arange(len(at) + 1, dtype=np.int32) * length
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[at]), b.column(0).take(pa.array(r)), b.column(1).take(pa.array(r)), pa.array(start[r] + p - offs[r]),
-                     pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(cuts), pa.py_buffer(body)])],
-                    names=["h", "doc_id", "text_key", "start", "body"])
-
-    return parts.select("doc_id", "text_key", "start", "body").mapInArrow(
-        run, "h long, doc_id long, text_key long, start long, body binary" if seen else "h long")
+            row = pa.array(np.repeat(np.arange(len(n)), n - length + 1))
+            start = pos + np.repeat(np.asarray(b.column(2)) - offs[:-1], n - length + 1)
+            a = string_hash(data, length)[pos].view(np.int64)
+            # the second hash reads the bytes backwards: of the string from pos it stands at the mirrored place
+            c = string_hash(data[::-1], length)[len(data) - length - pos].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c), b.column(0).take(row), b.column(1).take(row), pa.array(start)],
+                                             names=["a", "c", "doc_id", "text_key", "start"])
 
+    return parts.select("doc_id", "text_key", "start", "body").mapInArrow(run, "a long, c long, doc_id long, text_key long, start long")
 
-def merge_hot(parts: DataFrame, length: int, log2_bits: int) -> DataFrame:
-    """Repeats across shards among the strings of hot keys, dealt by the fingerprint of the whole string.
 
-    A string comes once from a shard at most, so a fingerprint has as many rows as there are shards; of a fingerprint the
-    distinct strings are kept (one, but for collisions), of a key nothing.
-    """
-    seen = RepeatFilter(log2_bits, k=1).build(hot_windows(parts, length, None))
+def merge_hot(parts: DataFrame, length: int) -> DataFrame:
+    """Repeats across shards among the strings of hot keys, dealt by a 128-bit fingerprint of the whole string.
 
+    A string comes once from a shard at most, so a fingerprint has as many rows as there are shards at most; only
+    fingerprints and places move, and in the sorted rows of a task each string looks back to the first of its kind."""
     def run(batches):
-        open_h, met = None, {}
+        first = None  # fingerprint and place of the group that is open
         for b in batches:
-            out = []
-            for h, doc, text_key, start, body in zip(*(c.to_pylist() for c in b.columns)):
-                if h != open_h:
-                    open_h, met = h, {}
-                place = (NO_ID if doc is None else doc, text_key, start)
-                if met.setdefault(body, place) != place:
-                    out.append(place)
-            if out:
-                place = np.array(out, np.int64)
-                yield span_batch(place, place[:, 2] + length)
-
-    dealt = hot_windows(parts, length, seen).repartition(shuffle_width(parts.sparkSession), "h") \
-        .sortWithinPartitions("h", "doc_id", "text_key", "start")
+            if not b.num_rows:
+                continue
+            ids = np.asarray(b.column(2).fill_null(NO_ID))
+            rows = np.stack([np.asarray(b.column(0)), np.asarray(b.column(1)), ids, np.asarray(b.column(3)), np.asarray(b.column(4))], 1)
+            if first is not None:
+                rows = np.concatenate([first[None], rows])
+            new = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)]
+            head = rows[np.flatnonzero(new)][np.cumsum(new) - 1]
+            gone = (rows[:, 2:] != head[:, 2:]).any(axis=1)
+            first = head[-1]
+            place = rows[gone, 2:]
+            if len(place):  # neighbouring starts of a document as one span
+                place = place[np.lexsort((place[:, 2], place[:, 1], place[:, 0]))]
+                cut = np.flatnonzero(np.r_[True, (np.diff(place[:, 0]) != 0) | (np.diff(place[:, 1]) != 0) | (np.diff(place[:, 2]) > length)])
+                yield span_batch(place[cut], place[np.append(cut[1:], len(place)) - 1, 2] + length)
+
+    dealt = hot_windows(parts, length).repartition(shuffle_width(parts.sparkSession), "a", "c") \
+        .sortWithinPartitions("a", "c", "doc_id", "text_key", "start")
     return dealt.mapInArrow(run, SPANS)
 
 
-def merged_repeats(firsts: DataFrame, length: int, block_bytes: int, log2_bits: int) -> DataFrame:
+def merged_repeats(firsts: DataFrame, length: int, block_bytes: int) -> DataFrame:
     """Repeats across shards.  Keys with more than half a block of strings are told by a sum over the written shards."""
     hot = firsts.groupBy("key").agg(F.sum(F.col("stop") - F.col("start")).alias("n")).where(F.col("n") > block_bytes // 2)
     hot = materialise(hot.select("key"), "suffix-hot-keys")
     if hot.isEmpty():
         return merge_shards(firsts, length, block_bytes)
     return merge_shards(join_checked(firsts, hot, "key", "left_anti"), length, block_bytes).unionByName(
-        merge_hot(join_checked(firsts, hot, "key", "left_semi"), length, log2_bits))
+        merge_hot(join_checked(firsts, hot, "key", "left_semi"), length))
 
 
 def union_spans(spans: list) -> list[list[int]]:
@@ -403,9 +397,10 @@ def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     seen = RepeatFilter(log2_bits, k=1).build(candidate_keys(src, length))
-    parts = materialise(shard_parts(src, seen, length, shard_bytes), "suffix-shards")
+    # neighbouring strings overlap by most of their bytes, which this codec finds
+    parts = materialise(shard_parts(src, seen, length, shard_bytes), "suffix-shards", "zstd")
     spans = parts.where("key is null").select("doc_id", "text_key", "start", "stop").unionByName(
-        merged_repeats(parts.where("key is not null"), length, block_bytes, log2_bits))
+        merged_repeats(parts.where("key is not null"), length, block_bytes))
     spans = materialise(spans.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")), "suffix-spans")
     # spans grow with the documents, so this is a shuffled join at every size
