@@ -153,3 +153,12 @@ MIN_AUC_FOR_REGISTRATION = 0.70
 # Alert texts (feature, PSI, threshold, periods)
 DRIFT_ALERT = "🚨 Feature drift detected\nFeature: %s\nPSI: %.4f (threshold: %s)\nCurrent: %s → %s\nReference: %s → %s"
 DRIFT_WARNING = "⚠️ Feature drift warning\nFeature: %s\nPSI: %.4f (warning: %s)"
+
+
+# Buckets and features of the error analysis
+BUCKET_LABELS = ["Very Low", "Low", "Medium", "High", "Very High"]
+CREDIT_EDGES = [0.0, 600.0, 650.0, 700.0, 750.0, 900.0]
+CREDIT_LABELS = ["Poor", "Fair", "Good", "Very Good", "Excellent"]
+DTI_EDGES = [0.0, 20.0, 30.0, 40.0, 50.0, 100.0]
+ERROR_FEATURES = ["loan_to_income", "credit_score", "dti_ratio", "interest_rate", "loan_amount", "income",
+                  "employment_years", "num_open_accounts"]

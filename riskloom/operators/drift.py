@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .. import constants as K
 from ..session import materialise
 from . import orderstat
+from .tails import ks_exact_column
 
 
 # ------------------------------------------------------------------- J1
@@ -71,7 +72,7 @@ def psi(values: DataFrame, by: Sequence[str] = ("feature",), n_bins: int = K.PSI
     the difference of the running counts at its edges, so the values are sorted once and never joined to the edges.
     """
     by = list(by)
-    ps = window_sums(values, by) if sums is None else sums
+    ps = materialise(window_sums(values, by), "drift-sums") if sums is None else sums  # read for the edges and for the bins
     probs = [i / n_bins for i in range(n_bins + 1)]
     edges = orderstat.edge_map(orderstat.quantiles_of_sums(ps, probs, by, "_v", "r"), by)
     e = F.col("_edges")[orderstat.group_key(by)]
@@ -118,8 +119,9 @@ def kolmogorov_pvalue(d: Column, n1: Column, n2: Column, terms: int = 100) -> Co
 
 
 def ks_two_sample(values: DataFrame, by: Sequence[str] = ("feature",), n_buckets: int | None = None,
-                  sums: DataFrame | None = None) -> DataFrame:
-    """Two-sample KS statistic (max ECDF gap of 'ref' vs 'cur') and its asymptotic p-value."""
+                  sums: DataFrame | None = None, exact_up_to: int = 0) -> DataFrame:
+    """Two-sample KS statistic (max ECDF gap of 'ref' vs 'cur') and its p-value: asymptotic, or exact where neither
+    window has more than ``exact_up_to`` values (10,000 is the usual bound)."""
     by = list(by)
     ps = window_sums(values, by, n_buckets) if sums is None else sums
     g = ps.groupBy(*by).agg(
@@ -127,8 +129,12 @@ def ks_two_sample(values: DataFrame, by: Sequence[str] = ("feature",), n_buckets
         F.max(F.abs(F.try_divide(F.col("cum_r"), F.col("tot_r")) - F.try_divide(F.col("cum_c"), F.col("tot_c")))).alias("_d"))
     ok = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
     d = F.when(ok, F.col("_d"))
-    return g.select(*by, "n_ref", "n_cur", d.alias("ks_statistic"),
-                    F.when(ok, kolmogorov_pvalue(F.col("_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))).alias("ks_pvalue"))
+    p = F.when(ok, kolmogorov_pvalue(F.col("_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double")))
+    if exact_up_to:
+        few = F.greatest("n_ref", "n_cur") <= exact_up_to
+        size = lambda c: F.when(few, F.col(c))
+        p = F.coalesce(ks_exact_column()(d, size("n_ref"), size("n_cur")), p)
+    return g.select(*by, "n_ref", "n_cur", d.alias("ks_statistic"), p.alias("ks_pvalue"))
 
 
 # ------------------------------------------------------------------- J5, J6

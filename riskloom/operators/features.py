@@ -301,9 +301,9 @@ def plain_target_mean(df: DataFrame, cols: Sequence[str], target: str = "is_defa
 
 
 # ----------------------------------------------------------------- F6, F7
-def medians(df: DataFrame, cols: Sequence[str], n_buckets: int | None = None) -> DataFrame:
+def medians(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """exact per-column medians (one distributed job for all columns): (feature, median)."""
-    q = orderstat.wide_quantiles(df, cols, [0.5], n_buckets)
+    q = orderstat.wide_quantiles(df, cols, [0.5])
     return q.select("feature", F.col("q").alias("median"))
 
 

@@ -151,20 +151,20 @@ def cut(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
     return right_closed_bucket(c, edges, labels, null_label=None, open_ends=False)
 
 
-def qcut_edges(df: DataFrame, col: str, q: int = 5, n_buckets: int | None = None) -> Column:
+def qcut_edges(df: DataFrame, col: str, q: int = 5) -> Column:
     """Quantile edges of ``col`` (linear) as an array-valued scalar subquery (q + 1 values)."""
     probs = [i / q for i in range(q + 1)]
-    qs = orderstat.exact_quantiles(df, col, probs, n_buckets=n_buckets)
+    qs = orderstat.exact_quantiles(df, col, probs)
     return qs.agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "q"))), lambda s: s["q"]).alias("e")).scalar()
 
 
-def qcut(df: DataFrame, col: str, labels: Sequence[str], out: str, n_buckets: int | None = None) -> DataFrame:
+def qcut(df: DataFrame, col: str, labels: Sequence[str], out: str) -> DataFrame:
     """Equal-count buckets (pandas qcut: right-closed, lowest value included).
 
     The edges are one array-valued scalar subquery, attached once as a column.
     """
     tmp = f"_edges_{out}"
-    d = df.withColumn(tmp, qcut_edges(df, col, len(labels), n_buckets))
+    d = df.withColumn(tmp, qcut_edges(df, col, len(labels)))
     x, e = F.col(col), F.col(tmp)
     expr = None
     for i, lab in enumerate(labels):
@@ -173,19 +173,16 @@ def qcut(df: DataFrame, col: str, labels: Sequence[str], out: str, n_buckets: in
     return d.withColumn(out, expr).drop(tmp)
 
 
-BUCKET_LABELS = ["Very Low", "Low", "Medium", "High", "Very High"]
-CREDIT_EDGES = [0.0, 600.0, 650.0, 700.0, 750.0, 900.0]
-CREDIT_LABELS = ["Poor", "Fair", "Good", "Very Good", "Excellent"]
-DTI_EDGES = [0.0, 20.0, 30.0, 40.0, 50.0, 100.0]
+BUCKET_LABELS, CREDIT_EDGES, CREDIT_LABELS, DTI_EDGES = K.BUCKET_LABELS, K.CREDIT_EDGES, K.CREDIT_LABELS, K.DTI_EDGES
 
 
-def qcut_many(df: DataFrame, specs: dict[str, str], labels: Sequence[str], n_buckets: int | None = None) -> DataFrame:
+def qcut_many(df: DataFrame, specs: dict[str, str], labels: Sequence[str]) -> DataFrame:
     """G8 for several columns at once: one distributed quantile job for all edges, attached as a
     single (column -> edges) map scalar subquery; buckets as ``qcut`` (right-closed, lowest included)."""
     q = len(labels)
     probs = [i / q for i in range(q + 1)]
     cols = list(specs)
-    qs = orderstat.wide_quantiles(df, cols, probs, n_buckets)
+    qs = orderstat.wide_quantiles(df, cols, probs)
     per = qs.groupBy("feature").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "q"))), lambda s: s["q"]).alias("e"))
     m = per.agg(F.map_from_entries(F.collect_list(F.struct("feature", "e"))).alias("m")).scalar()
     d = df.withColumn("_qcut_edges", m)
@@ -200,14 +197,16 @@ def qcut_many(df: DataFrame, specs: dict[str, str], labels: Sequence[str], n_buc
     return d.select("*", *outs).drop("_qcut_edges")
 
 
-def with_error_buckets(ef: DataFrame) -> DataFrame:
+QUINTILES = {"loan_amount": "loan_bucket", "income": "income_bucket", "confidence": "confidence_bucket"}
+
+
+def with_error_buckets(ef: DataFrame, quintiles: Sequence[str] = tuple(QUINTILES)) -> DataFrame:
     """Buckets of the error analysis: credit and dti by cut points, loan and income by quintiles,
-    confidence |p - 0.5| by quintiles (the three quintile edge sets in one job)."""
+    confidence |p - 0.5| by quintiles.  The quintile edges of the columns asked for are found in one job."""
     out = ef.withColumn("credit_bucket", cut(F.col("credit_score"), CREDIT_EDGES, CREDIT_LABELS)) \
         .withColumn("dti_bucket", cut(F.col("dti_ratio"), DTI_EDGES, BUCKET_LABELS)) \
         .withColumn("confidence", F.abs(F.col("y_pred_proba") - 0.5))
-    return qcut_many(out, {"loan_amount": "loan_bucket", "income": "income_bucket", "confidence": "confidence_bucket"},
-                     BUCKET_LABELS)
+    return qcut_many(out, {c: QUINTILES[c] for c in quintiles}, BUCKET_LABELS)
 
 
 def error_by_bucket(eb: DataFrame) -> DataFrame:
@@ -221,11 +220,7 @@ def error_by_bucket(eb: DataFrame) -> DataFrame:
              F.round(F.avg("y_true"), 3).alias("default_rate"))
 
 
-ERROR_FEATURES = ["loan_to_income", "credit_score", "dti_ratio", "interest_rate", "loan_amount", "income",
-                  "employment_years", "num_open_accounts"]
-
-
-def error_feature_means(ef: DataFrame, features: Sequence[str] = ERROR_FEATURES) -> DataFrame:
+def error_feature_means(ef: DataFrame, features: Sequence[str] = K.ERROR_FEATURES) -> DataFrame:
     """Means of the key features per error type."""
     return ef.groupBy("error_type").agg(*[F.avg(c).alias(c) for c in features])
 

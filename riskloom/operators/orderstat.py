@@ -1,26 +1,26 @@
 """Order statistics without a global single-task window.
 
-``Window.orderBy`` with no partition moves every row into one task.  The
-bucketed prefix sum below keeps the work distributed:
-
-1. pre-aggregate to one row per distinct ordering value (map-side combine, so
-   a hot value is one row after the shuffle);
-2. cut the distinct values into ``n`` ranges at approximate quantiles (the
-   splits are a bounded array of ``n - 1`` numbers);
-3. total each range (``groups x n`` rows) and take exclusive running sums over
-   that small table;
-4. inside each range, a window partitioned by the range adds its own running
-   sum to the range's offset.
-
-The result is exact whatever the splits are; the splits only balance the work.
-Quantiles, AUC, KS, curves, fold indexes and date cuts are built on it.
+``Window.orderBy`` with no partition moves every row into one task.  Running sums and row positions keep the work
+distributed:
+
+1. pre-aggregate to one row per distinct ordering value (map-side combine, so a hot value is one row after the shuffle);
+2. deal the rows into ranges of the order by Spark's range partitioner, and write them once with their range's number;
+3. total each range (a row per range and group) and take exclusive running sums over that small table;
+4. inside each range, running sums (or the position in the sorted range) plus the range's offset.
+
+The result is exact wherever the ranges are cut; the cuts only balance the work.  AUC, KS, curves, thresholds and fold
+indexes are built on it.  Quantiles need no order at all: see ``selection``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from ..session import materialise
+from . import selection
+
 
 def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     """Ranges per group: as many as the session shuffles into, so the width follows the cluster."""
@@ -29,58 +29,18 @@ def _n_buckets(df: DataFrame, n_buckets: int | None) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def as_number(df: DataFrame, col: str):
-    """An order-preserving DOUBLE view of a column (dates and timestamps as epoch units)."""
-    t = df.schema[col].dataType
-    if isinstance(t, T.DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    return F.col(col).cast("double")
-
-
-def _count_below(splits: Column, value: Column, n: int, or_equal: bool = False) -> Column:
-    """Number of entries of the sorted array ``splits`` (at most ``n``) below ``value`` (or equal), by halving."""
-    steps = max(1, n).bit_length()
-    start = F.struct(F.lit(0).alias("lo"), F.size(splits).alias("hi"))
-
-    def halve(acc, _):
-        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
-        open_ = acc["lo"] < acc["hi"]
-        below = open_ & ((F.get(splits, mid) <= value) if or_equal else (F.get(splits, mid) < value))
-        return F.struct(F.when(below, mid + 1).otherwise(acc["lo"]).alias("lo"),
-                        F.when(open_ & ~F.coalesce(below, F.lit(False)), mid).otherwise(acc["hi"]).alias("hi"))
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["lo"].cast("int")
-
-
 def group_key(by: Sequence[str]) -> Column:
     """One string per group (each part with a mark that tells NULL from text)."""
     return F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in by])
 
 
-def range_bucket(df: DataFrame, order_col: str, n_buckets: int, out: str = "_bucket", by: Sequence[str] = ()) -> DataFrame:
-    """Add an explicit range-bucket column (stable under re-planning).
+def ranged(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None, out: str = "_bucket") -> DataFrame:
+    """``df`` sorted into ranges of ``order_cols`` and written once, with the number of the range.
 
-    The ``n - 1`` split points are approximate quantiles of ``order_col``, taken per ``by`` group so that
-    groups of different scale are cut equally well, by a scalar subquery inside the same plan (no driver round
-    trip).  A value's bucket is the number of split points below it.  Groups are features, windows or models,
-    a bounded number; the subquery holds groups x (n - 1) numbers.
-    """
-    if n_buckets <= 1:
-        return df.withColumn(out, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    num = as_number(df, order_col)
-    cuts = F.array_sort(F.array_distinct(F.percentile_approx(num, probs, 10000)))
-    if by:
-        per = df.groupBy(group_key(by).alias("_g")).agg(cuts.alias("_s"))
-        splits = per.agg(F.map_from_entries(F.collect_list(F.struct("_g", "_s"))).alias("s")).scalar()
-        staged = df.withColumn("_bucket_in", num).withColumn("_splits_of", splits) \
-            .withColumn("_splits", F.col("_splits_of")[group_key(by)]).drop("_splits_of")
-    else:
-        staged = df.withColumn("_bucket_in", num).withColumn("_splits", df.agg(cuts.alias("s")).scalar())
-    found = _count_below(F.col("_splits"), F.col("_bucket_in"), n_buckets)
-    return staged.withColumn(out, F.coalesce(found, F.lit(0))).drop("_bucket_in", "_splits")
+    The range partitioner samples its cuts from all order columns together, so a first value that holds a third of all
+    rows is cut on by the next column."""
+    parts = df.repartitionByRange(_n_buckets(df, n_buckets), *order_cols).sortWithinPartitions(*order_cols)
+    return materialise(parts.withColumn(out, F.spark_partition_id()), "ranges")
 
 
 def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], by: Sequence[str] = (),
@@ -96,21 +56,18 @@ def prefix_sums(df: DataFrame, order_col: str, value_cols: Sequence[str], by: Se
         agg = df.select(*by, order_col, *vals)
     else:
         agg = df.groupBy(*by, order_col).agg(*[F.sum(v).alias(v) for v in vals])
-    nb = _n_buckets(df, n_buckets)
-    agg = range_bucket(agg, order_col, nb, by=by)
+    agg = ranged(agg, [*by, order_col], n_buckets)
     totals = agg.groupBy(*by, "_bucket").agg(*[F.sum(v).alias(f"_bt_{v}") for v in vals])
     wo = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1)
     wt = Window.partitionBy(*by) if by else Window.partitionBy()
-    # small table: (groups x buckets) rows
+    # small table: a range holds a part of one group or some whole groups, so about ranges + groups rows
     offsets = totals.select(
         *by, "_bucket",
         *[F.coalesce(F.sum(f"_bt_{v}").over(wo), F.lit(0)).alias(f"_off_{v}") for v in vals],
         *[F.sum(f"_bt_{v}").over(wt).alias(f"tot_{v}") for v in vals],
     )
-    if not by:
-        offsets = F.broadcast(offsets)  # at most n_buckets rows
-    joined = agg.join(offsets, [*by, "_bucket"], "inner")
+    joined = agg.join(F.broadcast(offsets), [*by, "_bucket"], "inner")
     wi = Window.partitionBy(*by, "_bucket").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     return joined.select(
         *by, order_col, *vals,
@@ -150,13 +107,12 @@ def value_counts(df: DataFrame, value_col: str, by: Sequence[str] = (), n_bucket
     return prefix_sums(counts, "_v", ["_n"], by, n_buckets)
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], by: Sequence[str] = (),
-                    n_buckets: int | None = None) -> DataFrame:
-    """Exact linear-interpolated quantiles (numpy 'linear', SQL percentile_cont).
+def exact_quantiles(df: DataFrame, value_col: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Exact linear-interpolated quantiles (numpy 'linear', SQL percentile_cont): (by..., p, q), by digit selection.
 
-    Returns (by..., p, q).  NULL values are ignored; a group with no value has no row.
-    """
-    return quantiles_of_sums(value_counts(df, value_col, by, n_buckets), probs, by)
+    NULL values are ignored; a group with no value has no row.  The values are written once, for the passes."""
+    values = df.select(*by, F.col(value_col).cast("double").alias(value_col))
+    return selection.exact_quantiles(materialise(values, "values"), value_col, probs, by)
 
 
 def edge_map(q: DataFrame, by: Sequence[str]) -> Column:
@@ -166,10 +122,10 @@ def edge_map(q: DataFrame, by: Sequence[str]) -> Column:
     return per.agg(F.map_from_entries(F.collect_list(F.struct(group_key(by), "_e"))).alias("m")).scalar()
 
 
-def wide_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles of many columns in one job: unpivot to (feature, value) first."""
-    long = unpivot(df, cols)
-    return exact_quantiles(long, "value", probs, by=["feature"], n_buckets=n_buckets)
+def wide_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles of many columns in one job: (feature, p, q).  The columns are written once and unpivoted pass by pass."""
+    table = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "values")
+    return selection.exact_quantiles(unpivot(table, cols), "value", probs, ["feature"])
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name: str = "feature",
@@ -180,32 +136,16 @@ def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), name:
 
 
 def row_index(df: DataFrame, order_cols: Sequence[str], n_buckets: int | None = None, out: str = "row_idx") -> DataFrame:
-    """0-based global row index in the order of ``order_cols`` (must be unique), without a global window.
-
-    Rows are dealt into ranges of the first order column.  A first value that fills several ranges by itself (a date
-    that holds a third of all rows) shows as a repeated split point; its rows are dealt on, into as many ranges of the
-    second order column.  There are at most twice ``n_buckets`` cells, so their offsets are a small table.
-    Returns ``df`` with ``out`` added.
-    """
-    nb = _n_buckets(df, n_buckets)
-    if nb == 1:
-        b = df.withColumn("_b1", F.lit(0)).withColumn("_b2", F.lit(0))
-    else:
-        probs = [i / nb for i in range(1, nb)]
-        cuts = [F.array_sort(F.percentile_approx(as_number(df, c), probs, 10000)) for c in order_cols[:2]]
-        points = df.agg(F.struct(*[c.alias(f"s{i}") for i, c in enumerate(cuts)]).alias("s")).scalar()
-        b = df.withColumn("_s", points)
-        below = lambda i, eq=False: F.coalesce(_count_below(F.col(f"_s.s{i}"), as_number(df, order_cols[i]), nb, eq), F.lit(0))
-        b = b.withColumn("_b1", below(0))
-        if len(order_cols) > 1:
-            share = below(0, True) - F.col("_b1")  # ranges that the first value fills
-            b = b.withColumn("_b2", F.when(share >= 2, F.lit(1) + F.floor(below(1) * share / F.lit(nb)).cast("int")).otherwise(F.lit(0)))
-        else:
-            b = b.withColumn("_b2", F.lit(0))
-        b = b.drop("_s")
-    cells = ["_b1", "_b2"]  # other values of a range come before the value that ends it
-    totals = b.groupBy(*cells).agg(F.count(F.lit(1)).alias("_bt"))
-    wo = Window.partitionBy().orderBy(*cells).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(totals.select(*cells, F.coalesce(F.sum("_bt").over(wo), F.lit(0)).alias("_off")))  # 2 nb rows at most
-    wi = Window.partitionBy(*cells).orderBy(*order_cols)
-    return b.join(offsets, cells).withColumn(out, F.row_number().over(wi) - 1 + F.col("_off")).drop(*cells, "_off")
+    """0-based global row index in the order of ``order_cols`` (must be unique), without a window over rows.
+
+    The rows are dealt into ranges and sorted there; the position in the sorted range is written with them, and the
+    ranges' offsets (a row per range) are added.  Returns ``df`` with ``out`` added."""
+    parts = df.repartitionByRange(_n_buckets(df, n_buckets), *order_cols).sortWithinPartitions(*order_cols)
+    # the number is the task's, then the row's place in the task; one column of it each
+    at = F.monotonically_increasing_id()
+    parts = materialise(parts.withColumn("_at", at), "ranges")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    totals = parts.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(totals.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))  # a row per range
+    return parts.withColumn("_part", part).join(offsets, "_part").withColumn(out, place + F.col("_off")).drop("_part", "_off", "_at")

@@ -12,7 +12,9 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from . import orderstat
+from ..session import materialise
+from . import orderstat, selection
+from .tails import chi2_sf
 
 
 def yearly_default(df: DataFrame, date_col: str = "application_date", label: str = "is_default") -> DataFrame:
@@ -54,26 +56,26 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, max_null_rate: float = 0.5) -> DataFrame:
     """Q1, Q3, IQR bounds, outlier count and rate per numeric column (skip > 50% NULL).
 
-    Quantiles are exact (distributed).  Outliers are counted from the same per-value counts, whose bounds arrive as a
-    map-valued scalar subquery (one entry per column): the rows are read once and joined to nothing.
+    Quantiles are exact, by digit selection.  With their bounds (two numbers a column) one aggregation counts all outliers.
     """
     cols = list(numeric_columns(df) if cols is None else cols)
-    long = orderstat.unpivot(df, cols)
-    ps = orderstat.value_counts(long, "value", ["feature"])
-    q = orderstat.quantiles_of_sums(ps, [0.25, 0.75], ["feature"])
-    qq = q.groupBy("feature").agg(F.max(F.when(F.col("p") == 0.25, F.col("q"))).alias("q1"),
-                                  F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
-    b = qq.agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("q1", "q3")))).alias("m")).scalar()
-    n_rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    at = ps.withColumn("_m", b).withColumn("_b", F.col("_m")[F.col("feature")]).drop("_m")
-    iqr = F.col("_b.q3") - F.col("_b.q1")
-    lower, upper = F.col("_b.q1") - 1.5 * iqr, F.col("_b.q3") + 1.5 * iqr
-    g = at.groupBy("feature").agg(
-        F.coalesce(F.sum(F.when((F.col("_v") < lower) | (F.col("_v") > upper), F.col("_n"))), F.lit(0)).alias("outliers"),
-        F.first("tot__n").alias("n_values"), F.min("_v").alias("min"), F.max("_v").alias("max"), F.first("_b").alias("_b"))
-    g = g.withColumn("n_rows", n_rows).where(F.col("n_values") >= (1 - max_null_rate) * F.col("n_rows"))
-    return g.select("feature", "outliers", (F.col("outliers") / F.col("n_rows")).alias("outlier_rate"), "min", "max",
-                    F.col("_b.q1").alias("q1"), F.col("_b.q3").alias("q3"), iqr.alias("iqr"))
+    table = materialise(df.select(*[F.col(c).cast("double").alias(c) for c in cols]), "values")
+    q: dict[str, dict] = {}
+    for r in selection.exact_quantiles(orderstat.unpivot(table, cols), "value", [0.25, 0.75], ["feature"]).collect():
+        q.setdefault(r["feature"], {})[r["p"]] = r["q"]
+    parts = []
+    for c in q:
+        q1, q3 = q[c][0.25], q[c][0.75]
+        iqr = q3 - q1
+        out = F.count(F.when((F.col(c) < q1 - 1.5 * iqr) | (F.col(c) > q3 + 1.5 * iqr), 1))
+        parts.append(F.struct(F.lit(c).alias("feature"), out.alias("outliers"), F.count(c).alias("n_values"), F.min(c).alias("min"), F.max(c).alias("max"),
+                              F.lit(q1).alias("q1"), F.lit(q3).alias("q3"), F.lit(iqr).alias("iqr")))
+    schema = "feature string, outliers bigint, outlier_rate double, min double, max double, q1 double, q3 double, iqr double"
+    if not parts:
+        return df.sparkSession.createDataFrame([], schema)
+    g = table.agg(F.count(F.lit(1)).alias("n_rows"), F.array(*parts).alias("x")).select("n_rows", F.inline("x"))
+    g = g.where(F.col("n_values") >= (1 - max_null_rate) * F.col("n_rows"))
+    return g.select("feature", "outliers", (F.col("outliers") / F.col("n_rows")).alias("outlier_rate"), "min", "max", "q1", "q3", "iqr")
 
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list:
@@ -167,9 +169,10 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "is_defa
     reference does); bins are right-closed at the exact deciles.
     """
     full = df.select(*[F.col(c).cast("double").alias(c) for c in cols], F.col(label).cast("int").alias("_y")).dropna()
+    full = materialise(full, "values")
     long = full.unpivot(["_y"], list(cols), "feature", "value")
     probs = [i / n_bins for i in range(n_bins + 1)]
-    q = orderstat.exact_quantiles(long, "value", probs, by=["feature"])
+    q = selection.exact_quantiles(long, "value", probs, ["feature"])
     edges = orderstat.edge_map(q, ["feature"])  # columns x deciles numbers: no join on the feature name
     binned = long.withColumn("_m", edges).withColumn("edges", F.col("_m")[orderstat.group_key(["feature"])]) \
         .select("feature", "_y", _decile_bin(F.col("value"), F.col("edges")).alias("bin"))
@@ -181,22 +184,6 @@ def mutual_information(df: DataFrame, cols: Sequence[str], label: str = "is_defa
     return j.groupBy("feature").agg(F.sum(term).alias("mutual_information"))
 
 
-def chi2_sf(x, dof, terms: int = 400):
-    """Upper tail of the chi-squared distribution for any whole ``dof``: 1 - P(dof/2, x/2) by the power series of the
-    lower incomplete gamma function; far in the tail (where 1 - P has no digits left) it is 0."""
-    a, h = dof / F.lit(2.0), x / F.lit(2.0)
-    # gamma(a) for halves and wholes, from gamma(1/2) or gamma(1) upwards
-    first = F.when(dof % 2 == 1, F.lit(0.5)).otherwise(F.lit(1.0))
-    steps = F.greatest(F.round(a - first).cast("int"), F.lit(0))
-    log_gamma = F.aggregate(F.sequence(F.lit(0), steps), F.when(dof % 2 == 1, F.lit(0.5723649429247001)).otherwise(F.lit(0.0)),
-                            lambda acc, k: acc + F.when(k < steps, F.log(first + k)).otherwise(F.lit(0.0)))
-    start = F.struct((F.lit(1.0) / a).alias("t"), (F.lit(1.0) / a).alias("s"))
-    total = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), start, lambda acc, k: F.struct(
-        (acc["t"] * h / (a + k)).alias("t"), (acc["s"] + acc["t"] * h / (a + k)).alias("s")))["s"]
-    p = F.exp(a * F.log(h) - h - log_gamma) * total
-    return F.when(x <= 0, F.lit(1.0)).when(h > a + 120, F.lit(0.0)).otherwise(F.greatest(F.lit(1.0) - p, F.lit(0.0)))
-
-
 def chi_square(df: DataFrame, group_col: str, label: str = "is_default") -> DataFrame:
     """chi-squared test of label x group (defaults vs non-defaults per group); rows without a label or a group
     do not count.  With two groups Yates' correction is applied.  The p-value holds for any number of groups and is

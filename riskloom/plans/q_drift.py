@@ -93,9 +93,9 @@ BASE = ["applications_v", "payments_v", "bureau_v"]
 
 
 def snapshot_table(spark, sf_dir):
-    """The feature snapshot as the monitoring job sees it: a materialised table
-    (reliable checkpoint in the shared checkpoint folder), not a plan to re-run."""
-    return cut_lineage(features_snapshot_df(spark, sf_dir))
+    """What the monitoring job reads of the feature snapshot, as a table and not as a plan to run again: the date and
+    the monitored features."""
+    return cut_lineage(features_snapshot_df(spark, sf_dir).select("feature_date", *FEATS))
 
 
 def _drift_inputs(spark, sf_dir):
@@ -105,8 +105,8 @@ def _drift_inputs(spark, sf_dir):
 
 @register("drift_windows", with_ctes(BASE, SNAP + [("win", WIN_SQL.replace("{src}", "snapshot"))], "SELECT * FROM win"))
 def q_drift_windows(spark, sf_dir):
-    """Reference and current windows from the snapshot's feature dates."""
-    return D.windows(snapshot_table(spark, sf_dir))
+    """Reference and current windows from the snapshot's feature dates (a row per loan, dated by its application)."""
+    return D.windows(fixtures.load(spark, sf_dir).applications.select(F.col("application_date").alias("feature_date")))
 
 
 @register("psi", with_ctes(BASE, SNAP + drift_blocks(), "SELECT feature, n_ref, n_cur, round(psi, 6) AS psi FROM psi"))
@@ -124,6 +124,13 @@ def q_ks_drift(spark, sf_dir):
     return round_doubles(D.ks_two_sample(D.window_values(snap, win, FEATS)))
 
 
+@register("ks_drift_exact")
+def q_ks_drift_exact(spark, sf_dir):
+    """J4 with the exact p-value where neither window has more than 10,000 values."""
+    snap, win = _drift_inputs(spark, sf_dir)
+    return round_doubles(D.ks_two_sample(D.window_values(snap, win, FEATS), exact_up_to=10_000))
+
+
 CHECK_SQL = with_ctes(BASE, SNAP + check_blocks(),
                       "SELECT feature_name, check_date, round(psi_value, 6) AS psi_value, round(ks_statistic, 6) AS ks_statistic, "
                       "round(ks_pvalue, 6) AS ks_pvalue, is_drifted, is_warning, reference_period, current_period FROM dchk")
@@ -154,12 +161,16 @@ def q_drift_check(spark, sf_dir):
     return round_doubles(drift_check_df(spark, sf_dir))
 
 
-ALERT_SQL_BODY = ("SELECT feature_name, check_date, substr(CASE WHEN is_drifted THEN printf('\U0001F6A8 Feature drift detected\nFeature: %s\n"
-                  "PSI: %.4f (threshold: 0.15)\nCurrent: %s → %s\nReference: %s → %s', feature_name, psi_value, "
-                  "split_part(current_period, '/', 1), split_part(current_period, '/', 2), split_part(reference_period, '/', 1), "
-                  "split_part(reference_period, '/', 2)) ELSE printf('⚠️ Feature drift warning\nFeature: %s\nPSI: %.4f (warning: 0.1)', "
-                  "feature_name, psi_value) END, 1, 4000) AS message, 'pending' AS status, CAST(check_date AS TIMESTAMP) AS created_at, "
-                  "CAST(NULL AS TIMESTAMP) AS sent_at, CAST(NULL AS VARCHAR) AS error FROM dchk WHERE is_drifted OR is_warning")
+def _alert_sql(text: str, *args: str) -> str:
+    """An alert text filled in by DuckDB's printf."""
+    return f"printf('{text}', {', '.join(args)})"
+
+
+ALERT_SQL_BODY = ("SELECT feature_name, check_date, substr(CASE WHEN is_drifted THEN " + _alert_sql(
+    K.DRIFT_ALERT, "feature_name", "psi_value", f"'{K.PSI_THRESHOLD}'", *[f"split_part({p}_period, '/', {i})" for p in ("current", "reference") for i in (1, 2)])
+    + " ELSE " + _alert_sql(K.DRIFT_WARNING, "feature_name", "psi_value", f"'{K.PSI_WARNING}'")
+    + " END, 1, 4000) AS message, 'pending' AS status, CAST(check_date AS TIMESTAMP) AS created_at, "
+      "CAST(NULL AS TIMESTAMP) AS sent_at, CAST(NULL AS VARCHAR) AS error FROM dchk WHERE is_drifted OR is_warning")
 
 
 @register("drift_alerts", with_ctes(BASE, SNAP + SHIFTED + check_blocks("shifted"), ALERT_SQL_BODY))

@@ -66,6 +66,15 @@ def q_scan_applications(spark, sf_dir):
     return out.select("application_id", "application_date", F.round("loan_amount", 4).alias("loan_amount"))
 
 
+@register("scan_applications_all", with_ctes(["applications_v"], [], f"""
+SELECT application_id, application_date, round(loan_amount, 4) AS loan_amount FROM applications_v
+WHERE application_date <= DATE '{T1}' ORDER BY application_date, application_id"""))
+def q_scan_applications_all(spark, sf_dir):
+    """A4: all loans up to a date, in (date, id) order."""
+    out = io.applications(fixtures.load(spark, sf_dir).applications, T1)
+    return out.select("application_id", "application_date", F.round("loan_amount", 4).alias("loan_amount"))
+
+
 @register("scan_payments", with_ctes(["applications_v", "payments_v"], [], """
 SELECT application_id, payment_date, round(amount_paid, 4) AS amount_paid, days_overdue FROM payments_v
 WHERE application_id IN (SELECT application_id FROM applications_v WHERE year(application_date) = 1998)"""))
@@ -99,7 +108,7 @@ def q_snapshot_write(spark, sf_dir):
     """The snapshot written partitioned by version and read back (partition-pruned scan)."""
     path = _scratch(spark, "snapshot")
     io.snapshot_write(features_snapshot_df(spark, sf_dir), path)
-    back = spark.read.parquet(path).where(F.col("feature_version") == "v1.0")
+    back = io.read_table(spark, path).where(F.col("feature_version") == "v1.0")
     return back.groupBy("feature_version").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("loan_to_income"), 4).alias("sum_lti"))
 
 
@@ -110,12 +119,15 @@ UNION ALL SELECT prediction_id, application_id, 'batch:old:logistic', pd_score,
     """SELECT model_version, count(*) AS n, round(avg(pd_calibrated), 6) AS mean_pd FROM (
   SELECT * FROM existing WHERE model_version NOT LIKE 'batch:%' UNION ALL SELECT * FROM preds) t GROUP BY model_version"""))
 def q_predictions_replace(spark, sf_dir):
-    """Previous batch rows replaced by the new batch, online rows kept (counts per version)."""
+    """On a stored table, previous batch rows replaced by the new batch, online rows kept (counts per version)."""
     p = predictions(spark, sf_dir)
     online = p.where(F.col("predicted_at") <= F.lit(f"{T1} 00:00:00").cast("timestamp")) \
         .withColumn("model_version", F.concat(F.lit("online:"), F.split("model_version", ":")[1]))
     old = p.withColumn("model_version", F.lit("batch:old:logistic"))
-    out = io.predictions_replace(online.unionByName(old), p)
+    path = _scratch(spark, "predictions")
+    io.replace_table(online.unionByName(old), path)
+    io.predictions_commit(spark, path, p)
+    out = io.read_table(spark, path)
     return round_doubles(out.groupBy("model_version").agg(F.count(F.lit(1)).alias("n"), F.avg("pd_calibrated").alias("mean_pd")))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.expr import round_doubles
 from ..operators import metrics as M
 from ..session import cut_lineage
@@ -227,11 +228,11 @@ def q_error_type(spark, sf_dir):
                  ("dti_ratio", "dti_bucket")])))
 def q_error_by_bucket(spark, sf_dir):
     """I12 (with G8 quintiles and G9 cut points): error rate by feature bucket."""
-    return M.error_by_bucket(M.with_error_buckets(_ef(spark, sf_dir)))
+    return M.error_by_bucket(M.with_error_buckets(_ef(spark, sf_dir), ["loan_amount", "income"]))
 
 
 @register("error_feature_means", with_ctes(["scored_r", "applications_v"], [("ef", EF_SQL)],
-                                           "SELECT error_type, " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in M.ERROR_FEATURES)
+                                           "SELECT error_type, " + ", ".join(f"round(avg({c}), 6) AS {c}" for c in K.ERROR_FEATURES)
                                            + " FROM ef GROUP BY error_type"))
 def q_error_means(spark, sf_dir):
     """Feature means of FP, FN and correct rows."""
@@ -248,7 +249,7 @@ CROSS_SQL = ("SELECT credit_bucket, loan_bucket, round(avg(error), 3) AS error_r
                                       "ORDER BY error_rate DESC, credit_bucket, loan_bucket LIMIT 10"))
 def q_worst_segments(spark, sf_dir):
     """The ten worst credit x loan cells (count >= 100, error > 30%)."""
-    return M.worst_segments(M.with_error_buckets(_ef(spark, sf_dir)))
+    return M.worst_segments(M.with_error_buckets(_ef(spark, sf_dir), ["loan_amount"]))
 
 
 @register("error_pivot", with_ctes(["scored_r", "applications_v"], EA + [("x", CROSS_SQL)],
@@ -257,7 +258,7 @@ def q_worst_segments(spark, sf_dir):
                                    + " FROM x WHERE count >= 100 GROUP BY credit_bucket"))
 def q_error_pivot(spark, sf_dir):
     """Error rate pivoted by loan bucket."""
-    return M.error_pivot(M.with_error_buckets(_ef(spark, sf_dir)))
+    return M.error_pivot(M.with_error_buckets(_ef(spark, sf_dir), ["loan_amount"]))
 
 
 @register("confidence_buckets", with_ctes(["scored_r", "applications_v"], EA,
@@ -265,7 +266,7 @@ def q_error_pivot(spark, sf_dir):
                                           "FROM eb WHERE confidence_bucket IS NOT NULL GROUP BY confidence_bucket"))
 def q_confidence(spark, sf_dir):
     """I16: error rate by quintile of |p - 0.5|."""
-    return M.confidence_buckets(M.with_error_buckets(_ef(spark, sf_dir)))
+    return M.confidence_buckets(M.with_error_buckets(_ef(spark, sf_dir), ["confidence"]))
 
 
 @register("segment_errors", with_ctes(["scored_r", "applications_v"], [("ef", EF_SQL)],

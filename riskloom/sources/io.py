@@ -1,17 +1,14 @@
 """Sources and sinks.
 
-Tables are parquet directories in a shared store.  ``replace_table`` writes the new
-table beside the old one and swaps the folders only when the job has succeeded, so a
-failed job leaves the previous table in place.
+Tables are versioned parquet folders committed by a pointer (``commit``): a stopped job leaves the table as it was.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, sampling
+from .commit import read_table, replace_table
 
 
 def csv_scan(spark: SparkSession, path: str) -> DataFrame:
@@ -19,30 +16,6 @@ def csv_scan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("mode", "DROPMALFORMED").option("inferSchema", False).csv(path)
 
 
-def replace_table(df: DataFrame, out: str, partition_by: tuple[str, ...] = ()) -> int:
-    """Replace the parquet table ``out`` by ``df`` (which may read it); returns the rows written.
-
-    The old folder is moved aside, the new one moved in, and only then the old one deleted.  The count comes from the
-    new files' footers.
-    """
-    spark = df.sparkSession
-    new, old = (f"{out.rstrip('/')}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
-    df.write.partitionBy(*partition_by).parquet(new)
-    n = spark.read.parquet(new).count()
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    store = jvm(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    had = store.exists(jvm(out))
-    if had and not store.rename(jvm(out), jvm(old)):
-        raise OSError(f"cannot move {out} aside; the new table is in {new}")
-    if not store.rename(jvm(new), jvm(out)):
-        if had:
-            store.rename(jvm(old), jvm(out))
-        raise OSError(f"cannot move {new} to {out}; the old table stays")
-    if had:
-        store.delete(jvm(old), True)
-    return n
-
-
 def load_replace(spark: SparkSession, raw: DataFrame, out: str, data_source: str = "vendor") -> int:
     """A3: idempotent load: clean, probe for one usable row **before** replacing the table,
     then overwrite; raises when nothing is usable.  Returns the row count written."""
@@ -84,8 +57,8 @@ def predictions_replace(existing: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def predictions_commit(spark: SparkSession, path: str, new: DataFrame) -> int:
-    """The same on a stored table, delete and append as one swap of folders; returns its row count."""
-    return replace_table(predictions_replace(spark.read.parquet(path), new), path)
+    """The same on a stored table, delete and append as one commit; returns its row count."""
+    return replace_table(predictions_replace(read_table(spark, path), new), path)
 
 
 def export_recent_subset(raw: DataFrame, n: int, date_col: str = "issue_d", id_col: str = "id") -> DataFrame:

@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from riskloom import constants as K
 from riskloom.operators import drift as D
 from riskloom.streaming import streams as ST
 
@@ -22,7 +23,7 @@ def drift_rows(spark):
 def test_alert_messages(spark):
     a = {r["feature_name"]: r for r in D.alerts(drift_rows(spark)).collect()}
     assert set(a) == {"a", "b"}
-    assert a["a"]["message"].startswith("\U0001F6A8 Feature drift detected\nFeature: a\nPSI: 0.2000 (threshold: 0.15)")
+    assert a["a"]["message"].startswith(K.DRIFT_ALERT.split("%s")[0] + "a\nPSI: 0.2000 (threshold: 0.15)")
     assert "Current: 2019-10-01 → 2019-12-31\nReference: 2019-01-01 → 2019-06-30" in a["a"]["message"]
     assert a["b"]["message"] == "⚠️ Feature drift warning\nFeature: b\nPSI: 0.1200 (warning: 0.1)"
     assert all(r["status"] == "pending" for r in a.values())
