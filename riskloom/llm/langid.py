@@ -11,10 +11,9 @@ between languages go to the first in sorted order.  Training rows with a null la
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ BITS = 15
 ALPHA = 0.5  # added to every count
 ROUNDS = 10
 GROUP_BYTES = 2 << 20
-has_letter = re.compile(r"[^\W\d_]").search
+has_letter = regex.compile(r"\p{L}").search  # numerals such as ² or Ⅷ are no letters
 
 
 def letter_bytes() -> np.ndarray:

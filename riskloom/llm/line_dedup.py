@@ -13,7 +13,8 @@ Only digests are grouped, with map-side aggregation, so a chunk that a third of
 ``passage_dedup`` has the finest chunks, which the lines of a passage's neighbours cannot blur: every two successive
 non-blank lines (with the blank ones between) and every line of ``MIN_WORDS`` words or more.  A repeated passage of two
 or more non-blank lines is a run of such pairs, so all of its lines go, wherever it stands, and so does a long line
-alone.  The first occurrence of a line is in no repeated pair, so every line of the table stays at least once.
+alone.  A run of removed lines has ``MIN_BYTES`` bytes at least, so closing brackets or "Yes." and "No." stay.  The first
+occurrence of a line is in no repeated pair, so every line of the table stays at least once.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from .common import join_checked, materialise
 
 WINDOW, DIVISOR, MIN_LINES, BASE = 2, 3, 2, 31
 MIN_WORDS = 50
+MIN_BYTES = 64
 NEWLINE = "\n"
 
 
@@ -130,8 +132,24 @@ def passages(rows: DataFrame, min_words: int) -> DataFrame:
         .select("doc_id", "text_key", "c.pos", "c.stop", "c.body", F.md5("c.body").alias("digest"))
 
 
+def large_runs(gone: str, lines: str, min_bytes: int):
+    """Of the line numbers in ``gone`` those in runs of ``min_bytes`` or more (line ends included); null if none is left."""
+    none = F.array().cast("array<int>")
+    kept = lambda acc: F.when(acc["size"] >= min_bytes, F.concat(acc["done"], acc["run"])).otherwise(acc["done"])
+
+    def step(acc, i):
+        n = F.octet_length(F.get(lines, i)).cast("long") + 1
+        on = F.get(acc["run"], F.size(acc["run"]) - 1) == i - 1
+        more = F.struct(acc["done"].alias("done"), F.concat(acc["run"], F.array(i)).alias("run"), (acc["size"] + n).alias("size"))
+        return F.when(on, more).otherwise(F.struct(kept(acc).alias("done"), F.array(i).alias("run"), n.alias("size")))
+
+    start = F.struct(none.alias("done"), none.alias("run"), F.lit(0).cast("long").alias("size"))
+    left = F.aggregate(F.array_sort(gone), start, step, kept)
+    return F.when(F.size(left) > 0, left)
+
+
 def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                  out_col: str = "line_dedup") -> DataFrame:
+                  min_bytes: int = MIN_BYTES, out_col: str = "line_dedup") -> DataFrame:
     """All columns of ``docs``, the text without repeated passages, and the struct ``out_col`` (n_lines, n_removed_lines,
     n_removed_runs), which takes the place of a column of that name."""
     keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
@@ -142,7 +160,7 @@ def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")
     # removed lines grow with the documents, so this is a shuffled join at every size
     rows = keyed.join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
-    rows = rows.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), NEWLINE, -1))
+    rows = rows.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), NEWLINE, -1)).withColumn("gone", large_runs("gone", "_lines", min_bytes))
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "gone")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(stay, lambda i: F.element_at("_lines", i + 1)), NEWLINE))

@@ -2,14 +2,17 @@
 
 The text view sees the text alone (character statistics and hashed byte trigrams); the metadata view sees source, lang
 and length as the page's record states them.  Each view is a ridge logistic regression.  In every round a view labels the
-unlabelled documents it is confident about, by its calibrated probability, for the other view to learn from.  At the
+unlabelled documents it is confident about, by its calibrated probability, for the other view to learn from: all unlabelled documents
+of the table are scored, and the ``pseudo_rows`` most confident ones of all of them join the other view's rows.  At the
 end both views are calibrated on labelled rows set aside, and their log-odds, less the prior counted twice, score
 every document.
 
-Fitting uses at most ``labelled_rows`` labelled and ``pool_rows`` unlabelled documents (parameters; chosen by a hash of
-the id), so what reaches the driver is bounded whatever the corpus; all other work covers every row.
+Fitting uses at most ``labelled_rows`` labelled documents (chosen by a hash of the id) and ``pseudo_rows`` a view and
+round (parameters), so what reaches the driver is bounded whatever the corpus; all other work covers every row.  The
+features of every document are written once, in half precision, for the rounds.
 
-Null texts count as empty and null metadata is a value of its own.  A document labelled more than once has the majority
+Null texts count as empty and null metadata is a value of its own.  Of several texts of one labelled doc_id the one with the
+least hash is learned from; a null doc_id has no label and is not learned from.  A document labelled more than once has the majority
 label (ties count as good); null labels are ignored.  With no labels, or labels of one class only, every document gets
 that class's score (no labels: good) and nothing is learned.
 """
@@ -24,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small
+from .common import join_checked, materialise, small
 
 TRIGRAMS = 256
 STATS = 16
@@ -99,45 +102,48 @@ def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 
 class CoTrained:
-    """Weights of both views and their calibrations."""
+    """Weights of both views and their calibrations; ``add`` gives a view rows that the other one has labelled."""
 
-    def __init__(self, views, y, pool, rounds: int, confident: float, share: float):
-        """``views``: feature matrices of the labelled rows, one per view; ``pool``: the same of unlabelled rows."""
+    def __init__(self, views, y):
+        """``views``: feature matrices of the labelled rows, one per view."""
         self.mean = [v.mean(axis=0) for v in views]
         self.scale = [v.std(axis=0) + 1e-3 for v in views]
-        views = [(v - m) / s for v, m, s in zip(views, self.mean, self.scale)]
-        pool = [(v - m) / s for v, m, s in zip(pool, self.mean, self.scale)]
-        aside = np.arange(len(y)) % 5 == 0  # rows come in hash order; a fifth calibrates
-        if len(set(y[aside])) < 2 or len(set(y[~aside])) < 2:
-            aside = np.ones(len(y), bool)
-            train = aside
-        else:
-            train = ~aside
-        xs, ys = [v[train] for v in views], [y[train]] * 2
+        self.views, self.y = [self.scaled(k, v) for k, v in enumerate(views)], y
+        self.aside = np.arange(len(y)) % 5 == 0  # rows come in hash order; a fifth calibrates
+        if len(set(y[self.aside])) < 2 or len(set(y[~self.aside])) < 2:
+            self.aside = np.ones(len(y), bool)
+        train = ~self.aside if not self.aside.all() else self.aside
+        self.xs, self.ys = [v[train] for v in self.views], [y[train]] * 2
         self.prior = float(np.log(y.mean() / (1 - y.mean())))
-        self.w, self.cal = [None, None], [None, None]
-        left = [np.ones(len(pool[0]), bool) for _ in range(2)]  # pool rows that the other view has not labelled yet
-        for r in range(rounds + 1):
-            for k in range(2):
-                self.w[k] = fit(xs[k], ys[k])
-                self.cal[k] = fit(logit(views[k][aside], self.w[k])[:, None], y[aside], ridge=1e-3)
-            if r == rounds or not len(pool[0]):
-                break
-            for k in range(2):
-                p = logistic(self.calibrated(k, pool[k]))
-                sure = left[k] & ((p >= confident) | (p <= 1 - confident))
-                take = np.flatnonzero(sure)
-                take = take[np.argsort(-np.abs(p[take] - 0.5), kind="stable")][:max(1, int(share * len(p)))]
-                left[k][take] = False
-                xs[1 - k] = np.vstack([xs[1 - k], pool[1 - k][take]])
-                ys[1 - k] = np.append(ys[1 - k], (p[take] > 0.5).astype(float))
+        self.refit()
+
+    def scaled(self, k, x):
+        return (x - self.mean[k]) / self.scale[k]
+
+    def refit(self):
+        self.w = [fit(self.xs[k], self.ys[k]) for k in range(2)]
+        self.cal = [fit(logit(self.views[k][self.aside], self.w[k])[:, None], self.y[self.aside], ridge=1e-3) for k in range(2)]
+
+    def add(self, k, x, y):
+        """Rows for view ``k``: its features and the labels that the other view gives them."""
+        self.xs[k] = np.vstack([self.xs[k], self.scaled(k, x)])
+        self.ys[k] = np.append(self.ys[k], y)
 
     def calibrated(self, k, x):
         """Calibrated log-odds of a view from scaled features."""
         return logit(logit(x, self.w[k])[:, None], self.cal[k])
 
+    def probability(self, k, x):
+        return logistic(self.calibrated(k, self.scaled(k, x)))
+
+    def weights(self) -> "CoTrained":
+        """What scoring needs, without the rows learned from."""
+        out = object.__new__(CoTrained)
+        out.mean, out.scale, out.w, out.cal, out.prior = self.mean, self.scale, self.w, self.cal, self.prior
+        return out
+
     def score(self, text, meta):
-        a, b = (self.calibrated(k, (x - self.mean[k]) / self.scale[k]) for k, x in enumerate((text, meta)))
+        a, b = (self.calibrated(k, self.scaled(k, x)) for k, x in enumerate((text, meta)))
         return logistic(a), logistic(b), logistic(a + b - self.prior)
 
 
@@ -152,42 +158,86 @@ class Constant:
 
 def features_of(text, source, lang, n_chars):
     rows = list(zip(text, source, lang, n_chars))
-    return (np.array([text_features(r[0]) for r in rows], np.float32).reshape(-1, STATS + TRIGRAMS),
+    # rounded to half precision, as the rounds of co-training see them
+    return (np.array([text_features(r[0]) for r in rows], np.float16).reshape(-1, STATS + TRIGRAMS).astype(np.float32),
             np.array([meta_features(*r[1:]) for r in rows], np.float32).reshape(-1, META))
 
 
-def sample_ids(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: int, label_col: str) -> DataFrame:
-    """At most labelled_rows + pool_rows rows (id, y): labelled ones, then unlabelled ones with null y."""
-    given = labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+def majority(labels: DataFrame, label_col: str) -> DataFrame:
+    """(doc_id, y) of the labelled ids."""
+    return labels.where(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.avg(label_col) >= 0.5).cast("double").alias("y"))
-    ids = docs.select("doc_id").where("doc_id is not null").distinct()
-    order = F.xxhash64(F.col("doc_id").cast("long"), F.lit(7))
-    known = ids.join(given, "doc_id").orderBy(order, "doc_id").limit(labelled_rows)
-    pool = ids.join(given.select("doc_id"), "doc_id", "left_anti").orderBy(order, "doc_id").limit(pool_rows)
-    return known.unionByName(pool.select("doc_id", F.lit(None).cast("double").alias("y")))
-
 
-def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = 6000, pool_rows: int = 6000, rounds: int = 3,
-          confident: float = 0.95, share: float = 0.1, label_col: str = "quality"):
-    """Fit both views on a bounded sample; ``share`` of the pool at most is labelled by a view in a round."""
-    chosen = sample_ids(docs, labels, labelled_rows, pool_rows, label_col)
-    # the sample has labelled_rows + pool_rows rows of 16 bytes at most, hence the broadcast
-    rows = docs.select("doc_id", "text", "source", "lang", "n_chars").join(F.broadcast(chosen), "doc_id")
 
+def feature_table(docs: DataFrame, given: DataFrame) -> DataFrame:
+    """Every document with an id, written once: doc_id, text_key, its features t and m (half precision), label y or null."""
     def run(batches):
         for b in small(batches):
             t, m = features_of(*(b.column(i).to_pylist() for i in (1, 2, 3, 4)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(5), pa.array([x.tobytes() for x in t], pa.binary()),
-                                              pa.array([x.tobytes() for x in m], pa.binary())], names=["doc_id", "y", "t", "m"])
-
-    got = rows.mapInArrow(run, "doc_id long, y double, t binary, m binary").dropDuplicates(["doc_id"]).toArrow()
-    got = got.take(pa.array(np.argsort([zlib.crc32(str(i).encode()) for i in got["doc_id"].to_pylist()], kind="stable"), pa.int64()))
-    y = np.array([np.nan if v is None else v for v in got["y"].to_pylist()], np.float64)
-    views = [np.array([np.frombuffer(x, np.float32) for x in got[c].to_pylist()]) for c in ("t", "m")]
-    known = ~np.isnan(y)
-    if len(set(y[known])) < 2:
-        return Constant(float(y[known][0]) if known.any() else 1.0)
-    return CoTrained([v[known] for v in views], y[known], [v[~known] for v in views], rounds, confident, share)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(5), pa.array([x.tobytes() for x in t.astype(np.float16)], pa.binary()),
+                                              pa.array([x.tobytes() for x in m.astype(np.float16)], pa.binary())], names=["doc_id", "text_key", "t", "m"])
+
+    key = F.xxhash64(F.coalesce("text", F.lit("")), F.col("source"), F.col("lang"), F.col("n_chars"))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text", "source", "lang", F.col("n_chars").cast("double").alias("n_chars"),
+                                                   key.alias("text_key"))
+    rows = rows.mapInArrow(run, "doc_id long, text_key long, t binary, m binary")
+    given = materialise(given.select(F.col("doc_id").cast("long").alias("doc_id"), "y"), "quality-labels")
+    return materialise(join_checked(rows, given, "doc_id", "left", row_bytes=64), "quality-features", "zstd")
+
+
+def unpacked(col) -> np.ndarray:
+    return np.array([np.frombuffer(x, np.float16) for x in col.to_pylist()], np.float32)
+
+
+def most_confident(pool: DataFrame, model, k: int, n: int, confident: float, taken: set):
+    """The ``n`` rows of the whole pool that view ``k`` is surest about (ties by a hash of the id), as an Arrow table of
+    doc_id, text_key, p, t, m.  Each task hands on its own ``n`` at most."""
+    shared = pool.sparkSession.sparkContext.broadcast((model.weights(), frozenset(taken)))
+
+    def run(batches):
+        best, (view, known) = None, shared.value
+        for b in small(batches):
+            p = view.probability(k, unpacked(b.column(2 + k)))
+            sure = np.flatnonzero((p >= confident) | (p <= 1 - confident))
+            sure = sure[[(i, t) not in known for i, t in zip(b.column(0).take(pa.array(sure)).to_pylist(), b.column(1).take(pa.array(sure)).to_pylist())]] if len(sure) else sure
+            if not len(sure):
+                continue
+            rows = pa.Table.from_batches([b]).select(["doc_id", "text_key", "order", "t", "m"]).take(pa.array(sure))
+            rows = rows.append_column("p", pa.array(p[sure])).append_column("sure", pa.array(np.abs(p[sure] - 0.5)))
+            best = rows if best is None else pa.concat_tables([best, rows])
+            best = best.sort_by([("sure", "descending"), ("order", "ascending"), ("doc_id", "ascending"), ("text_key", "ascending")]).slice(0, n).combine_chunks()
+        if best is not None:
+            yield from best.to_batches()
+
+    order = F.xxhash64("doc_id", F.lit(7)).alias("order")
+    found = pool.select("doc_id", "text_key", "t", "m", order).mapInArrow(
+        run, "doc_id long, text_key long, order long, t binary, m binary, p double, sure double")
+    return found.orderBy(F.col("sure").desc(), "order", "doc_id", "text_key").limit(n).toArrow()
+
+
+def train(docs: DataFrame, labels: DataFrame, labelled_rows: int = 6000, pseudo_rows: int = 600, rounds: int = 3,
+          confident: float = 0.95, label_col: str = "quality"):
+    """Fit both views on a bounded labelled sample, and in each round on ``pseudo_rows`` of all unlabelled documents more."""
+    rows = feature_table(docs, majority(labels, label_col))
+    order = F.xxhash64("doc_id", F.lit(7))
+    known = rows.where("y is not null").groupBy("doc_id").agg(F.min(F.struct("text_key", "y", "t", "m")).alias("r"))
+    got = known.orderBy(order, "doc_id").limit(labelled_rows).select("doc_id", "r.*").toArrow()
+    y = np.asarray(got["y"].to_pylist(), np.float64)
+    if len(set(y)) < 2:
+        return Constant(float(y[0]) if len(y) else 1.0)
+    model = CoTrained([unpacked(got[c]) for c in ("t", "m")], y)
+    pool, taken = rows.where("y is null"), [set(), set()]
+    for _ in range(rounds):
+        found = [most_confident(pool, model, k, pseudo_rows, confident, taken[k]) for k in range(2)]
+        if not any(f.num_rows for f in found):
+            break
+        for k, f in enumerate(found):
+            if not f.num_rows:
+                continue
+            taken[k].update(zip(f["doc_id"].to_pylist(), f["text_key"].to_pylist()))
+            model.add(1 - k, unpacked(f["t" if k else "m"]), (np.asarray(f["p"].to_pylist(), np.float64) > 0.5).astype(float))
+        model.refit()
+    return model.weights()
 
 
 def with_scores(docs: DataFrame, model, out_col: str = "quality_scores") -> DataFrame:

@@ -153,7 +153,7 @@ def passages_plain(rows):
 
 def test_passages(docs, rows, rows_of, none):
     want = passages_plain(rows)
-    out = line_dedup.passage_dedup(docs)
+    out = line_dedup.passage_dedup(docs, min_bytes=0)
     assert out.columns == [*docs.columns, "line_dedup"]
     got = rows_of(out.select("doc_id", "text", "line_dedup.*"), "doc_id", "text", "n_removed_lines")
     assert got == sorted(((i, *want[i, t]) for i, t in rows), key=str) and any(n for _, n in want.values())
@@ -161,6 +161,23 @@ def test_passages(docs, rows, rows_of, none):
     assert not re.search("Python|Arrow|Pandas", out._jdf.queryExecution().toString().replace("ArrowColumnar", ""))
 
 
+def test_passages_have_a_least_size(spark):
+    """Short pairs that many documents share stay; planted passages of 2 to 5 lines, and a long single line, go."""
+    r = np.random.default_rng(4)
+    line = lambda n=9: " ".join("".join(r.choice(list("abcdefgh"), 5)) for _ in range(n))
+    passages = [[line() for _ in range(k)] for k in (2, 3, 4, 5)] + [[line(60)]]
+    short = ["Yes.\nNo.", "  }\n}", "a\n\nb"]
+    rows, first = [], {}
+    for i in range(120):
+        k, s = i % 5, short[i % 3]
+        rows.append((i, "\n".join([line(), s, line(), *passages[k], line(), s, line()])))
+        first.setdefault(k, i)
+    got = dict((x.doc_id, x) for x in line_dedup.passage_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    for i, t in rows:
+        want = t if first[i % 5] == i else "\n".join(x for x in t.split("\n") if x not in passages[i % 5])
+        assert got[i].text == want
+
+
 def test_short_passages_between_other_lines_go(spark, monkeypatch):
     rows, planted = [], {}
     for n in range(1, 6):

@@ -127,6 +127,60 @@ def test_language_edges_and_mixture(spark, docs, none):
     assert nothing is None and langid.identify(docs, nothing).where("lang_pred <> 'und'").count() == 0
 
 
+def test_numerals_are_no_letters(spark, none):
+    model = langid.learn(spark.createDataFrame([("uno dos tres " * 9, "es"), ("one two three " * 9, "en")], "text string, lang string"))
+    docs = spark.createDataFrame(list(enumerate(["²³", "½ 12", "Ⅷ", "٣٤ _", "ⅷ a", "ª"])), "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert [got[i] == "und" for i in range(6)] == [True, True, True, True, False, False]
+
+
+def plain_mixture(text, model, penalty=3.0, rounds=10):
+    """Languages and shares of one text, trigram by trigram."""
+    raw = [c if 97 <= c < 123 or c >= 128 else 32 for c in b" " + text.lower().encode() + b" "]
+    grams = [a * 65536 + b * 256 + c for a, b, c in zip(raw, raw[1:], raw[2:]) if not (a == b == 32 or b == c == 32)]
+    p = [model.p[(g * 2654435761 & 0xFFFFFFFF) >> 17] for g in grams]
+    n = len(model.langs)
+
+    def em(pi):
+        for _ in range(rounds):
+            new = [0.0] * n
+            for row in p:
+                den = sum(x * y for x, y in zip(row, pi))
+                for k in range(n):
+                    new[k] += pi[k] * row[k] / den
+            pi = [x / sum(new) for x in new]
+        return pi, sum(np.log(sum(x * y for x, y in zip(row, pi))) for row in p)
+
+    single = [sum(np.log(row[k]) for row in p) for k in range(n)]
+    best = max(range(n), key=lambda k: (single[k], -k))
+    chosen, score, price = {best: 1.0}, single[best], penalty * np.log(len(p) + 1)
+    full, top = em([1.0 / n] * n)
+    if top - score > price:
+        order = sorted(range(n), key=lambda k: (-full[k], k))
+        for size in range(2, n + 1):
+            pi = [max(full[k], 1e-6) if k in order[:size] else 0.0 for k in range(n)]
+            pi, ll = em([x / sum(pi) for x in pi])
+            if ll - (size - 1) * price <= score:
+                break
+            score, chosen = ll - (size - 1) * price, {k: x for k, x in enumerate(pi) if x > 0}
+    return {model.langs[k]: x for k, x in chosen.items()}
+
+
+def test_language_equals_plain_mixture(spark, small_dir):
+    docs = table(spark, small_dir, "documents")
+    model = langid.learn(docs)
+    texts = [r.text[:600] for r in docs.where("length(text) > 50").orderBy("doc_id").limit(14).collect()]
+    mixed = texts + [a + "\n" + b for a, b in zip(texts, texts[5:])] + ["a", "zz zz", "été 1 ü"]
+    # two languages with the same counts tie; the first in sorted order is taken
+    twin = langid.Model(["aa", "bb", "cc"], np.stack([model.p[:, 0] * 5000, model.p[:, 0] * 5000, model.p[:, 1] * 5000], axis=1))
+    for m in (model, twin):
+        got = langid.identify(spark.createDataFrame(list(enumerate(mixed)), "doc_id long, text string"), m).collect()
+        for r in got:
+            want = plain_mixture(mixed[r.doc_id], m)
+            assert r.lang_pred == max(sorted(want), key=lambda k: (round(want[k], 9), [-ord(c) for c in k]))
+            assert dict(zip(r.langs, r.shares)) == pytest.approx(want, abs=1e-7)
+
+
 def test_language_held_out_accuracy(spark, small_dir):
     got = queries.op8(spark, small_dir).join(table(spark, small_dir, "documents"), "doc_id")
     assert got.where("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.95
@@ -141,6 +195,32 @@ def test_quality_held_out_accuracy(spark, small_dir):
     assert got[got.quality == 1].kept.mean() > 0.93  # clean documents stay
 
 
+def test_quality_equals_plain_co_training(spark, small_dir):
+    """The rounds over the written table against loops over all rows."""
+    docs, labels = table(spark, small_dir, "documents"), table(spark, small_dir, "labels")
+    labels = labels.where("doc_id % 2 = 0")
+    rows = docs.select("doc_id", "text", "source", "lang", F.col("n_chars").cast("double"), F.xxhash64("doc_id", F.lit(7)).alias("o")).collect()
+    y = {r.doc_id: float(r.y) for r in quality.majority(labels, "quality").collect()}
+    rows.sort(key=lambda r: (r.o, r.doc_id))
+    x = quality.features_of(*zip(*[r[1:5] for r in rows]))
+    known = np.array([r.doc_id in y for r in rows])
+    m = quality.CoTrained([v[known] for v in x], np.array([y[r.doc_id] for r in rows if r.doc_id in y]))
+    left = [[i for i in range(len(rows)) if not known[i]] for _ in range(2)]
+    for _ in range(3):
+        picks = []
+        for k in range(2):
+            p = m.probability(k, x[k])
+            sure = sorted((i for i in left[k] if p[i] >= 0.95 or p[i] <= 0.05), key=lambda i: (-abs(p[i] - 0.5), rows[i].o))[:7]
+            picks.append((sure, p))
+        for k, (sure, p) in enumerate(picks):
+            left[k] = [i for i in left[k] if i not in sure]
+            m.add(1 - k, x[1 - k][sure], (p[sure] > 0.5).astype(float))
+        m.refit()
+    want = {r.doc_id: s for r, s in zip(rows, m.score(*x)[2])}
+    got = {r.doc_id: r.score for r in quality.classify(docs, labels, pseudo_rows=7).collect()}
+    assert len(m.ys[0]) > 7 + known.sum() * 0.8 - 2 and got == pytest.approx(want, abs=1e-6)
+
+
 def test_quality_edges(spark, docs, none):
     labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
     assert quality.classify(docs, labels([])).where("score <> 1 or not kept").count() == 0
