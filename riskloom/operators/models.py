@@ -26,7 +26,7 @@ from .. import constants as K
 from ..functions.expr import clip, risk_bucket
 from ..session import cut_lineage
 from . import metrics as M
-from . import orderstat, sampling
+from . import ensembles, orderstat, sampling
 
 SEED = 42
 
@@ -112,28 +112,46 @@ def draw_params(kind: str, trials: int, seed: int = SEED) -> list[dict]:
 
 
 def search(train: DataFrame, val: DataFrame, kind: str, features: Sequence[str], trials: int = 5,
-           seed: int = SEED) -> tuple[dict, float, list[tuple[dict, float]]]:
-    """K5: best parameters by validation AUC over seeded random trials (fixed time split)."""
+           seed: int = SEED, tree_share: float = 1.0) -> tuple[dict, float, list[tuple[dict, float]]]:
+    """K5: best parameters by validation AUC over seeded random trials (fixed time split).
+
+    ``tree_share`` scales the number of trees of every draw (the other parameters are searched as they are)."""
     results = []
     for p in draw_params(kind, trials, seed):
+        if "n_estimators" in p:
+            p["n_estimators"] = max(2, round(p["n_estimators"] * tree_share))
         m = fit(train, kind, features, p)
         results.append((p, auc_of(score(m, val))))
     best = max(results, key=lambda r: -1 if r[1] is None else r[1])
     return best[0], best[1], results
 
 
+def with_split(dataset: DataFrame, train_end: str, val_end: str, date_col: str = "application_date") -> DataFrame:
+    """H1 by the given dates; where they leave the train or the val part empty, H2's quantile cuts of the dates instead."""
+    cut = sampling.time_split(dataset, train_end, val_end, date_col)
+    n = cut.agg(*[F.count(F.when(F.col("split") == s, 1)).alias(s) for s in ("train", "val")]).first()
+    if n["train"] and n["val"]:
+        return cut
+    c = sampling.auto_cuts(dataset, date_col=date_col).first()
+    return sampling.time_split(dataset, str(c["train_end"]), str(c["val_end"]), date_col)
+
+
 def train_segment(dataset: DataFrame, features: Sequence[str], kinds: Sequence[str] = ("logistic", "rf", "gbt"),
-                  params: dict | None = None, early_stopping: bool = False) -> tuple[str, PipelineModel, DataFrame]:
+                  params: dict | None = None, early_stopping: bool = False, search_trials: int = 0,
+                  tree_share: float = 1.0) -> tuple[str, PipelineModel, DataFrame]:
     """K3: per segment, fit every candidate on train, keep the best raw validation AUC.
 
-    With ``early_stopping`` the boosting learner sees the validation rows as its stopping set.
+    With ``search_trials`` each candidate is searched (K5) before its fit, and its best draw overrides ``params``.  With
+    ``early_stopping`` the boosting learner sees the validation rows as its stopping set.
     Returns (best kind, its model, metrics table of all candidates on the val and test rows).
     """
-    params = params or {}
+    params = dict(params or {})
     train = dataset.where(F.col("split") == "train")
     val = dataset.where(F.col("split") == "val")
-    table, models, aucs = None, {}, {}
+    table, models = None, {}
     for kind in kinds:
+        if search_trials:
+            params[kind] = {**params.get(kind, {}), **search(train, val, kind, features, search_trials, tree_share=tree_share)[0]}
         if kind == "gbt" and early_stopping:
             rows = dataset.where(F.col("split").isin("train", "val")).withColumn("stopping_row", F.col("split") == "val")
             m = fit(rows, kind, features, params.get(kind), validation_col="stopping_row")
@@ -182,7 +200,7 @@ def apply_calibration(cal, df: DataFrame, p: str = "pd_score") -> DataFrame:
 
 
 # ----------------------------------------------------------------- K6
-def stack(dataset: DataFrame, features: Sequence[str], kinds: Sequence[str] = ("logistic", "rf"),
+def stack(dataset: DataFrame, features: Sequence[str], kinds: Sequence[str] = ("logistic", "rf", "gbt"),
           folds: int = 5, params: dict | None = None) -> tuple[PipelineModel, list[PipelineModel], DataFrame]:
     """K6: out-of-fold base scores over expanding time folds (G6), rows never scored get the
     mean, a logistic meta-model on the base scores; returns (meta, base models, val scored)."""
@@ -273,11 +291,9 @@ def load_bundle(spark, path: str) -> dict:
     meta = json.loads(spark.read.json(os.path.join(path, "meta")).first()["meta"])
     out = {"model": PipelineModel.load(os.path.join(path, "model")), **meta}
     for name in ("medians", "encodings", "metrics"):
-        p = os.path.join(path, name)
-        try:
-            out[name] = spark.read.parquet(p)
-        except Exception:  # an optional table that was not saved
-            out[name] = None
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, name))
+        saved = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)  # optional; a damaged table is an error
+        out[name] = spark.read.parquet(os.path.join(path, name)) if saved else None
     return out
 
 
@@ -292,20 +308,6 @@ def linear_contributions(df: DataFrame, coefs: dict[str, float], means: dict[str
     return df.select(id_col, *keep, arr.alias("contributions"))
 
 
-def perturbation_contributions(model: PipelineModel, df: DataFrame, features: Sequence[str], reference: dict[str, Column],
-                               id_col: str = "application_id") -> DataFrame:
-    """K12 (trees; deviation from TreeSHAP): score drop when one feature is set to its reference
-    (median) value, as one exploded scoring job (rows x features)."""
-    base = score(model, df).select(id_col, *features, F.col("pd_score").alias("_base"))
-    ex = base.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("_f"))
-    feats = set(features)
-    ex = ex.select(*[F.when(F.col("_f") == c, reference[c]).otherwise(F.col(c)).alias(c) if c in feats else F.col(c)
-                     for c in ex.columns])
-    s = score(model, ex)
-    long = s.select(id_col, F.col("_f").alias("feature"), (F.col("_base") - F.col("pd_score")).alias("value"))
-    return long.groupBy(id_col).agg(F.collect_list(F.struct("feature", "value")).alias("contributions"))
-
-
 def reasons(contrib: DataFrame, n: int = 3, positive_only: bool = False, col: str = "contributions") -> DataFrame:
     """Top ``n`` features by |contribution| (ties by name) with direction, row-local
     (array sort + slice, no shuffle)."""
@@ -343,24 +345,25 @@ def shared_importance(imp: DataFrame, a: str = "with_history", b: str = "cold_st
 # ----------------------------------------------------------------- K14
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], repeats: int = 3,
                            seed: int = SEED, y: str = "y", id_col: str = "application_id") -> DataFrame:
-    """Mean and std of the PR-AUC drop when one feature is permuted, all (feature, repeat)
-    pairs in one scoring job.  The permutation of repeat r sends row i the value of the row
-    whose seeded-hash rank equals i's id rank (an exact shuffle, by joins)."""
+    """Mean and std of the PR-AUC drop when one feature is permuted, all (feature, repeat) pairs in one job.
+
+    The permutation of repeat r sends row i the value of the row whose seeded-hash rank equals i's id rank (an exact
+    shuffle, by a join on the rank).  A row holds its own features and the ones it was sent, and is scored once per feature
+    by an expression; only (feature, repeat, label, score) is multiplied."""
     base_ap = M.binary(score(model, df), y).select("auc_pr").scalar()
-    idx = orderstat.row_index(df.select(id_col), [id_col], out="_i")
-    perms = None
+    prob = ensembles.scorer(model)
+    rows = df.select(id_col, F.col(y).alias("_y"), ensembles.feature_array(features).alias("_x"))
+    own = orderstat.row_index(rows, [id_col], out="_i")
+    scored = None
     for r in range(repeats):
-        ranked = orderstat.row_index(df.select(id_col).withColumn("_o", F.xxhash64(id_col, F.lit(seed + r))), ["_o", id_col], out="_i")
-        src = ranked.join(df.select(id_col, *features), id_col).select(F.col("_i"), *[F.col(c).alias(f"_p_{c}") for c in features])
-        p = idx.join(src, "_i").drop("_i").withColumn("_r", F.lit(r))
-        perms = p if perms is None else perms.unionByName(p)
-    rows = df.join(perms, id_col)
-    ex = rows.select("*", F.explode(F.array(*[F.lit(f) for f in features])).alias("_f"))
-    feats = set(features)
-    ex = ex.select(*[F.when(F.col("_f") == c, F.col(f"_p_{c}")).otherwise(F.col(c)).alias(c) if c in feats else F.col(c)
-                     for c in ex.columns if not c.startswith("_p_")])
-    s = score(model, ex)
-    ap = M.binary(s, y, by=["_f", "_r"]).select(F.col("_f").alias("feature"), "_r", (base_ap - F.col("auc_pr")).alias("drop"))
+        sent = orderstat.row_index(rows.select(id_col, F.col("_x").alias("_p"), F.xxhash64(id_col, F.lit(seed + r)).alias("_o")), ["_o", id_col], out="_i")
+        both = own.join(sent.select("_i", "_p"), "_i").withColumn("_r", F.lit(r))
+        scored = both if scored is None else scored.unionByName(both)
+    swapped = lambda j: F.transform("_x", lambda v, i: F.when(i == j, F.get("_p", i)).otherwise(v))
+    variants = F.transform(F.sequence(F.lit(0), F.lit(len(features) - 1)), lambda j: prob(swapped(j)))
+    long = scored.select("_r", "_y", F.posexplode(variants).alias("_f", "_s"))
+    long = long.withColumn("feature", F.get(F.lit(list(features)), F.col("_f")))
+    ap = M.binary(long, "_y", "_s", by=["feature", "_r"]).select("feature", "_r", (base_ap - F.col("auc_pr")).alias("drop"))
     return ap.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
 
 

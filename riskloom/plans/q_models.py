@@ -7,6 +7,7 @@ deterministic scores so DuckDB can recompute them.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.expr import round_doubles
+from ..operators import ensembles as EN
 from ..operators import features as fe
 from ..operators import metrics as M
 from ..operators import models as MD
@@ -37,6 +39,7 @@ def model_dataset(spark, sf_dir):
     """Snapshot + label + split + history segment (E6), materialised once for all fits."""
     fx = fixtures.load(spark, sf_dir)
     d = io.feature_dataset(features_snapshot_df(spark, sf_dir), fx.applications, T1, T2)
+    d = MD.with_split(cut_lineage(d.drop("split")), T1, T2)
     d = S.segment_flag(d, fx.payments).withColumn("segment", F.when(F.col("has_history"), "with_history").otherwise("cold_start"))
     return cut_lineage(MD.training_frame(d, FEATS_HIST))
 
@@ -111,21 +114,43 @@ def q_calibrate(spark, sf_dir):
 
 @register("hyper_search")
 def q_hyper_search(spark, sf_dir):
-    """K5: seeded random search for the logistic learner, 10 trials (validation AUC per trial)."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    best, auc, trials = MD.search(d.where(F.col("split") == "train"), d.where(F.col("split") == "val"), "logistic",
-                                  FEATS_COLD, trials=10)
-    rows = [(i, float(p["reg"]), float(p["l1_ratio"]), a, p == best) for i, (p, a) in enumerate(trials)]
+    """K5: seeded random search of both segments over the spaces of all three learners (validation AUC per trial); the
+    drawn numbers of trees are scaled to 3 %."""
+    d = model_dataset(spark, sf_dir)
+    rows = []
+    for seg, feats in SEGMENTS:
+        part = _seg(d, seg)
+        train, val = part.where(F.col("split") == "train"), part.where(F.col("split") == "val")
+        for kind, trials in (("logistic", 5), ("rf", 3), ("gbt", 3)):
+            best, _, found = MD.search(train, val, kind, feats, trials, tree_share=0.03)
+            rows += [(seg, kind, i, json.dumps({k: round(v, 6) for k, v in p.items()}), a, p == best) for i, (p, a) in enumerate(found)]
     # trial table: one row per trial (a handful of driver-side numbers)
-    return round_doubles(spark.createDataFrame(rows, "trial int, reg double, l1_ratio double, val_auc double, best boolean"))
+    return round_doubles(spark.createDataFrame(rows, "segment string, model string, trial int, params string, val_auc double, best boolean"))
+
+
+@register("train_searched")
+def q_train_searched(spark, sf_dir):
+    """K3 with K5: every learner of both segments searched before its fit; the candidates' validation and test metrics."""
+    d = model_dataset(spark, sf_dir)
+    out = None
+    for seg, feats in SEGMENTS:
+        best, _, table = MD.train_segment(_seg(d, seg), feats, search_trials=2, tree_share=0.02)
+        table = table.withColumn("segment", F.lit(seg)).withColumn("best", F.col("model") == best)
+        out = table if out is None else out.unionByName(table)
+    return round_doubles(out.select("segment", "model", "split", "best", "n", "auc_roc", "auc_pr", "brier", "ks"))
 
 
 @register("stacking")
 def q_stacking(spark, sf_dir):
-    """K6: out-of-fold stacking of logistic + random forest with a logistic meta-model."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    _, _, val = MD.stack(d, FEATS_COLD, kinds=("logistic", "rf"), params={"rf": {"n_estimators": 20}})
-    return round_doubles(M.binary(val).select("n", "auc_roc", "auc_pr", "brier"))
+    """K6: out-of-fold stacking of all three learners with a logistic meta-model, per segment."""
+    d = model_dataset(spark, sf_dir)
+    small = {"rf": {"n_estimators": 10, "max_depth": 5}, "gbt": {"n_estimators": 8, "max_depth": 3}}
+    out = None
+    for seg, feats in SEGMENTS:
+        _, _, val = MD.stack(_seg(d, seg), feats, params=small)
+        row = M.binary(val).select(F.lit(seg).alias("segment"), "n", "auc_roc", "auc_pr", "brier")
+        out = row if out is None else out.unionByName(row)
+    return round_doubles(out)
 
 
 CANDIDATES_SQL = """
@@ -167,13 +192,13 @@ def q_champion(spark, sf_dir):
 
 @register("batch_score")
 def q_batch_score(spark, sf_dir):
-    """K8: each segment scored by its own logistic model; versions, buckets, one table."""
+    """K8: each segment scored by its champion (the best of three learners); versions, buckets, one table."""
     d = model_dataset(spark, sf_dir)
     models, frames = {}, {}
-    for seg, feats in (("with_history", FEATS_HIST), ("cold_start", FEATS_COLD)):
+    for seg, feats in SEGMENTS:
         part = _seg(d, seg)
-        models[seg] = ("logistic", MD.fit(part.where(F.col("split") == "train"), "logistic", feats))
-        frames[seg] = part
+        best, model, _ = MD.train_segment(part, feats, params=TREES, early_stopping=True)
+        models[seg], frames[seg] = (best, model), part
     out = MD.score_batch(frames, models)
     return round_doubles(out.groupBy("model_version", "risk_bucket").agg(F.count(F.lit(1)).alias("n"),
                                                                         F.avg("pd_calibrated").alias("mean_pd")))
@@ -190,20 +215,54 @@ def q_route(spark, sf_dir):
     return f2.select("application_id", MD.route(f2).alias("route"))
 
 
+# small fits for the queries that need a model of every kind
+SMALL = {"rf": {"n_estimators": 10, "max_depth": 5}, "gbt": {"n_estimators": 10, "max_depth": 3}}
+
+
+def _every_model(spark, sf_dir):
+    """(segment, kind, features, model, train rows, val rows) of all learners in both segments."""
+    d = model_dataset(spark, sf_dir)
+    for seg, feats in SEGMENTS:
+        part = _seg(d, seg)
+        train, val = part.where(F.col("split") == "train"), part.where(F.col("split") == "val")
+        for kind in ("logistic", "rf", "gbt"):
+            yield seg, kind, feats, MD.fit(train, kind, feats, SMALL.get(kind)), train, val
+
+
 @register("model_bundle")
 def q_model_bundle(spark, sf_dir):
-    """Model + features + medians + metrics saved and loaded; scores equal after reload."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    train, val = d.where(F.col("split") == "train"), d.where(F.col("split") == "val")
-    m = MD.fit(train, "logistic", FEATS_COLD)
-    path = os.path.join(checkpoint_dir(spark), f"bundle-{uuid.uuid4().hex}")
-    MD.save_bundle(path, m, FEATS_COLD, medians=fe.medians(train, FEATS_COLD), metrics=M.binary(MD.score(m, val)), kind="logistic")
-    b = MD.load_bundle(spark, path)
-    a1 = MD.score(m, val).select("application_id", F.col("pd_score").alias("p1"))
-    a2 = MD.score(b["model"], val).select("application_id", F.col("pd_score").alias("p2"))
-    j = a1.join(a2, "application_id")
-    return j.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"),
-                 F.lit(len(b["features"])).alias("n_features"))
+    """Model + features + medians + metrics of every learner and segment saved and loaded; scores equal after reload."""
+    out = None
+    for seg, kind, feats, m, train, val in _every_model(spark, sf_dir):
+        path = os.path.join(checkpoint_dir(spark), f"bundle-{uuid.uuid4().hex}")
+        med = fe.medians(train, feats) if kind == "logistic" else None  # one table of medians a segment
+        MD.save_bundle(path, m, feats, medians=med, metrics=M.binary(MD.score(m, val)), kind=kind)
+        b = MD.load_bundle(spark, path)
+        a1 = MD.score(m, val).select("application_id", F.col("pd_score").alias("p1"))
+        a2 = MD.score(b["model"], val).select("application_id", F.col("pd_score").alias("p2"))
+        row = a1.join(a2, "application_id").agg(
+            F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"),
+            F.lit(len(b["features"])).alias("n_features")).select(F.lit(seg).alias("segment"), F.lit(b["kind"]).alias("model"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("tree_contributions")
+def q_tree_contributions(spark, sf_dir):
+    """K12 (forests and boosted trees): mean |path contribution| per feature on the validation rows, and the largest gap
+    between a row's contributions and its score."""
+    out = None
+    for seg, kind, feats, m, _, val in _every_model(spark, sf_dir):
+        if kind == "logistic":
+            continue
+        s = MD.score(m, val.select("application_id", *feats))
+        c = EN.tree_contributions(m, s, feats, keep=["pd_score"])
+        total = F.aggregate("contributions", F.col("base"), lambda a, x: a + x["value"])
+        c = c.withColumn("gap", F.abs(F.col("pd_score") - (F.lit(1.0) / (F.lit(1.0) + F.exp(-2 * total)) if kind == "gbt" else total)))
+        row = c.select("gap", F.inline("contributions")).groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"), F.max("gap").alias("max_gap"))
+        row = row.select(F.lit(seg).alias("segment"), F.lit(kind).alias("model"), "feature", "mean_abs", "max_gap")
+        out = row if out is None else out.unionByName(row)
+    return round_doubles(out)
 
 
 # fixed linear scorecard for explanation entries (coefficients of the fixture's score plus two more)
@@ -268,11 +327,14 @@ def q_importance_join(spark, sf_dir):
 
 @register("permutation_importance")
 def q_permutation(spark, sf_dir):
-    """PR-AUC drop over 10 seeded permutations of every cold-start feature (one scoring job)."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    m = MD.fit(d.where(F.col("split") == "train"), "logistic", FEATS_COLD)
-    val = d.where(F.col("split") == "val")
-    return round_doubles(MD.permutation_importance(m, val, FEATS_COLD, repeats=10))
+    """PR-AUC drop over 10 seeded permutations of every feature, logistic and boosted model of both segments."""
+    out = None
+    for seg, kind, feats, m, _, val in _every_model(spark, sf_dir):
+        if kind == "rf":
+            continue
+        row = MD.permutation_importance(m, val, feats, repeats=10).select(F.lit(seg).alias("segment"), F.lit(kind).alias("model"), "*")
+        out = row if out is None else out.unionByName(row)
+    return round_doubles(out)
 
 
 def _corr_importance_sql(src: str, cols: list[str]) -> str:
@@ -322,9 +384,16 @@ def q_category(spark, sf_dir):
 
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
-    """train/val AUC by nested training size for the cold-start logistic model, with diagnosis."""
-    d = _seg(model_dataset(spark, sf_dir), "cold_start")
-    return round_doubles(MD.learning_curve(d, FEATS_COLD, [500, 1000, 2000, 4000], order=S.portable_order()))
+    """train/val AUC by nested training size for the best learner of each segment, with diagnosis."""
+    d = model_dataset(spark, sf_dir)
+    out = None
+    for seg, feats in SEGMENTS:
+        part = _seg(d, seg)
+        best, _, _ = MD.train_segment(part, feats, params=SMALL)
+        curve = MD.learning_curve(part, feats, [500, 1000, 2000, 4000], kind=best, params=SMALL.get(best), order=S.portable_order())
+        curve = curve.select(F.lit(seg).alias("segment"), F.lit(best).alias("model"), "*")
+        out = curve if out is None else out.unionByName(curve)
+    return round_doubles(out)
 
 
 # ------------------------------------------------------------------ C11-C13
