@@ -27,7 +27,7 @@ from .common import join_checked, materialise
 
 WINDOW, DIVISOR, MIN_LINES, BASE = 2, 3, 2, 31
 MIN_WORDS = 50
-MIN_BYTES = 64
+MIN_BYTES = 32
 NEWLINE = "\n"
 
 
