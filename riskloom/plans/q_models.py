@@ -115,14 +115,14 @@ def q_calibrate(spark, sf_dir):
 @register("hyper_search")
 def q_hyper_search(spark, sf_dir):
     """K5: seeded random search of both segments over the spaces of all three learners (validation AUC per trial); the
-    drawn numbers of trees are scaled to 3 %."""
+    drawn numbers of trees are scaled to 1.5 %."""
     d = model_dataset(spark, sf_dir)
     rows = []
     for seg, feats in SEGMENTS:
         part = _seg(d, seg)
         train, val = part.where(F.col("split") == "train"), part.where(F.col("split") == "val")
-        for kind, trials in (("logistic", 5), ("rf", 3), ("gbt", 3)):
-            best, _, found = MD.search(train, val, kind, feats, trials, tree_share=0.03)
+        for kind, trials in (("logistic", 4), ("rf", 2), ("gbt", 2)):
+            best, _, found = MD.search(train, val, kind, feats, trials, tree_share=0.015)
             rows += [(seg, kind, i, json.dumps({k: round(v, 6) for k, v in p.items()}), a, p == best) for i, (p, a) in enumerate(found)]
     # trial table: one row per trial (a handful of driver-side numbers)
     return round_doubles(spark.createDataFrame(rows, "segment string, model string, trial int, params string, val_auc double, best boolean"))
@@ -134,7 +134,7 @@ def q_train_searched(spark, sf_dir):
     d = model_dataset(spark, sf_dir)
     out = None
     for seg, feats in SEGMENTS:
-        best, _, table = MD.train_segment(_seg(d, seg), feats, search_trials=2, tree_share=0.02)
+        best, _, table = MD.train_segment(_seg(d, seg), feats, search_trials=2, tree_share=0.01)
         table = table.withColumn("segment", F.lit(seg)).withColumn("best", F.col("model") == best)
         out = table if out is None else out.unionByName(table)
     return round_doubles(out.select("segment", "model", "split", "best", "n", "auc_roc", "auc_pr", "brier", "ks"))
@@ -144,10 +144,10 @@ def q_train_searched(spark, sf_dir):
 def q_stacking(spark, sf_dir):
     """K6: out-of-fold stacking of all three learners with a logistic meta-model, per segment."""
     d = model_dataset(spark, sf_dir)
-    small = {"rf": {"n_estimators": 10, "max_depth": 5}, "gbt": {"n_estimators": 8, "max_depth": 3}}
+    small = {"rf": {"n_estimators": 5, "max_depth": 4}, "gbt": {"n_estimators": 4, "max_depth": 3}}
     out = None
     for seg, feats in SEGMENTS:
-        _, _, val = MD.stack(_seg(d, seg), feats, params=small)
+        _, _, val = MD.stack(_seg(d, seg), feats, folds=3, params=small)
         row = M.binary(val).select(F.lit(seg).alias("segment"), "n", "auc_roc", "auc_pr", "brier")
         out = row if out is None else out.unionByName(row)
     return round_doubles(out)
@@ -219,13 +219,13 @@ def q_route(spark, sf_dir):
 SMALL = {"rf": {"n_estimators": 10, "max_depth": 5}, "gbt": {"n_estimators": 10, "max_depth": 3}}
 
 
-def _every_model(spark, sf_dir):
-    """(segment, kind, features, model, train rows, val rows) of all learners in both segments."""
+def _every_model(spark, sf_dir, kinds=("logistic", "rf", "gbt")):
+    """(segment, kind, features, model, train rows, val rows) of the learners in both segments."""
     d = model_dataset(spark, sf_dir)
     for seg, feats in SEGMENTS:
         part = _seg(d, seg)
         train, val = part.where(F.col("split") == "train"), part.where(F.col("split") == "val")
-        for kind in ("logistic", "rf", "gbt"):
+        for kind in kinds:
             yield seg, kind, feats, MD.fit(train, kind, feats, SMALL.get(kind)), train, val
 
 
@@ -252,9 +252,7 @@ def q_tree_contributions(spark, sf_dir):
     """K12 (forests and boosted trees): mean |path contribution| per feature on the validation rows, and the largest gap
     between a row's contributions and its score."""
     out = None
-    for seg, kind, feats, m, _, val in _every_model(spark, sf_dir):
-        if kind == "logistic":
-            continue
+    for seg, kind, feats, m, _, val in _every_model(spark, sf_dir, ("rf", "gbt")):
         s = MD.score(m, val.select("application_id", *feats))
         c = EN.tree_contributions(m, s, feats, keep=["pd_score"])
         total = F.aggregate("contributions", F.col("base"), lambda a, x: a + x["value"])
@@ -327,12 +325,12 @@ def q_importance_join(spark, sf_dir):
 
 @register("permutation_importance")
 def q_permutation(spark, sf_dir):
-    """PR-AUC drop over 10 seeded permutations of every feature, logistic and boosted model of both segments."""
-    out = None
-    for seg, kind, feats, m, _, val in _every_model(spark, sf_dir):
-        if kind == "rf":
-            continue
-        row = MD.permutation_importance(m, val, feats, repeats=10).select(F.lit(seg).alias("segment"), F.lit(kind).alias("model"), "*")
+    """PR-AUC drop over 10 seeded permutations of every feature of the logistic models of both segments."""
+    d, out = model_dataset(spark, sf_dir), None
+    for seg, feats in SEGMENTS:
+        part = _seg(d, seg)
+        m = MD.fit(part.where(F.col("split") == "train"), "logistic", feats)
+        row = MD.permutation_importance(m, part.where(F.col("split") == "val"), feats, repeats=10).select(F.lit(seg).alias("segment"), "*")
         out = row if out is None else out.unionByName(row)
     return round_doubles(out)
 
