@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..session import materialise
 from . import orderstat, selection
@@ -79,44 +79,20 @@ def iqr_outliers(df: DataFrame, cols: Sequence[str] | None = None, max_null_rate
 
 
 def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> list:
-    """Pearson correlation aggregates for ``pairs`` over pairwise-complete rows; NULL for a
-    constant column.
+    """Pearson correlation aggregates for ``pairs`` over pairwise-complete rows; NULL where a column is constant there.
 
-    One probe pass takes per-column min, max and count (3 numbers per column reach
-    the driver).  The correlations are then plain sums of products of centred
-    values (multiply-add only), masked to the rows where both
-    columns are present when a column has NULLs; identical sums are computed once.
+    Spark's own moment aggregates: each keeps the mean and moves the sums of squares and products to the new mean with
+    every value and every merge, so one pass does and an outlier costs no precision.  Only nullable columns are
+    masked by the other's; a variance that several pairs need is computed once.
     """
-    cols = sorted({c for p in pairs for c in p})
-    x = {c: F.col(c).cast("double") for c in cols}
-    probe = df.agg(F.count(F.lit(1)).alias("_n"),
-                   *[F.min(x[c]).alias(f"lo_{i}") for i, c in enumerate(cols)],
-                   *[F.max(x[c]).alias(f"hi_{i}") for i, c in enumerate(cols)],
-                   *[F.count(x[c]).alias(f"k_{i}") for i, c in enumerate(cols)]).first()
-    # centring constant: the mid-range (keeps the sums small without another aggregate)
-    info = {c: (probe[f"lo_{i}"], probe[f"hi_{i}"], probe[f"k_{i}"],
-                None if probe[f"lo_{i}"] is None else (probe[f"lo_{i}"] + probe[f"hi_{i}"]) / 2.0)
-            for i, c in enumerate(cols)}
-    const = {c for c, (lo, hi, k, m) in info.items() if lo is None or lo == hi}
-    full = {c for c, (lo, hi, k, m) in info.items() if k == probe["_n"]}
-    out = []
-    for a, b in pairs:
-        if a in const or b in const:
-            out.append(F.lit(None).cast("double"))
-            continue
-        xa, xb = x[a] - F.lit(info[a][3]), x[b] - F.lit(info[b][3])
-        if a in full and b in full:
-            n, sa, sb = F.count(F.lit(1)), F.sum(xa), F.sum(xb)
-            saa, sbb, sab = F.sum(xa * xa), F.sum(xb * xb), F.sum(xa * xb)
-        else:
-            m = x[a].isNotNull() & x[b].isNotNull()
-            w = lambda e: F.when(m, e)
-            n, sa, sb = F.count(w(F.lit(1))), F.sum(w(xa)), F.sum(w(xb))
-            saa, sbb, sab = F.sum(w(xa * xa)), F.sum(w(xb * xb)), F.sum(w(xa * xb))
-        cov = sab - sa * sb / n
-        va, vb = saa - sa * sa / n, sbb - sb * sb / n
-        out.append(F.when(n > 1, F.try_divide(cov, F.sqrt(va * vb))))
-    return out
+    nullable = {c for c in {c for p in pairs for c in p} if df.schema[c].nullable}
+
+    def masked(c: str, other: str) -> Column:
+        x = F.col(c).cast("double")
+        return F.when(F.col(other).isNotNull(), x) if other in nullable else x
+
+    return [F.try_divide(F.covar_pop(F.col(a).cast("double"), F.col(b).cast("double")),
+                         F.sqrt(F.var_pop(masked(a, b))) * F.sqrt(F.var_pop(masked(b, a)))) for a, b in pairs]
 
 
 def correlation_pairs(df: DataFrame, cols: Sequence[str], high: float = 0.7, very_high: float = 0.85) -> DataFrame:

@@ -92,3 +92,21 @@ def q_stream_alerts(spark, sf_dir):
     schema = "feature_name string, check_date date, message string, status string, created_at timestamp, " \
              "sent_at timestamp, error string, checked_at timestamp"
     return spark.read.schema(schema).parquet(out).select("feature_name", "check_date", "status", "message")
+
+
+QUEUE_SQL = ("SELECT feature_name, check_date, message, 'sent' AS status, CASE WHEN message LIKE '" + K.DRIFT_ALERT.split("%s")[0]
+             + "%' THEN 1 ELSE 2 END AS attempts FROM aq")
+
+
+@register("alert_queue", with_ctes(BASE, SHIFTED_CHECK + [("aq", ALERT_SQL_BODY)], QUEUE_SQL))
+def q_alert_queue(spark, sf_dir):
+    """S2 with J8: the alert queue after two micro-batches, the second a re-delivery of the first; warnings are not
+    delivered at the first attempt and are retried with the second batch."""
+    rows = cut_lineage(shifted_check_df(spark, sf_dir).withColumn("checked_at", F.col("check_date").cast("timestamp")))
+    src, queue = _scratch(spark, "drift-rows"), _scratch(spark, "alert-queue")
+    for run in ("run=1", "run=2"):  # a row a feature: one file a run, one run a micro-batch
+        rows.coalesce(1).write.parquet(os.path.join(src, run))
+    drifted = F.col("message").startswith(K.DRIFT_ALERT.split("%s")[0])
+    ST.alert_queue_stream(spark, os.path.join(src, "*"), queue, _scratch(spark, "ckpt-queue"),
+                          delivered=drifted | (F.col("attempts") >= 1), max_files_per_trigger=1)
+    return ST.read_alert_queue(spark, queue).select("feature_name", "check_date", "message", "status", "attempts")

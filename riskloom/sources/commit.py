@@ -29,6 +29,10 @@ def _store(spark: SparkSession, name: str):
     return _path(spark, name).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, name: str) -> bool:
+    return _store(spark, name).exists(_path(spark, name))
+
+
 def current(spark: SparkSession, table: str) -> str | None:
     """Folder of the table's current version; None for a folder without a pointer."""
     table = table.rstrip("/")
@@ -48,12 +52,19 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.read.parquet(current(spark, table) or table)
 
 
-def write_version(df: DataFrame, table: str, partition_by: tuple[str, ...] = ()) -> str:
-    """Write ``df`` as a version that no reader sees yet; returns its name."""
+def current_tag(spark: SparkSession, table: str) -> str | None:
+    """What the writer of the current version named it by; None without a version or a tag."""
+    now = current(spark, table)
+    return (now.rsplit("/", 1)[1].split("-", 2) + [""])[2] or None if now else None
+
+
+def write_version(df: DataFrame, table: str, partition_by: tuple[str, ...] = (), tag: str = "") -> str:
+    """Write ``df`` as a version that no reader sees yet; returns its name.  The name ends with ``tag``, which becomes
+    current together with the rows: a writer can tell from it what it has committed."""
     spark, table = df.sparkSession, table.rstrip("/")
     now = current(spark, table)
     number = int(now.rsplit("/", 1)[1].split("-")[0]) + 1 if now else 1
-    name = f"{number:08d}-{uuid.uuid4().hex}"
+    name = f"{number:08d}-{uuid.uuid4().hex}" + (f"-{tag}" if tag else "")
     df.write.partitionBy(*partition_by).parquet(f"{table}/{VERSIONS}/{name}")
     return name
 

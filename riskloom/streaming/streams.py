@@ -7,16 +7,18 @@ with exactly-once file-sink semantics (``foreachBatch`` keyed by batch id).
 
 S2 re-aims the alert polling loop: drift check rows stream in, duplicates of a
 (feature, check date) are dropped within a watermark, and drifted or warned
-features become pending alert rows in the alert table.
+features become pending alert rows in the alert table.  ``alert_queue_stream`` is
+the whole loop: the queue with its statuses and attempts is kept between batches.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import constants as K
 from ..functions.expr import clip, risk_bucket
@@ -24,6 +26,8 @@ from ..operators import drift as D
 from ..operators import features as fe
 from ..operators import models as MD
 from ..operators import quality as Q
+from ..session import cut_lineage
+from ..sources import commit
 
 REQUEST_SCHEMA = T.StructType([
     T.StructField("application_id", T.LongType()),
@@ -123,3 +127,88 @@ def dedup_stream(spark: SparkSession, drift_dir: str, out_dir: str, checkpoint:
         .outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+ALERT_KEY = ["feature_name", "check_date"]
+QUEUE_SCHEMA = "feature_name string, check_date date, message string, status string, created_at timestamp, " \
+               "sent_at timestamp, error string, attempts int"
+
+
+def _open_alerts(spark: SparkSession, queue_dir: str) -> DataFrame:
+    now = commit.current(spark, f"{queue_dir}/open")
+    return spark.read.schema(QUEUE_SCHEMA).parquet(now) if now else spark.createDataFrame([], QUEUE_SCHEMA)
+
+
+def _closed_alerts(spark: SparkSession, queue_dir: str, stream: str | None = None, before: int | None = None) -> DataFrame:
+    """Closed alerts of all committed batches; with ``before``, without the batches of ``stream`` from that one on,
+    which a writer that stopped may have left."""
+    path = f"{queue_dir}/closed"
+    if not commit.exists(spark, path):
+        return spark.createDataFrame([], QUEUE_SCHEMA)
+    rows = spark.read.schema(f"{QUEUE_SCHEMA}, stream string, batch bigint").option("basePath", path).parquet(path)
+    if before is not None:
+        rows = rows.where((F.col("stream") != stream) | (F.col("batch") < before))
+    return rows.drop("stream", "batch")
+
+
+def read_alert_queue(spark: SparkSession, queue_dir: str) -> DataFrame:
+    """The queue as of the last commit: open alerts (pending) and closed ones (sent, or error after the last attempt)."""
+    tag = commit.current_tag(spark, f"{queue_dir}/open")
+    if tag is None:
+        return spark.createDataFrame([], QUEUE_SCHEMA)
+    stream, batch = tag.split(".")
+    return _open_alerts(spark, queue_dir).unionByName(_closed_alerts(spark, queue_dir, stream, int(batch) + 1))
+
+
+def queue_batch(drift: DataFrame, batch_id: int, queue_dir: str, stream: str = "0", batch: int = 50, max_attempts: int = 3,
+                delivered: Column | None = None) -> bool:
+    """One micro-batch of drift rows into the alert queue, then one drain; False if the batch was committed before.
+
+    New alerts are those whose (feature, check date) is neither open nor closed; of repeated rows in a batch the one
+    checked first counts.  The oldest ``batch`` pending alerts, by created_at and feature whatever batch they came with,
+    are tried: ``delivered`` (an expression over the queue's columns) closes an alert as sent; otherwise it stays pending
+    with its error and one attempt more, until ``max_attempts`` closes it as error.  Closed alerts go to a folder of this
+    batch, open ones into a new version of the table, whose tag names the batch: a batch that is repeated after a
+    restart either finds its tag and does nothing, or finds the queue as it was and writes the same folder again.
+    One writer a queue at a time.
+    """
+    spark = drift.sparkSession
+    done = commit.current_tag(spark, f"{queue_dir}/open")
+    if done and done.split(".")[0] == stream and int(done.split(".")[1]) >= batch_id:
+        return False
+    open_, closed = _open_alerts(spark, queue_dir), _closed_alerts(spark, queue_dir, stream, batch_id)
+    first = drift.groupBy(*ALERT_KEY).agg(F.min(F.struct("checked_at", *[c for c in drift.columns if c not in (*ALERT_KEY, "checked_at")])).alias("r"))
+    new = D.alerts(first.select(*ALERT_KEY, "r.*")).withColumn("attempts", F.lit(0))
+    same = lambda known: F.expr(" and ".join(f"n.{c} <=> {known}.{c}" for c in ALERT_KEY))
+    new = new.alias("n").join(open_.alias("o"), same("o"), "left_anti").join(closed.alias("c"), same("c"), "left_anti")
+    queue = open_.unionByName(new.select(*open_.columns))
+    oldest = queue.orderBy("created_at", *ALERT_KEY).limit(batch).select(*ALERT_KEY).withColumn("_tried", F.lit(True))
+    at = queue.alias("n").join(oldest.alias("t"), same("t"), "left").select("n.*", F.col("_tried").isNotNull().alias("_tried"))
+    ok = F.col("_tried") & F.coalesce(F.lit(True) if delivered is None else delivered, F.lit(False))
+    failed = F.col("_tried") & ~F.col("_ok")
+    at = at.withColumn("_ok", ok).withColumns({
+        "attempts": F.col("attempts") + F.col("_tried").cast("int"),
+        "sent_at": F.when(F.col("_ok"), F.current_timestamp()),
+        "error": F.when(failed, "delivery failed").when(~F.col("_ok"), F.col("error")),
+        "status": F.when(F.col("_ok"), "sent").when(failed & (F.col("attempts") + 1 >= max_attempts), "error").otherwise("pending")})
+    at = cut_lineage(at.select(*open_.columns))
+    at.where("status <> 'pending'").write.mode("overwrite").parquet(f"{queue_dir}/closed/stream={stream}/batch={batch_id}")
+    table = f"{queue_dir}/open"
+    commit.publish(spark, table, commit.write_version(at.where("status = 'pending'"), table, tag=f"{stream}.{batch_id}"))
+    commit.vacuum(spark, table)
+    return True
+
+
+def alert_queue_stream(spark: SparkSession, drift_dir: str, queue_dir: str, checkpoint: str, batch: int = 50, max_attempts: int = 3,
+                       delivered: Column | None = None, max_files_per_trigger: int | None = None):
+    """S2 with J8: drift rows -> alerts -> the kept queue, one drain a micro-batch (``queue_batch``).  Repeated and late
+    rows are told by the queue itself, so no watermark bounds how late they may come."""
+    reader = spark.readStream.schema(DRIFT_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = f"{zlib.crc32(checkpoint.encode()):08x}"  # batch numbers are those of a checkpoint
+    q = reader.parquet(drift_dir).writeStream \
+        .foreachBatch(lambda rows, i: queue_batch(rows, i, queue_dir, stream, batch, max_attempts, delivered) and None) \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q

@@ -103,3 +103,22 @@ def test_fe_ids_no_repeats_and_size(spark, small_dir):
     ids = S.fe_ids(fx.applications, fx.payments, 1000, S.portable_order())
     n = ids.count()
     assert n == ids.distinct().count() == min(1000, fx.applications.count())
+
+
+def test_pair_correlations_one_pass(spark):
+    """Against numpy on complete pairs, with an outlier far from the rest, nulls and a constant column."""
+    import numpy as np
+    from riskloom.operators import profile as P
+
+    rng = np.random.default_rng(3)
+    a = rng.normal(5, 1, 400)
+    b, c = a + rng.normal(0, 1, 400), rng.normal(0, 1, 400)
+    c[7], a[7] = 1e9, -1e9
+    rows = [(float(x), float(y) if i % 5 else None, float(z), 2.5) for i, (x, y, z) in enumerate(zip(a, b, c))]
+    got = {(r["feature_a"], r["feature_b"]): r["r"] for r in
+           P.correlation_pairs(spark.createDataFrame(rows, "a double, b double, c double, k double").repartition(5), ["a", "b", "c", "k"]).collect()}
+    keep = np.arange(400) % 5 != 0
+    want = {("a", "b"): np.corrcoef(a[keep], b[keep]), ("a", "c"): np.corrcoef(a, c), ("b", "c"): np.corrcoef(b[keep], c[keep])}
+    for pair, m in want.items():
+        assert abs(got[pair] - m[0, 1]) < 1e-9
+    assert all(got[x, "k"] is None for x in "abc")

@@ -47,3 +47,58 @@ def test_dedup_stream(spark):
     assert spark.read.schema(ST.DRIFT_SCHEMA).parquet(os.path.join(base, "out")).count() == 3
     ST.alert_stream(spark, os.path.join(base, "in", "*"), os.path.join(base, "alerts"), os.path.join(base, "ck2"))
     assert spark.read.parquet(os.path.join(base, "alerts")).count() == 2
+
+
+def queue_rows(spark, *rows):
+    """Drift rows (feature, day of January 2020, checked on that day or on the one given, drifted)."""
+    period = "2019-01-01/2019-06-30"
+    return spark.createDataFrame([(f, dt.date(2020, 1, d), 0.2, 0.3, 0.01, drifted, not drifted, period, period, dt.datetime(2020, 1, on))
+                                  for f, d, on, drifted in rows], ST.DRIFT_SCHEMA)
+
+
+def queue_state(spark, path):
+    return {(r["feature_name"], r["check_date"].day): (r["status"], r["attempts"], r["error"]) for r in ST.read_alert_queue(spark, path).collect()}
+
+
+def test_alert_queue_order_retries_and_errors(spark, tmp_path):
+    q, sent, bad = str(tmp_path / "q"), ("sent", 1, None), "delivery failed"
+    step = lambda i, *rows: ST.queue_batch(queue_rows(spark, *rows), i, q, batch=2, max_attempts=2, delivered=F.col("feature_name") != "x")
+    assert queue_state(spark, q) == {}
+    assert step(0, ("x", 2, 2, True), ("a", 3, 3, True), ("a", 3, 4, True), ("b", 4, 4, False))
+    assert queue_state(spark, q) == {("x", 2): ("pending", 1, bad), ("a", 3): sent, ("b", 4): ("pending", 0, None)}
+    # a late row goes before all others; a repeated one, sent or pending, is none
+    assert step(1, ("c", 1, 9, True), ("a", 3, 9, True), ("b", 4, 9, True))
+    assert queue_state(spark, q) == {("x", 2): ("error", 2, bad), ("a", 3): sent, ("b", 4): ("pending", 0, None), ("c", 1): sent}
+    assert step(2) and queue_state(spark, q)["b", 4] == sent
+    assert step(3, ("x", 2, 9, True)) and queue_state(spark, q)["x", 2] == ("error", 2, bad)
+    assert ST.read_alert_queue(spark, q).where("status = 'sent' and sent_at is null").count() == 0
+
+
+def test_alert_queue_restarted_batch(spark, tmp_path, monkeypatch):
+    q = str(tmp_path / "q")
+    rows = queue_rows(spark, ("a", 1, 1, True), ("b", 2, 2, True))
+    assert ST.queue_batch(rows, 0, q, batch=1)
+    before = queue_state(spark, q)
+    assert not ST.queue_batch(rows, 0, q, batch=1) and queue_state(spark, q) == before  # committed: nothing is sent twice
+    with monkeypatch.context() as m:  # stops after the closed alerts are written, before the commit
+        m.setattr(ST.commit, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+        try:
+            ST.queue_batch(queue_rows(spark, ("c", 3, 3, True)), 1, q, batch=2)
+        except RuntimeError:
+            pass
+    assert queue_state(spark, q) == before
+    assert ST.queue_batch(queue_rows(spark, ("c", 3, 3, True)), 1, q, batch=2)
+    assert queue_state(spark, q) == {k: ("sent", 1, None) for k in (("a", 1), ("b", 2), ("c", 3))}
+    # another checkpoint counts its batches anew
+    assert ST.queue_batch(queue_rows(spark, ("d", 4, 4, True)), 0, q, stream="1", batch=2) and len(queue_state(spark, q)) == 4
+
+
+def test_alert_queue_stream_restarts(spark, tmp_path):
+    src, q, ck = str(tmp_path / "in"), str(tmp_path / "q"), str(tmp_path / "ck")
+    run = lambda: ST.alert_queue_stream(spark, src + "/*", q, ck, max_files_per_trigger=1)
+    queue_rows(spark, ("a", 5, 5, True)).coalesce(1).write.parquet(src + "/run=1")
+    run()
+    queue_rows(spark, ("a", 5, 5, True), ("b", 1, 6, False)).coalesce(1).write.parquet(src + "/run=2")
+    run()
+    run()
+    assert queue_state(spark, q) == {("a", 5): ("sent", 1, None), ("b", 1): ("sent", 1, None)}
