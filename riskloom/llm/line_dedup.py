@@ -1,10 +1,12 @@
 """Line deduplication by content-defined chunks of lines, in DataFrame functions only.
 
-A text's lines are hashed (28 bits of MD5), a rolling hash runs over ``window`` line hashes, and a line ends a chunk
-where the rolling hash is divisible by ``divisor``; the last line ends the last chunk.  Boundaries depend on the lines
-near them alone, so they come back into step after inserted or deleted lines.  Chunks of at least ``min_lines``
-non-blank lines that occur more than once in the table are compared byte by byte with their first occurrence
-(smallest doc_id, then position in the text); equal ones are removed, the first one stays.
+A text's lines are hashed (28 bits of MD5), a rolling hash runs over ``window`` line hashes, and a non-blank line ends a
+chunk where the rolling hash is divisible by ``divisor``; a line of ``min_words`` words or more is a chunk of its own (with
+the blank lines before it), and the last line ends the last chunk.  Boundaries depend on the lines near them alone, so
+they come back into step after inserted or deleted lines.  Chunks that occur more than once in the table are compared
+byte by byte with their first occurrence (smallest doc_id, then position in the text).  Successive later copies, and blank
+chunks beside them, make a run, which is removed if it has ``min_lines`` non-blank lines or one of ``min_words`` words,
+and ``min_bytes`` bytes (line ends included); the first occurrence of a chunk stays.
 
 Null texts count as empty (one blank line).  A text that loses all its chunks stays as an empty text.  Rows that repeat
 doc_id and text are one document and lose the same chunks; a chunk that repeats inside a text loses its later copies.
@@ -19,13 +21,13 @@ occurrence of a line is in no repeated pair, so every line of the table stays at
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
 from .common import join_checked, materialise
 
-WINDOW, DIVISOR, MIN_LINES, BASE = 2, 3, 2, 31
+WINDOW, DIVISOR, MIN_LINES, BASE = 2, 2, 2, 31
 MIN_WORDS = 50
 MIN_BYTES = 32
 NEWLINE = "\n"
@@ -35,41 +37,57 @@ def line_hash(line):
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
 
-def chunked(docs: DataFrame, window: int, divisor: int) -> DataFrame:
+def is_long(line, min_words: int):
+    return line.rlike(rf"^[ \t\r]*+(?:[^ \t\r]++[ \t\r]++){{{min_words - 1}}}[^ \t\r]")
+
+
+def chunked(docs: DataFrame, window: int, divisor: int, min_words: int) -> DataFrame:
     """Adds ``_lines`` and ``_ends`` (indices of the lines that end a chunk) to rows with a ``text`` column."""
     rows = docs.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), NEWLINE, -1))
-    rows = rows.withColumn("_hashes", F.transform("_lines", lambda x: line_hash(x)))
+    rows = rows.withColumn("_marks", F.transform("_lines", lambda x: F.struct(
+        line_hash(x).alias("hash"), (F.trim(x) != "").alias("filled"), is_long(x, min_words).alias("long"))))
 
-    def ends(_, i):
+    def ends(mark, i):
         roll = F.lit(0).cast("long")
         for back in range(window):
-            term = F.element_at("_hashes", F.greatest(i + 1 - back, F.lit(1))) * F.lit(BASE ** back)
+            term = F.element_at("_marks", F.greatest(i + 1 - back, F.lit(1)))["hash"] * F.lit(BASE ** back)
             roll = roll + F.when(i >= back, term).otherwise(F.lit(0))
-        return F.when((roll % divisor == 0) | (i == F.size("_hashes") - 1), i)
+        last = i == F.size("_marks") - 1
+        before_long = F.coalesce(F.get("_marks", i + 1)["long"], F.lit(False))
+        return F.when(last | (mark["filled"] & ((roll % divisor == 0) | mark["long"] | before_long)), i)
 
-    marks = F.filter(F.transform("_hashes", ends), lambda x: x.isNotNull())
-    return rows.withColumn("_ends", marks).drop("_hashes")
+    marks = F.filter(F.transform("_marks", ends), lambda x: x.isNotNull())
+    return rows.withColumn("_ends", marks).drop("_marks")
 
 
-def bodies(rows: DataFrame) -> DataFrame:
-    """Adds ``_chunks``: text and number of non-blank lines of every chunk."""
+def bodies(rows: DataFrame, min_words: int) -> DataFrame:
+    """Adds ``_chunks``: text, lines, non-blank lines and whether there is a long one, of every chunk."""
     def chunk(end, k):
         start = F.when(k == 0, F.lit(0)).otherwise(F.element_at("_ends", F.greatest(k, F.lit(1))) + 1)
         part = F.slice("_lines", start + 1, end - start + 1)
-        return F.struct(F.array_join(part, NEWLINE).alias("body"),
-                        (end - start + 1).alias("lines"),
-                        F.size(F.filter(part, lambda x: F.trim(x) != "")).alias("filled"))
+        return F.struct(F.array_join(part, NEWLINE).alias("body"), (end - start + 1).alias("lines"),
+                        F.size(F.filter(part, lambda x: F.trim(x) != "")).alias("filled"),
+                        F.exists(part, lambda x: is_long(x, min_words)).alias("long"))
 
     return rows.withColumn("_chunks", F.transform("_ends", chunk)).drop("_lines", "_ends")
 
 
-def repeated_chunks(rows: DataFrame, min_lines: int) -> DataFrame:
-    """(doc_id, text_key, removed positions) per document that loses chunks.  ``rows`` have ``_chunks``."""
+def repeated_runs(rows: DataFrame, min_lines: int, min_bytes: int) -> DataFrame:
+    """(doc_id, text_key, runs) per document that loses chunks, a run as first and last position.  ``rows`` have ``_chunks``."""
     # every text has a chunk; the outer form keeps the optimizer from testing that by computing all chunks beforehand
-    each = rows.select("doc_id", "text_key", F.posexplode_outer("_chunks").alias("pos", "c")).where(F.col("c.filled") >= min_lines) \
-        .select("doc_id", "text_key", "pos", F.col("c.body").alias("body"), F.md5("c.body").alias("digest"))
-    same = later_copies(each)
-    return materialise(same.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("gone")), "line-removed")
+    each = rows.select("doc_id", "text_key", F.posexplode_outer("_chunks").alias("pos", "c"))
+    size = ["filled", "long", "bytes"]
+    each = each.select("doc_id", "text_key", "pos", "c.body", F.md5("c.body").alias("digest"), "c.filled", "c.long",
+                       (F.octet_length("c.body") + 1).cast("long").alias("bytes"))
+    same = later_copies(each.where("filled > 0")).select("doc_id", "text_key", "pos", *size)
+    same = same.unionByName(each.where("filled = 0").select("doc_id", "text_key", "pos", *size))
+    # rows that repeat doc_id and text have the same chunks
+    once = same.groupBy("doc_id", "text_key", "pos").agg(*[F.first(c).alias(c) for c in size])
+    doc = Window.partitionBy("doc_id", "text_key")  # at most the chunks of one text
+    runs = once.withColumn("_run", F.col("pos") - F.row_number().over(doc.orderBy("pos"))).groupBy("doc_id", "text_key", "_run").agg(
+        F.min("pos").alias("start"), F.max("pos").alias("stop"), F.sum("filled").alias("filled"), F.max("long").alias("long"), F.sum("bytes").alias("bytes"))
+    runs = runs.where(((F.col("filled") >= min_lines) | F.col("long")) & (F.col("bytes") >= min_bytes))
+    return materialise(runs.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("runs")), "line-removed")
 
 
 def later_copies(each: DataFrame) -> DataFrame:
@@ -85,27 +103,29 @@ def later_copies(each: DataFrame) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-               divisor: int = DIVISOR, min_lines: int = MIN_LINES, out_col: str = "line_dedup") -> DataFrame:
-    """All columns of ``docs``, the text without repeated chunks, and the struct ``out_col`` (n_lines, n_removed_lines,
-    n_removed_chunks), which takes the place of a column of that name."""
+               divisor: int = DIVISOR, min_lines: int = MIN_LINES, min_words: int = MIN_WORDS, min_bytes: int = MIN_BYTES,
+               out_col: str = "line_dedup") -> DataFrame:
+    """All columns of ``docs``, the text without runs of repeated chunks, and the struct ``out_col`` (n_lines,
+    n_removed_lines, n_removed_chunks), which takes the place of a column of that name."""
     keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("text_key"))
-    gone = repeated_chunks(bodies(chunked(keyed.drop("_row"), window, divisor)), min_lines)
-    gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")
-    # a row is as long as its array, so the bound is on all positions together
-    row, places = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("gone")), F.lit(0))).first()
-    is_small = row * 64 + places * 8 <= common.BROADCAST_ROWS * 64
+    gone = repeated_runs(bodies(chunked(keyed.drop("_row"), window, divisor, min_words), min_words), min_lines, min_bytes)
+    gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "runs")
+    # a row is as long as its array, so the bound is on all runs together
+    row, places = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
+    is_small = row * 64 + places * 16 <= common.BROADCAST_ROWS * 64
     rows = keyed.join(F.broadcast(gone) if is_small else gone.hint("merge"),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
     # only texts that lose something are cut again
-    cut = bodies(chunked(rows.where("gone is not null"), window, divisor))
-    removed = F.filter("_chunks", lambda c, i: F.array_contains("gone", i))
+    cut = bodies(chunked(rows.where("runs is not null"), window, divisor, min_words), min_words)
+    in_run = lambda i: F.exists("runs", lambda r: (r["start"] <= i) & (i <= r["stop"]))
+    removed = F.filter("_chunks", lambda c, i: in_run(i))
     total = lambda a: F.aggregate(a, F.lit(0), lambda n, c: n + c["lines"])
-    cut = cut.select("_row", F.array_join(F.transform(F.filter("_chunks", lambda c, i: ~F.array_contains("gone", i)),
+    cut = cut.select("_row", F.array_join(F.transform(F.filter("_chunks", lambda c, i: ~in_run(i)),
                                                       lambda c: c["body"]), NEWLINE).alias("_text"),
                      F.struct(total("_chunks").alias("n_lines"), total(removed).alias("n_removed_lines"),
-                              F.size("gone").alias("n_removed_chunks")).alias("_report"))
-    whole = rows.where("gone is null").select("_row", F.col("text").alias("_text"), F.struct(
+                              F.size(removed).alias("n_removed_chunks")).alias("_report"))
+    whole = rows.where("runs is null").select("_row", F.col("text").alias("_text"), F.struct(
         F.size(F.split(F.coalesce("text", F.lit("")), NEWLINE, -1)).alias("n_lines"), F.lit(0).alias("n_removed_lines"),
         F.lit(0).alias("n_removed_chunks")).alias("_report"))
     out = whole.unionByName(cut)

@@ -94,16 +94,21 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_line_dedup", """
 with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
 e as (select doc_id, unnest(ls) as line, generate_subscripts(ls, 1) as i, len(ls) as n from l),
-h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as h from e),
-r as (select *, (h + 31 * coalesce(lag(h) over (partition by doc_id order by i), 0)) % 3 = 0 or i = n as is_end from h),
+h as (select *, ('0x' || substr(md5(line), 1, 7))::bigint as h, trim(line, ' ') <> '' as has_text,
+             regexp_matches(line, '^[ \\t\\r]*([^ \\t\\r]+[ \\t\\r]+){49}[^ \\t\\r]') as long from e),
+r as (select *, i = n or (has_text and ((h + 31 * coalesce(lag(h) over w, 0)) % 2 = 0 or long or coalesce(lead(long) over w, false))) as is_end
+      from h window w as (partition by doc_id order by i)),
 c as (select *, coalesce(sum(is_end::int) over (partition by doc_id order by i rows between unbounded preceding and 1 preceding), 0) as pos from r),
 k as (select doc_id, pos, string_agg(line, chr(10) order by i) as body, count(*) as lines,
-             count(*) filter (trim(line, ' ') <> '') as filled from c group by doc_id, pos),
-m as (select *, filled >= 2 and row_number() over (partition by body order by doc_id, pos) > 1 as gone from k)
+             count(*) filter (has_text) as filled, bool_or(long) as long from c group by doc_id, pos),
+m as (select *, filled = 0 or row_number() over (partition by body order by doc_id, pos) > 1 as again from k),
+g as (select *, pos - row_number() over (partition by doc_id, again order by pos) as run from m),
+q as (select *, again and (sum(filled) over v >= 2 or bool_or(long) over v) and sum(octet_length(encode(body)) + 1) over v >= 32 as gone
+      from g window v as (partition by doc_id, again, run))
 select doc_id, sum(lines) as n_lines, coalesce(sum(lines) filter (gone), 0) as n_removed_lines,
        count(*) filter (gone) as n_removed_chunks,
        sha256(coalesce(string_agg(body, chr(10) order by pos) filter (not gone), '')) as kept_sha256
-from m group by doc_id""")
+from q group by doc_id""")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
