@@ -165,7 +165,7 @@ def test_lines_shift_resistance():
     a, b = line_chunks("\n".join(block)), line_chunks("\n".join(["new", *block[:20], *block[25:]]))
     same = {"\n".join(x) for x in a} & {"\n".join(x) for x in b}
     hit = sum(any(x in block[20:25] for x in c) for c in a)
-    assert len(same) >= len(a) - hit - 3
+    assert len(same) >= len(a) - hit - 4  # beside what was deleted, two chunks an edit: boundaries see two lines
 
 
 def passages_plain(rows):
