@@ -215,6 +215,17 @@ def probed(rows: DataFrame, hash_col: str, hashes: int, name: str, slices: int |
     return out if out is not None else spark.createDataFrame([], rows.schema.add("possible", "boolean"))
 
 
+def slice_tables(rows: DataFrame, hash_col: str, slices: int, name: str, codec: str) -> list[DataFrame]:
+    """``rows`` written once, as ``slices`` tables by a hash of ``hash_col`` (one table keeps the order of the rows)."""
+    if slices == 1:
+        return [materialise(rows, name, codec)]
+    spark, path = rows.sparkSession, scratch(rows.sparkSession, name)
+    rows.withColumn("filter_slice", F.pmod(F.xxhash64(F.col(hash_col)), F.lit(slices)).cast("int")) \
+        .write.option("compression", codec).partitionBy("filter_slice").parquet(path)
+    folders = [f"{path}/filter_slice={k}" for k in range(slices)]
+    return [spark.read.schema(rows.schema).parquet(f) for f in folders if has_folder(spark, f)] or [spark.createDataFrame([], rows.schema)]
+
+
 def has_folder(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -5,26 +5,35 @@ its bytes for removal.  All starts are judged on the input.
 
 1. Each start's key is the least hash of the 32-byte strings inside its ``length`` bytes: equal strings have equal keys.
    A filter of repeated keys (``RepeatFilter``) leaves only text that may repeat.  It is probed while the text is read, so it
-   is one filter of at most 2**``log2_bits`` bits; beyond some 50 million keys more and more unique text passes it.
+   is one filter of at most 2**``log2_bits`` bits; beyond some 50 million keys more and more unique text passes it to
+   step 2, which writes it but does not shuffle it.
 2. That text is cut into shards.  A shard's suffix array is built by Larsson-Sadakane refinement (packed 8-byte prefixes,
    then doubling over the groups that are still tied), Kasai's walk gives the common prefixes, and runs of prefixes of
-   ``length`` or more are the shard's repeats.  Only a shard's first occurrences go on.
+   ``length`` or more are the shard's repeats.  Only a shard's first occurrences go on, and of those only the ones whose key
+   a second filter has seen in two of them.  It is sized by their number, in slices by key beyond the largest filter.
 3. First occurrences meet by key.  The strings of the shards that meet there are merged: sorted fingerprints, each
    string finds the earliest of its kind by binary search, and its bytes are compared.  Keys that fill more than half a
    block are hot: their strings are dealt on by a 128-bit fingerprint of the whole string, which stands for its bytes.
 
+4. A filter over the documents with repeats tells which rows need the join with the spans; the text of the others is not
+   shuffled.  Beyond 67 million such documents more and more of the others take the join too, with the same result.
+
 Null text counts as empty.  Rows that repeat doc_id and text are one document; different texts of one doc_id are separate
 documents in the order of their text hash.  A null doc_id comes first.  Texts shorter than ``length`` keep all bytes.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RepeatFilter, column_bytes, join_checked, materialise, mix64, ranges, shuffle_width, small
+from .common import (
+    RepeatFilter, column_bytes, filter_bits, filter_slices, join_checked, materialise, mix64, ranges, shuffle_width, slice_tables, small,
+)
 
 GRAM = 32
 GROUP_BYTES = 1 << 20  # text whose keys are computed together
@@ -33,6 +42,7 @@ BLOCK_BYTES = 1 << 20  # text merged together across shards
 NO_ID = np.iinfo(np.int64).min
 SPANS = "doc_id long, text_key long, start long, stop long"
 PARTS = "key long, doc_id long, text_key long, start long, stop long, body binary"
+REPEAT = 0  # the key of a shard's repeats, which no string has
 _BYTE = mix64(mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
@@ -66,6 +76,7 @@ def string_keys(b: np.ndarray, length: int, places: bool = False):
             at = np.where(m[step:] < m[:-step], at[step:], at[:-step])
         m = np.minimum(m[:-step], m[step:])
         size += step
+    m = np.maximum(m, np.uint64(REPEAT + 1))
     return (m, at) if places else m
 
 
@@ -200,7 +211,7 @@ def candidate_keys(src: DataFrame, length: int) -> DataFrame:
 
 
 def emit_runs(doc, text_key, base, piece, pos, text, key, gone, length: int):
-    """Rows of a shard: repeats as spans (null key), first occurrences as strings of neighbouring starts with one key."""
+    """Rows of a shard: repeats as spans (key ``REPEAT``), first occurrences as strings of neighbouring starts with one key."""
     gap = np.r_[True, (np.diff(pos) != 1) | (np.diff(piece) != 0) | (gone[1:] != gone[:-1])]
     for repeats in (True, False):
         new = gap if repeats else gap | np.r_[True, key[1:] != key[:-1]]
@@ -216,7 +227,7 @@ def emit_runs(doc, text_key, base, piece, pos, text, key, gone, length: int):
         body = [None] * len(head) if repeats else [whole[s:e + length] for s, e in zip(pos[head].tolist(), pos[tail].tolist())]
         ids = doc[p]
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(head), pa.int64()) if repeats else pa.array(key[head].view(np.int64)),
+            [pa.array(np.full(len(head), REPEAT, np.int64) if repeats else key[head].view(np.int64)),
              pa.array(ids, mask=ids == NO_ID), pa.array(text_key[p]), pa.array(start), pa.array(stop), pa.array(body, pa.binary())],
             names=["key", "doc_id", "text_key", "start", "stop", "body"])
 
@@ -378,6 +389,17 @@ def merged_repeats(firsts: DataFrame, length: int, block_bytes: int) -> DataFram
         merge_hot(join_checked(firsts, hot, "key", "left_semi"), length))
 
 
+def possible_repeats(part: DataFrame) -> DataFrame:
+    """First occurrences whose key may stand in two rows of ``part``; the others are unique, or repeat in their shard only."""
+    keys = part.where(F.col("key") != REPEAT).select("key")
+    seen = RepeatFilter(filter_bits(keys.count())).build(keys)
+    return part.where(F.col("key") != REPEAT).where(seen.udf()("key"))
+
+
+def union_all(tables) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables)
+
+
 def union_spans(spans: list) -> list[list[int]]:
     """Overlapping or touching (start, stop) spans as maximal runs."""
     out: list[list[int]] = []
@@ -390,21 +412,29 @@ def union_spans(spans: list) -> list[list[int]]:
 
 
 def suffix_dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", log2_bits: int = 28,
-                 shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per input row: doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans."""
+                 shard_bytes: int = SHARD_BYTES, block_bytes: int = BLOCK_BYTES, slices: int | None = None) -> DataFrame:
+    """One row per input row: doc_id, kept (the remaining bytes), n_bytes, n_removed, n_spans.
+
+    ``slices`` (by default told by the text's bytes) is the number of tables, by key, that first occurrences are written to."""
     if length < GRAM + 8:
         raise ValueError(f"length must be {GRAM + 8} at least")
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"))
     seen = RepeatFilter(log2_bits, k=1).build(candidate_keys(src, length))
-    # neighbouring strings overlap by most of their bytes, which this codec finds
-    parts = materialise(shard_parts(src, seen, length, shard_bytes), "suffix-shards", "zstd")
-    spans = parts.where("key is null").select("doc_id", "text_key", "start", "stop").unionByName(
-        merged_repeats(parts.where("key is not null"), length, block_bytes))
+    n_bytes = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # a key stays for half its reach on average
+    tables = slice_tables(shard_parts(src, seen, length, shard_bytes), "key", slices or filter_slices(n_bytes * 2 // (length - GRAM + 1)),
+                          "suffix-shards", "zstd")  # neighbouring strings overlap by most of their bytes, which this codec finds
+    spans = union_all(t.where(F.col("key") == REPEAT).select("doc_id", "text_key", "start", "stop") for t in tables).unionByName(
+        merged_repeats(union_all(map(possible_repeats, tables)), length, block_bytes))
     spans = materialise(spans.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")), "suffix-spans")
+    named = spans.select(F.xxhash64("_d", "_k").alias("h"))
+    # each twice, as the filter keeps what occurs twice
+    marked = RepeatFilter(filter_bits(spans.count())).build(named.unionAll(named)).udf()(F.xxhash64("doc_id", "text_key"))
     # spans grow with the documents, so this is a shuffled join at every size
-    rows = src.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
+    rows = src.where(marked).join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left") \
+        .select("doc_id", "text", "spans").unionByName(src.where(~marked).select("doc_id", "text"), allowMissingColumns=True)
 
     def run(batches):
         for b in small(batches):

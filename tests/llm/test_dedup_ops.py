@@ -312,7 +312,7 @@ def suffix_plain(rows, length):
     return sorted(((i, *out[i, t or ""]) for i, t in rows), key=str)
 
 
-@pytest.mark.parametrize("sizes", [{}, {"shard_bytes": 4000, "block_bytes": 700}])
+@pytest.mark.parametrize("sizes", [{}, {"shard_bytes": 4000, "block_bytes": 700, "slices": 3}])
 def test_suffix_dedup(docs, rows, none, sizes):
     got = suffix_dedup.suffix_dedup(docs, **sizes).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect()
     assert sorted(((*r[:4], bytes(r[4])) for r in got), key=str) == suffix_plain(rows, 100)
