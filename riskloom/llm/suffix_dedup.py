@@ -43,6 +43,7 @@ NO_ID = np.iinfo(np.int64).min
 SPANS = "doc_id long, text_key long, start long, stop long"
 PARTS = "key long, doc_id long, text_key long, start long, stop long, body binary"
 REPEAT = 0  # the key of a shard's repeats, which no string has
+PLACE = np.uint64((1 << 21) - 1)  # low bits of a hash that hold its place in a group of texts
 _BYTE = mix64(mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
 
 
@@ -64,26 +65,20 @@ def string_hash(b: np.ndarray, n: int) -> np.ndarray:
         size *= 2
 
 
-def string_keys(b: np.ndarray, length: int, places: bool = False):
-    """Key of the string of ``length`` bytes at every position: the least 32-byte hash in it (a sliding minimum).
-
-    With ``places`` also where the least hash stands (the first of equals).
-    """
+def string_keys(b: np.ndarray, length: int) -> np.ndarray:
+    """The least 32-byte hash in the string of ``length`` bytes at every position (a sliding minimum), with the place where
+    it stands in the low bits: of equal hashes the first counts.  ``key | PLACE`` is the string's key."""
     m, size, width = mix64(string_hash(b, GRAM)), 1, length - GRAM + 1
-    at = np.arange(len(m), dtype=np.int32) if places else None
+    m &= ~PLACE
+    m |= np.arange(len(m), dtype=np.uint64)
     for step in iter(lambda: min(size, width - size), 0):
-        if places:
-            at = np.where(m[step:] < m[:-step], at[step:], at[:-step])
         m = np.minimum(m[:-step], m[step:])
         size += step
-    m = np.maximum(m, np.uint64(REPEAT + 1))
-    return (m, at) if places else m
+    return m
 
 
-def text_groups(batch, length: int, places: bool = False):
-    """Bounded groups of texts: doc ids, text keys, base offsets, bytes, starts, text and key of each start.
-
-    With ``places`` the last one is the key and where its hash stands.
+def text_groups(batch, length: int):
+    """Bounded groups of texts: doc ids, text keys, base offsets, bytes, starts, text and ``string_keys`` of each start.
 
     A text longer than a group is read in pieces that overlap by ``length`` - 1 bytes; each piece is a text of its own
     here, with its base offset.
@@ -108,8 +103,7 @@ def text_groups(batch, length: int, places: bool = False):
         first = np.cumsum(n[part]) - n[part]
         starts = ranges(first, n[part] - length + 1)
         owner = np.repeat(np.arange(end - at), n[part] - length + 1)
-        yield ids[rows[part]], keys[rows[part]], base[part] - first, b, starts, owner, (
-            tuple(x[starts] for x in string_keys(b, length, True)) if places else string_keys(b, length)[starts])
+        yield ids[rows[part]], keys[rows[part]], base[part] - first, b, starts, owner, string_keys(b, length)[starts]
         at = end
 
 
@@ -176,9 +170,8 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, cap: int, lane: int = 64)
         live = np.flatnonzero((j >= 0) & (h < cap))
         while len(live):
             x = w[i[live] + h[live]] ^ w[j[live] + h[live]]
-            equal = (x == 0).astype(np.int64)
-            for k in range(7):
-                equal += x < np.uint64(1 << (8 * (k + 1)))
+            # leading equal bytes by the exponent; the bit below the highest is cleared, so that no rounding reaches a power
+            equal = (64 - np.frexp((x & ~(x >> np.uint64(1))).astype(np.float64))[1]) >> 3
             h[live] += equal
             live = live[(equal == 8) & (h[live] < cap)]
         h = np.minimum(h, cap)
@@ -203,9 +196,9 @@ def candidate_keys(src: DataFrame, length: int) -> DataFrame:
     """A key once for every place whose hash is the key of some string, so that a repeat inside a text counts too."""
     def run(batches):
         for b in small(batches):
-            for _, _, _, _, _, owner, (key, at) in text_groups(b, length, True):
+            for *_, owner, at in text_groups(b, length):
                 new = np.r_[True, (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])]
-                yield pa.RecordBatch.from_arrays([pa.array(key[new].view(np.int64))], names=["key"])
+                yield pa.RecordBatch.from_arrays([pa.array((at[new] | PLACE).view(np.int64))], names=["key"])
 
     return src.mapInArrow(run, "key long")
 
@@ -238,6 +231,7 @@ def shard_parts(src: DataFrame, seen: RepeatFilter, length: int, shard_bytes: in
         held, size = [], 0
         for b in small(batches):
             for doc, text_key, base, text, starts, owner, key in text_groups(b, length):
+                key |= PLACE
                 may = seen.test(key.view(np.int64))
                 starts, owner, key = starts[may], owner[may], key[may]
                 if not len(starts):
@@ -269,57 +263,73 @@ def shard_parts(src: DataFrame, seen: RepeatFilter, length: int, shard_bytes: in
     return src.mapInArrow(run, PARTS)
 
 
-def merge_block(rows, length: int):
-    """Strings of a block of rows; True where an equal string is earlier in the block."""
-    n = np.array([len(r[4]) for r in rows], np.int64)
-    text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+def merge_block(place, text, n, length: int):
+    """Strings of a block of rows in the order of key and place; True where an equal string is earlier in the block."""
     first = np.cumsum(n) - n
     pos = ranges(first, n - length + 1)
-    row = np.repeat(np.arange(len(rows)), n - length + 1)
-    place = np.array([(r[1], r[2], r[3]) for r in rows], np.int64)[row]
-    place[:, 2] += pos - first[row]
+    row = np.repeat(np.arange(len(n)), n - length + 1)
+    start = place[row, 2] + pos - first[row]
     h = string_hash(text, length)[pos]
-    order = np.lexsort((place[:, 2], place[:, 1], place[:, 0], h))  # earliest first among equals
+    order = np.argsort(h, kind="stable")  # earliest first among equals, which have one key
     sorted_h = h[order]
-    earliest = order[np.searchsorted(sorted_h, h)]  # binary search: the first of the same fingerprint
-    gone = (place[earliest] != place).any(axis=1)
+    earliest = np.empty(len(pos), np.int64)
+    earliest[order] = order[np.searchsorted(sorted_h, sorted_h)]  # binary search: the first of the same fingerprint
+    later = np.flatnonzero(earliest != np.arange(len(pos)))
     w = packed_words(text)
-    steps = [*range(0, length - 7, 8), length - 8]
-    same = np.ones(len(pos), bool)
-    for k in steps:
-        same &= w[pos + k] == w[pos[earliest] + k]
+    a, c = pos[later], pos[earliest[later]]
+    same = np.ones(len(later), bool)
+    for k in [*range(0, length - 7, 8), length - 8]:
+        same &= w[a + k] == w[c + k]
     if not same.all():  # equal fingerprints of different strings: settle those by their bytes
         whole, met = text.tobytes(), {}
-        for i in order[np.isin(h[order], h[~same])].tolist():
-            s = whole[pos[i]:pos[i] + length]
-            j = met.setdefault(s, i)
-            gone[i] = (place[i] != place[j]).any()
-    return pos, row, place, gone
+        for i in order[np.isin(sorted_h, h[later[~same]])].tolist():
+            earliest[i] = met.setdefault(whole[pos[i]:pos[i] + length], i)
+        later = np.flatnonzero(earliest != np.arange(len(pos)))
+    gone = np.zeros(len(pos), bool)
+    of, by = row[later], row[earliest[later]]  # a repeated row is the same place again
+    gone[later] = (place[of, :2] != place[by, :2]).any(axis=1) | (start[later] != start[earliest[later]])
+    return pos, row, start, gone
 
 
 def merge_shards(parts: DataFrame, length: int, block_bytes: int) -> DataFrame:
     """Repeats across shards among keys that fill half a block at most: spans (doc_id, text_key, start, stop)."""
     def run(batches):
-        held, size = [], 0
+        held, size, last = [], 0, None
         for b in batches:
-            for r in zip(*(b.column(i).to_pylist() for i in range(5))):
-                if size >= block_bytes // 2 and r[0] != held[-1][0]:
+            key = np.asarray(b.column(0))
+            total = np.cumsum(np.diff(column_bytes(b.column(4))[1]))
+            cuts = np.flatnonzero(np.r_[key[:1] != last, key[1:] != key[:-1]])  # rows that open a key
+            at = 0
+            while at < len(key):
+                # a block ends before the first new key that finds it half full
+                full = np.searchsorted(total, (total[at - 1] if at else 0) + block_bytes // 2 - size) + 1 if size < block_bytes // 2 else at
+                cut = np.searchsorted(cuts, max(full, at if held else at + 1))
+                end = int(cuts[cut]) if cut < len(cuts) else len(key)
+                if end > at:
+                    held.append(b.slice(at, end - at))
+                    size += int(total[end - 1] - (total[at - 1] if at else 0))
+                if cut < len(cuts):
                     yield from block(held)
                     held, size = [], 0
-                held.append((r[0], NO_ID if r[1] is None else r[1], *r[2:]))
-                size += len(r[4])
+                at = end
+            last = key[-1] if len(key) else last
         if held:
             yield from block(held)
 
     def block(held):
-        pos, row, place, gone = merge_block(held, length)
+        b = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        text, offs = column_bytes(b.column(4))
+        rows = np.stack([np.asarray(b.column(1).fill_null(NO_ID)), np.asarray(b.column(2)), np.asarray(b.column(3))], 1)
+        _, row, start, gone = merge_block(rows, text, np.diff(offs), length)
         at = np.flatnonzero(gone)
         if not len(at):
             return
-        new = np.r_[True, (np.diff(row[at]) != 0) | (np.diff(pos[at]) != 1)]
+        new = np.r_[True, (np.diff(row[at]) != 0) | (np.diff(start[at]) != 1)]
         head = np.flatnonzero(new)
         tail = np.append(head[1:], len(at)) - 1
-        yield span_batch(place[at[head]], place[at[tail], 2] + length)
+        place = rows[row[at[head]]]
+        place[:, 2] = start[at[head]]
+        yield span_batch(place, start[at[tail]] + length)
 
     dealt = parts.select("key", "doc_id", "text_key", "start", "body").repartition(shuffle_width(parts.sparkSession), "key") \
         .sortWithinPartitions("key", "doc_id", "text_key", "start")
