@@ -36,7 +36,7 @@ from .common import (
 )
 
 GRAM = 32
-GROUP_BYTES = 1 << 20  # text whose keys are computed together
+GROUP_BYTES = 1 << 17  # text whose keys are computed together, a few arrays of which fit a core's cache
 SHARD_BYTES = 1 << 20  # text of a suffix array
 BLOCK_BYTES = 1 << 20  # text merged together across shards
 NO_ID = np.iinfo(np.int64).min
@@ -232,7 +232,10 @@ def shard_parts(src: DataFrame, seen: RepeatFilter, length: int, shard_bytes: in
         for b in small(batches):
             for doc, text_key, base, text, starts, owner, key in text_groups(b, length):
                 key |= PLACE
-                may = seen.test(key.view(np.int64))
+                if not len(key):
+                    continue
+                head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])  # neighbouring starts share their key
+                may = np.repeat(seen.test(key[head].view(np.int64)), np.diff(np.append(head, len(key))))
                 starts, owner, key = starts[may], owner[may], key[may]
                 if not len(starts):
                     continue
