@@ -80,6 +80,8 @@ def ks_exact_column():
     """``ks_exact`` for a column of statistics; NULL where an argument is.  It is called on grouped results, a row a feature."""
     @F.pandas_udf("double")
     def pvalue(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(x) or not a or not b else ks_exact(float(x), int(a), int(b)) for x, a, b in zip(d, n1, n2)], dtype="float64")
+        # a batch with a NULL size arrives as floats with NaN, which is not false
+        known = ~(d.isna() | n1.isna() | n2.isna() | (n1 == 0) | (n2 == 0))
+        return pd.Series([ks_exact(float(x), int(a), int(b)) if k else None for x, a, b, k in zip(d, n1, n2, known)], dtype="float64")
 
     return pvalue

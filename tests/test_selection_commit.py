@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import orderstat, selection, tails
+from riskloom.operators import drift, orderstat, selection, tails
 from riskloom.sources import commit, io
 
 
@@ -101,6 +101,18 @@ def test_exact_ks_nears_the_limit():
     assert 0 < tails.ks_exact(0.9, 300, 400) < 1e-100
 
 
+def test_exact_ks_beside_windows_that_are_too_large(spark):
+    """A feature beyond the exact bound, and one without values, beside one within it: none stops the batch."""
+    rows = [("few", w, float(i + 3 * (w == "cur"))) for w in ("ref", "cur") for i in range(6)]
+    rows += [("many", w, float(i + 5 * (w == "cur"))) for w in ("ref", "cur") for i in range(30)]
+    rows += [("one side", "ref", float(i)) for i in range(5)]
+    values = spark.createDataFrame(rows, "feature string, window string, value double").coalesce(1)
+    got = {r.feature: r for r in drift.ks_two_sample(values, n_buckets=1, exact_up_to=10).collect()}
+    limit = {r.feature: r for r in drift.ks_two_sample(values, n_buckets=1).collect()}
+    assert got["few"].ks_pvalue == pytest.approx(ks_by_counting(0.5, 6, 6), rel=1e-12) != limit["few"].ks_pvalue
+    assert got["many"].ks_pvalue == limit["many"].ks_pvalue and got["one side"].ks_pvalue is None
+
+
 def test_interrupted_commits(spark, tmp_path, monkeypatch):
     out = str(tmp_path / "t")
     assert io.replace_table(spark.range(5), out) == 5 and io.read_table(spark, out).count() == 5
