@@ -1,7 +1,8 @@
 """A training corpus from raw documents: five stages, each of which works on all that the stage before has kept.
 
 quality      documents that the co-trained quality classifier rejects go
-line_dedup   repeated passages of lines go; a text may become empty, its row stays (``n_chars`` follows the text)
+line_dedup   runs of repeated content-defined chunks of lines go (op4's rule), and the repeated passages whose edges its chunks
+             reach across; a text may become empty, its row stays (``n_chars`` follows the text)
 near_dedup   of each SimHash component the document with the smallest doc_id stays
 decontam     documents in which a benchmark window occurs go
 bpe          token ids of every remaining text, and the digest of what they decode to
@@ -52,7 +53,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     report = free_name(docs, "line_report")
-    return passage_dedup(docs, out_col=report).drop(report).withColumn("n_chars", F.char_length("text").cast("long"))
+    return passage_dedup(docs, out_col=report, chunks=True).drop(report).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ Only digests are grouped, with map-side aggregation, so a chunk that a third of
 ``passage_dedup`` has the finest chunks, which the lines of a passage's neighbours cannot blur: every two successive
 non-blank lines (with the blank ones between) and every line of ``MIN_WORDS`` words or more.  A repeated passage of two
 or more non-blank lines is a run of such pairs, so all of its lines go, wherever it stands, and so does a long line
-alone.  A run of removed lines has ``MIN_BYTES`` bytes at least, so closing brackets or "Yes." and "No." stay.  The first
+alone.  With ``chunks`` it is the exact supplement of ``line_dedup``: what either finds goes.  A run of removed lines has ``MIN_BYTES`` bytes at least, so closing brackets or "Yes." and "No." stay.  The first
 occurrence of a line is in no repeated pair, so every line of the table stays at least once.
 """
 
@@ -61,11 +61,11 @@ def chunked(docs: DataFrame, window: int, divisor: int, min_words: int) -> DataF
 
 
 def bodies(rows: DataFrame, min_words: int) -> DataFrame:
-    """Adds ``_chunks``: text, lines, non-blank lines and whether there is a long one, of every chunk."""
+    """Adds ``_chunks``: text, first line, lines, non-blank lines and whether there is a long one, of every chunk."""
     def chunk(end, k):
         start = F.when(k == 0, F.lit(0)).otherwise(F.element_at("_ends", F.greatest(k, F.lit(1))) + 1)
         part = F.slice("_lines", start + 1, end - start + 1)
-        return F.struct(F.array_join(part, NEWLINE).alias("body"), (end - start + 1).alias("lines"),
+        return F.struct(F.array_join(part, NEWLINE).alias("body"), start.alias("line"), (end - start + 1).alias("lines"),
                         F.size(F.filter(part, lambda x: F.trim(x) != "")).alias("filled"),
                         F.exists(part, lambda x: is_long(x, min_words)).alias("long"))
 
@@ -73,21 +73,23 @@ def bodies(rows: DataFrame, min_words: int) -> DataFrame:
 
 
 def repeated_runs(rows: DataFrame, min_lines: int, min_bytes: int) -> DataFrame:
-    """(doc_id, text_key, runs) per document that loses chunks, a run as first and last position.  ``rows`` have ``_chunks``."""
+    """(doc_id, text_key, runs) per document that loses chunks, a run as first and last chunk (start, stop) and first and last
+    line.  ``rows`` have ``_chunks``."""
     # every text has a chunk; the outer form keeps the optimizer from testing that by computing all chunks beforehand
     each = rows.select("doc_id", "text_key", F.posexplode_outer("_chunks").alias("pos", "c"))
-    size = ["filled", "long", "bytes"]
+    size = ["filled", "long", "bytes", "line", "last_line"]
     each = each.select("doc_id", "text_key", "pos", "c.body", F.md5("c.body").alias("digest"), "c.filled", "c.long",
-                       (F.octet_length("c.body") + 1).cast("long").alias("bytes"))
+                       (F.octet_length("c.body") + 1).cast("long").alias("bytes"), "c.line", (F.col("c.line") + F.col("c.lines") - 1).alias("last_line"))
     same = later_copies(each.where("filled > 0")).select("doc_id", "text_key", "pos", *size)
     same = same.unionByName(each.where("filled = 0").select("doc_id", "text_key", "pos", *size))
     # rows that repeat doc_id and text have the same chunks
     once = same.groupBy("doc_id", "text_key", "pos").agg(*[F.first(c).alias(c) for c in size])
     doc = Window.partitionBy("doc_id", "text_key")  # at most the chunks of one text
     runs = once.withColumn("_run", F.col("pos") - F.row_number().over(doc.orderBy("pos"))).groupBy("doc_id", "text_key", "_run").agg(
-        F.min("pos").alias("start"), F.max("pos").alias("stop"), F.sum("filled").alias("filled"), F.max("long").alias("long"), F.sum("bytes").alias("bytes"))
+        F.min("pos").alias("start"), F.max("pos").alias("stop"), F.sum("filled").alias("filled"), F.max("long").alias("long"), F.sum("bytes").alias("bytes"),
+        F.min("line").alias("line"), F.max("last_line").alias("last_line"))
     runs = runs.where(((F.col("filled") >= min_lines) | F.col("long")) & (F.col("bytes") >= min_bytes))
-    return materialise(runs.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop")).alias("runs")), "line-removed")
+    return materialise(runs.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "stop", "line", "last_line")).alias("runs")), "line-removed")
 
 
 def later_copies(each: DataFrame) -> DataFrame:
@@ -113,7 +115,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "runs")
     # a row is as long as its array, so the bound is on all runs together
     row, places = gone.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("runs")), F.lit(0))).first()
-    is_small = row * 64 + places * 16 <= common.BROADCAST_ROWS * 64
+    is_small = row * 64 + places * 32 <= common.BROADCAST_ROWS * 64
     rows = keyed.join(F.broadcast(gone) if is_small else gone.hint("merge"),
                       F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_k")), "left")
     # only texts that lose something are cut again
@@ -169,13 +171,21 @@ def large_runs(gone: str, lines: str, min_bytes: int):
 
 
 def passage_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS,
-                  min_bytes: int = MIN_BYTES, out_col: str = "line_dedup") -> DataFrame:
+                  min_bytes: int = MIN_BYTES, out_col: str = "line_dedup", chunks: bool = False, window: int = WINDOW,
+                  divisor: int = DIVISOR, min_lines: int = MIN_LINES) -> DataFrame:
     """All columns of ``docs``, the text without repeated passages, and the struct ``out_col`` (n_lines, n_removed_lines,
-    n_removed_runs), which takes the place of a column of that name."""
+    n_removed_runs), which takes the place of a column of that name.
+
+    With ``chunks`` the runs of repeated chunks that ``line_dedup`` removes go as well.  Both are judged on the whole text,
+    so no run is cut down to a line that the pairs no longer tell."""
     keyed = docs.select(F.struct("*").alias("_row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                         F.xxhash64(F.col(text_col)).alias("text_key"))
     same = later_copies(passages(keyed.drop("_row"), min_words))
     same = same.select("doc_id", "text_key", F.explode(F.sequence("pos", "stop")).alias("line"))
+    if chunks:
+        runs = repeated_runs(bodies(chunked(keyed.drop("_row"), window, divisor, min_words), min_words), min_lines, min_bytes)
+        runs = runs.select("doc_id", "text_key", F.inline("runs"))
+        same = same.unionByName(runs.select("doc_id", "text_key", F.explode(F.sequence("line", "last_line")).alias("line")))
     gone = materialise(same.groupBy("doc_id", "text_key").agg(F.collect_set("line").alias("gone")), "line-removed")
     gone = gone.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")
     # removed lines grow with the documents, so this is a shuffled join at every size

@@ -231,6 +231,20 @@ def test_short_passages_between_other_lines_go(spark, monkeypatch):
     assert {r.doc_id: r.text for r in got} == planted and all(r.n_chars == len(r.text) for r in got)
 
 
+def test_pipeline_removes_runs_of_repeated_chunks(spark, monkeypatch):
+    """Two lines that repeat one by one, never as a pair before, are a run of repeated chunks (op4's rule)."""
+    even = lambda x: int(hashlib.md5(x.encode()).hexdigest()[:7], 16) % 2 == 0  # noqa: E731  every such line ends a chunk
+    line = iter([x for x in (f"a line of the text, number {i}" for i in range(200)) if even(x)])
+    a, b, *other = [next(line) for _ in range(12)]
+    texts = ["\n".join([other[0], a, other[1], other[2], b, other[3]]), "\n".join([other[4], a, b, other[5]])]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    monkeypatch.setattr(corpus_pipeline, "prepare", lambda s: None)
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, docs, "").collect()}
+    assert got == {0: texts[0], 1: "\n".join(other[4:6])}
+    assert got == {r.doc_id: r.text for r in line_dedup.line_dedup(docs).collect()}
+    assert {r.doc_id: r.text for r in line_dedup.passage_dedup(docs).collect()} == dict(enumerate(texts))
+
+
 def simhash_plain(text):
     w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
     sh = [b" ".join(w[k:k + 3]) for k in range(max(1, len(w) - 2))] if w else []
