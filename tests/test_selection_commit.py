@@ -101,6 +101,17 @@ def test_exact_ks_nears_the_limit():
     assert 0 < tails.ks_exact(0.9, 300, 400) < 1e-100
 
 
+def test_no_pass_sorts_the_values(spark, monkeypatch):
+    """All four passes hash their counters: a buffer that cannot be hashed would sort every value in every pass."""
+    plans, hits = [], selection._hits
+    monkeypatch.setattr(selection, "_hits", lambda cells, *a: plans.append(cells._jdf.queryExecution().executedPlan().toString()) or hits(cells, *a))
+    v = [1.0 + k * 2.0 ** -52 for k in range(40)] + [float(k) for k in range(40)]
+    df = spark.createDataFrame([(g, x) for g in ("a", "b", None) for x in v], "g string, value double")
+    got = {(r.g, r.p): r.q for r in selection.exact_quantiles(df, "value", [0.1, 0.5], ["g"]).collect()}
+    assert got == {(g, p): float(np.quantile(v, p)) for g in ("a", "b", None) for p in (0.1, 0.5)}
+    assert len(plans) == 4 and not any("SortAggregate" in p for p in plans)
+
+
 def test_exact_ks_beside_windows_that_are_too_large(spark):
     """A feature beyond the exact bound, and one without values, beside one within it: none stops the batch."""
     rows = [("few", w, float(i + 3 * (w == "cur"))) for w in ("ref", "cur") for i in range(6)]
