@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.expr import risk_bucket
 from riskloom import constants as K
-from riskloom.operators import clean
+from riskloom.operators import clean, features
 
 
 def test_vendor_rows(spark):
@@ -54,3 +54,24 @@ def test_bundle_round_trip_and_probabilities(spark, tmp_path):
     b = MD.load_bundle(spark, path)
     s2 = {r["application_id"]: r["pd_score"] for r in MD.score(b["model"], df).collect()}
     assert s1 == s2 and b["features"] == ["a", "b", "c"]
+
+
+def test_model_dataset_is_written_once(spark, small_dir, monkeypatch):
+    """Split, label and weight are expressions over one written table (beside it: the snapshot's inputs)."""
+    from riskloom.plans import q_models
+
+    cut, names = q_models.cut_lineage, []
+    monkeypatch.setattr(q_models, "cut_lineage", lambda df: names.append(df.columns) or cut(df))
+    d = q_models.model_dataset(spark, small_dir)
+    assert len(names) == 1 and {"segment", "is_default"} <= set(names[0])
+    w = {(r.y, r.weight) for r in d.select("y", "weight").distinct().collect()}
+    train = d.where("split = 'train'").agg(F.sum("y").alias("pos"), F.count("y").alias("n")).first()
+    assert w == {(0, 1.0), (1, (train.n - train.pos) / train.pos)}
+
+
+def test_fill_looks_nothing_up_by_name(spark):
+    df = spark.createDataFrame([(1, None, None, 2.0), (2, 5.0, None, None)], "id int, a double, b double, c double")
+    med = spark.createDataFrame([("a", 1.5), ("b", None), ("other", 9.0)], "feature string, median double")
+    out = features.fill_with(df, med, ["a", "b", "c"])
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(1, 1.5, 0.0, 2.0), (2, 5.0, 0.0, 0.0)]
+    assert "map_from_entries" not in out._jdf.queryExecution().optimizedPlan().toString()
