@@ -178,11 +178,11 @@ def bureau_asof(applications: DataFrame, reports: DataFrame, strategy: str = "ti
 
     Ties on report_date go to the highest bureau_id.
 
-    ``timeline`` (default, skew-safe): both sides collapse to distinct
-    (client, day) rows first, a per-client window over days carries the last
-    report forward (loans sort before reports on the same day, so the match is
-    strict), and the answer joins back on (client, day).  A client holding a
-    third of all rows is still at most one row per distinct day in the window.
+    ``timeline`` (default, skew-safe): loans and reports collapse together to
+    one row per (client, day) by one hash aggregation, a per-client window over
+    the days before carries the last report forward (so the match is strict),
+    and the answer joins back on (client, day).  A client holding a third of
+    all rows is still at most one row per distinct day in the window.
 
     ``max_by``: equi-join on client with ``report_date < application_date`` and
     ``max_by`` per loan; its intermediate size is loans x reports per client.
@@ -197,13 +197,17 @@ def bureau_asof(applications: DataFrame, reports: DataFrame, strategy: str = "ti
             F.max_by(rstruct, F.struct(rep.report_date, rep.bureau_id)).alias("r"))
         res = apps.join(best, "application_id", "left")
     else:
-        rep_day = rep.groupBy("client_id", "report_date").agg(F.max_by(rstruct, F.col("bureau_id")).alias("r"))
-        loan_day = apps.select("client_id", F.col("application_date").alias("day")).distinct()
-        timeline = loan_day.select("client_id", "day", F.lit(0).alias("kind"), F.lit(None).cast(rep_day.schema["r"].dataType).alias("r")) \
-            .unionByName(rep_day.select("client_id", F.col("report_date").alias("day"), F.lit(1).alias("kind"), "r"))
-        w = Window.partitionBy("client_id").orderBy("day", "kind").rowsBetween(Window.unboundedPreceding, 0)
-        carried = timeline.select("client_id", "day", "kind", F.last("r", ignorenulls=True).over(w).alias("r")) \
-            .where(F.col("kind") == 0).drop("kind")
+        values = [c for c in BUREAU_COLS if c not in ("bureau_id", "report_date")]
+        loans = apps.select("client_id", F.col("application_date").alias("day"), F.lit(True).alias("loan"))
+        both = loans.unionByName(rep.select("client_id", F.col("report_date").alias("day"), F.lit(False).alias("loan"), "bureau_id", *values),
+                                 allowMissingColumns=True)
+        # the latest report by column, not as one struct: such a buffer is hashed, a struct would be sorted
+        days = both.groupBy("client_id", "day").agg(F.max("loan").alias("loan"), F.max("bureau_id").alias("bureau_id"),
+                                                    *[F.max_by(c, "bureau_id").alias(c) for c in values])
+        days = days.withColumn("report_date", F.col("day").cast(rep.schema["report_date"].dataType))
+        w = Window.partitionBy("client_id").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+        r = F.when(F.col("bureau_id").isNotNull(), rstruct)
+        carried = days.select("client_id", "day", "loan", F.last(r, ignorenulls=True).over(w).alias("r")).where("loan").drop("loan")
         res = apps.join(carried, (apps.client_id == carried.client_id) & (apps.application_date == carried.day), "left") \
             .drop(carried.client_id).drop("day")
     return res.select("application_id", "client_id", "application_date", *carry,

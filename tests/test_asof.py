@@ -47,3 +47,20 @@ def test_hot_client_matches_plain_join(spark):
     a = {r["application_id"]: r["bureau_id"] for r in fe.bureau_asof(apps, reps, "timeline").collect()}
     b = {r["application_id"]: r["bureau_id"] for r in fe.bureau_asof(apps, reps, "max_by").collect()}
     assert a == b and len(a) == n
+
+
+def test_timeline_hashes_and_keeps_nulls_ties_and_empty_days(spark):
+    apps = spark.createDataFrame([(1, 10, D(2020, 5, 1), 1.0), (2, 10, D(2020, 5, 1), 2.0), (3, None, D(2020, 5, 1), 3.0), (4, 10, None, 4.0),
+                                  (5, 11, D(2020, 5, 1), 5.0), (6, 10, D(2020, 7, 1), 6.0)],
+                                 "application_id long, client_id long, application_date date, income double")
+    reps = spark.createDataFrame(
+        [(7, 10, D(2020, 4, 1), 1, 2, 500.0, 30), (8, 10, D(2020, 4, 1), None, 0, None, 40), (9, 10, D(2020, 5, 1), 9, 9, 900.0, 50),
+         (None, 10, D(2020, 6, 1), 4, 4, 4.0, 4), (12, None, D(2020, 4, 1), 5, 5, 5.0, 5), (13, 11, D(2020, 5, 1), 6, 6, 6.0, 6)],
+        "bureau_id long, client_id long, report_date date, num_inquiries_6m int, num_active_loans int, "
+        "total_balance double, oldest_account_months int")
+    got = fe.bureau_asof(apps, reps, "timeline")
+    r = {x["application_id"]: tuple(x)[4:] for x in got.collect()}
+    assert r[1] == r[2] == (8, D(2020, 4, 1), None, 0, None, 40)   # one row wins a tie, its NULLs with it
+    assert r[6] == (9, D(2020, 5, 1), 9, 9, 900.0, 50)             # a report without an id hides none before it
+    assert all(v is None for i in (3, 4, 5) for v in r[i]) and len(r) == 6
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
