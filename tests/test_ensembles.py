@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import ensembles as EN
 from riskloom.operators import metrics as M
 from riskloom.operators import models as MD
+from riskloom.plans import q_models as QM
 
 FEATS = ["a", "b", "c", "d"]
 
@@ -94,3 +95,26 @@ def test_bundle_tables_are_optional_and_damage_is_an_error(spark, rows, models,
     (tmp_path / "b" / "metrics" / "part-0.parquet").write_bytes(b"no parquet")
     with pytest.raises(Exception):
         MD.load_bundle(spark, p)
+
+
+@pytest.mark.parametrize("kind", ["logistic", "rf", "gbt"])
+def test_a_stored_vector_is_read_instead_of_assembled(rows, kind):
+    whole = rows.where("not isnan(c)").withColumn("segment", F.lit("s")).drop("weight")
+    seg = QM._seg(whole, "s", FEATS)
+    assert "features" in seg.columns and not set(FEATS) & set(seg.columns)  # so no pass can assemble it again
+    assert MD.assembled(seg, FEATS) is seg
+    beside = QM._seg(whole, "s", FEATS, raw=FEATS)
+    p = {"n_estimators": 3, "max_depth": 3}
+    a = MD.fit(seg.where("split = 'train'").coalesce(1), kind, FEATS, p)
+    b = MD.fit(beside.drop("features").where("split = 'train'").coalesce(1), kind, FEATS, p)
+    read, made = (MD.score(m, d) for m, d in ((a, seg), (b, beside.drop("features"))))
+    assert "features" in read.columns and "features" not in made.columns
+    scores = lambda d: dict(d.select("application_id", "pd_score").collect())
+    assert scores(read) == pytest.approx(scores(made), abs=1e-12)
+
+
+def test_a_vector_of_other_features_is_not_taken(rows):
+    part = MD.assembled(rows, FEATS[:2])
+    assert MD.assembled(part, FEATS[:2]) is part
+    with pytest.raises(Exception, match="features"):
+        MD.assembled(part, FEATS[::-1][:2]).count()
