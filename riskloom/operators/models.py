@@ -192,8 +192,9 @@ def calibrate(val_scored: DataFrame, method: str = "isotonic", y: str = "y", p:
     if method == "isotonic":
         cal = IsotonicRegression(featuresCol=p, labelCol=y, predictionCol="pd_calibrated").fit(val_scored)
     else:
-        cal = Pipeline(stages=[VectorAssembler(inputCols=[p], outputCol="features"),
-                               LogisticRegression(labelCol=y, predictionCol="_pred", probabilityCol="_prob",
+        # the score's vector has a name of its own: a scored frame may hold its feature vector as ``features``
+        cal = Pipeline(stages=[VectorAssembler(inputCols=[p], outputCol="_score"),
+                               LogisticRegression(featuresCol="_score", labelCol=y, predictionCol="_pred", probabilityCol="_prob",
                                                   rawPredictionCol="_raw")]).fit(val_scored)
     cal_scored = apply_calibration(cal, val_scored, p)
     raw_auc = auc_of(val_scored, y, p)
@@ -208,7 +209,7 @@ def apply_calibration(cal, df: DataFrame, p: str = "pd_score") -> DataFrame:
         return df.withColumn("pd_calibrated", clip(F.col(p), 0.0, 1.0))
     out = cal.transform(df)
     if "_prob" in out.columns:
-        out = out.withColumn("pd_calibrated", vector_to_array("_prob")[1]).drop("features", "_raw", "_prob", "_pred")
+        out = out.withColumn("pd_calibrated", vector_to_array("_prob")[1]).drop("_score", "_raw", "_prob", "_pred")
     return out.withColumn("pd_calibrated", clip(F.col("pd_calibrated"), 0.0, 1.0))
 
 

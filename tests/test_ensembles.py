@@ -118,3 +118,14 @@ def test_a_vector_of_other_features_is_not_taken(rows):
     assert MD.assembled(part, FEATS[:2]) is part
     with pytest.raises(Exception, match="features"):
         MD.assembled(part, FEATS[::-1][:2]).count()
+
+
+@pytest.mark.parametrize("method", ["isotonic", "sigmoid"])
+def test_calibration_of_a_frame_that_holds_its_vector(rows, models, method):
+    val = rows.where("split = 'val' and not isnan(c)")
+    plain, held = MD.score(models["logistic"], val), MD.score(models["logistic"], MD.assembled(val, FEATS))
+    assert "features" in held.columns and "features" not in plain.columns
+    values = lambda d: dict(MD.apply_calibration(MD.calibrate(d, method), d).select("application_id", "pd_calibrated").collect())
+    got = values(held)
+    assert got == pytest.approx(values(plain), abs=1e-9) and len(set(got.values())) > 2
+    assert set(MD.apply_calibration(MD.calibrate(held, method), held).columns) == {*held.columns, "pd_calibrated"}
