@@ -129,3 +129,31 @@ def test_calibration_of_a_frame_that_holds_its_vector(rows, models, method):
     got = values(held)
     assert got == pytest.approx(values(plain), abs=1e-9) and len(set(got.values())) > 2
     assert set(MD.apply_calibration(MD.calibrate(held, method), held).columns) == {*held.columns, "pd_calibrated"}
+
+
+@pytest.fixture
+def fits(rows, monkeypatch):
+    """The model queries on ``rows`` without fitting: (kind, parameters, train rows) of every fit."""
+    seen = []
+    monkeypatch.setattr(QM, "model_dataset", lambda *_: rows.where("not isnan(c)").withColumn("segment", F.lit("s")))
+    monkeypatch.setattr(QM, "SEGMENTS", (("s", FEATS),))
+    monkeypatch.setattr(MD, "fit", lambda df, kind, features, params=None, **_: seen.append((kind, params, df)))
+    monkeypatch.setattr(MD, "score", lambda m, df: df.withColumn("pd_score", F.lit(0.5)))
+    return seen
+
+
+def test_hyper_search_tries_the_whole_spaces(spark, fits, monkeypatch):
+    monkeypatch.setattr(MD, "auc_of", lambda df: 0.5)
+    got = QM.q_hyper_search(spark, "").groupBy("model").count().collect()
+    assert {r["model"]: r["count"] for r in got} == {"logistic": 30, "rf": 30, "gbt": 30}
+    for kind in ("rf", "gbt"):
+        trees = [p["n_estimators"] for k, p, _ in fits if k == kind]
+        assert len(trees) == 30 and 200 <= min(trees) < 300 and 700 < max(trees) <= 800
+
+
+def test_side_by_side_trials_keep_their_order(spark, rows):
+    train = rows.where("split = 'train' and not isnan(c)").cache()
+    _, _, found = MD.search(train, rows.where("split = 'val' and not isnan(c)"), "logistic", FEATS, 5)
+    assert [p for p, _ in found] == MD.draw_params("logistic", 5)
+    alone = [MD.auc_of(MD.score(MD.fit(train, "logistic", FEATS, p), rows.where("split = 'val' and not isnan(c)"))) for p in MD.draw_params("logistic", 5)[:2]]
+    assert [a for _, a in found[:2]] == pytest.approx(alone, abs=1e-9)
