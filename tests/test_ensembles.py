@@ -157,3 +157,13 @@ def test_side_by_side_trials_keep_their_order(spark, rows):
     assert [p for p, _ in found] == MD.draw_params("logistic", 5)
     alone = [MD.auc_of(MD.score(MD.fit(train, "logistic", FEATS, p), rows.where("split = 'val' and not isnan(c)"))) for p in MD.draw_params("logistic", 5)[:2]]
     assert [a for _, a in found[:2]] == pytest.approx(alone, abs=1e-9)
+
+
+def test_train_searched_fits_the_best_of_whole_searches(spark, fits, monkeypatch):
+    monkeypatch.setattr(MD, "auc_of", lambda df: 0.5)
+    got = QM.q_train_searched(spark, "").collect()
+    assert {(r.model, r.split) for r in got} == {(k, s) for k in ("logistic", "rf", "gbt") for s in ("val", "test")}
+    for kind in ("logistic", "rf", "gbt"):
+        tried = [p for k, p, _ in fits if k == kind]
+        assert len(tried) == 11 and tried[-1] in tried[:-1]  # ten trials and the fit of the best
+        assert kind == "logistic" or all(200 <= p["n_estimators"] <= 800 for p in tried)
