@@ -167,3 +167,26 @@ def test_train_searched_fits_the_best_of_whole_searches(spark, fits, monkeypatch
         tried = [p for k, p, _ in fits if k == kind]
         assert len(tried) == 11 and tried[-1] in tried[:-1]  # ten trials and the fit of the best
         assert kind == "logistic" or all(200 <= p["n_estimators"] <= 800 for p in tried)
+
+
+def test_curve_sizes_reach_all_rows():
+    assert QM.curve_sizes(4100) == [500, 1000, 2000, 4000, 4100]
+    assert QM.curve_sizes(9_000_000)[-2:] == [8_192_000, 9_000_000] and QM.curve_sizes(500) == [500] and QM.curve_sizes(1000) == [500, 1000]
+
+
+def test_learning_curve_trains_on_all_rows(spark, fits, monkeypatch):
+    monkeypatch.setattr(QM, "curve_sizes", lambda n, whole=QM.curve_sizes: whole(n, 60))
+    got = sorted(r["size"] for r in QM.q_learning_curve(spark, "").collect())
+    n = fits[0][2].count()
+    assert got == [60, 120, 240, n] and n > 240
+    assert sorted(df.count() for _, _, df in fits[3:]) == got  # after the three candidates
+    assert {p["n_estimators"] for k, p, _ in fits if k != "logistic"} == {200}
+
+
+def test_learning_curve_of_every_size(spark, rows):
+    d = MD.assembled(rows.where("not isnan(c)"), FEATS)
+    got = {r["size"]: r for r in MD.learning_curve(d, FEATS, [240, 60], "logistic").collect()}
+    train = MD.sampling.nested_sizes(d.where("split = 'train'"), [60, 240])
+    for s in (60, 240):
+        m = MD.fit(train.where(F.col("rank") < s), "logistic", FEATS)
+        assert got[s].val_auc == pytest.approx(MD.auc_of(MD.score(m, d.where("split = 'val'"))), abs=1e-9) and got[s].n_val > 100
