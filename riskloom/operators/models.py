@@ -300,11 +300,13 @@ def route(df: DataFrame, history_ready: bool = True, cold_ready: bool = True,
 
 # ----------------------------------------------------------------- K10
 def save_bundle(path: str, model: PipelineModel, features: Sequence[str], medians: DataFrame | None = None,
-                encodings: DataFrame | None = None, metrics: DataFrame | None = None, kind: str = "") -> None:
-    """Model, feature list, medians, encodings and metrics saved together (no pickle)."""
+                encodings: DataFrame | None = None, metrics: DataFrame | None = None, kind: str = "",
+                global_mean: float | None = None) -> None:
+    """Model, feature list, medians, encodings (with the mean of what they do not hold) and metrics saved together (no
+    pickle)."""
     model.write().overwrite().save(os.path.join(path, "model"))
     spark = medians.sparkSession if medians is not None else None
-    meta = {"features": list(features), "kind": kind}
+    meta = {"features": list(features), "kind": kind, "global_mean": global_mean}
     if spark is None:
         from pyspark.sql import SparkSession
         spark = SparkSession.getActiveSession()
@@ -324,6 +326,23 @@ def load_bundle(spark, path: str) -> dict:
     return out
 
 
+def score_bundle(bundle: dict, df: DataFrame, suffix: str = "_target_enc") -> DataFrame:
+    """Rows scored by a loaded bundle alone: categories encoded by its map, missing features filled by its medians (0
+    where it has none), then its model."""
+    from .features import fill_with, target_apply
+    feats = bundle["features"]
+    if bundle["encodings"] is not None:
+        coded = [f.removesuffix(suffix) for f in feats if f.endswith(suffix)]
+        mean = df.sparkSession.range(1).select(F.lit(bundle.get("global_mean")).cast("double").alias("global_mean"))
+        df = target_apply(df.drop(*[f"{c}{suffix}" for c in coded]), bundle["encodings"], mean, coded, suffix)
+    missing = set(feats) - set(df.columns)
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) if c in feats else F.col(c) for c in df.columns if c != "features"],
+                   *[F.lit(None).cast("double").alias(c) for c in feats if c in missing])
+    if bundle["medians"] is not None:
+        df = fill_with(df, bundle["medians"], feats)
+    return score(bundle["model"], df.fillna(0.0, subset=feats))
+
+
 # ----------------------------------------------------------------- K11-K13
 def linear_contributions(df: DataFrame, coefs: dict[str, float], means: dict[str, Column] | None = None,
                          id_col: str = "application_id", keep: Sequence[str] = ()) -> DataFrame:

@@ -5,6 +5,8 @@ Tables are versioned parquet folders committed by a pointer (``commit``): a stop
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import clean, sampling
@@ -39,10 +41,11 @@ def payments(df: DataFrame, ids: DataFrame | None = None, id_col: str = "applica
 
 
 def feature_dataset(features: DataFrame, applications_df: DataFrame, train_end: str, val_end: str,
-                    version: str = "v1.0") -> DataFrame:
-    """A6 (+ D1, H1): snapshot rows of one version joined to the loan label and date, with a split label."""
+                    version: str = "v1.0", keep: Sequence[str] = ()) -> DataFrame:
+    """A6 (+ D1, H1): snapshot rows of one version joined to the loan label and date (and the loan's columns ``keep``), with a
+    split label."""
     f = features.where(F.col("feature_version") == version)  # D1: partition filter when stored by version
-    a = applications_df.select("application_id", "application_date", "is_default")
+    a = applications_df.select("application_id", "application_date", "is_default", *keep)
     return sampling.time_split(f.join(a, "application_id", "inner"), train_end, val_end)
 
 

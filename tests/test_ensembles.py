@@ -1,10 +1,13 @@
 """Model expressions against the fitted models and a plain walk; permutation importance; searched training; date cuts."""
 
+import datetime as dt
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import ensembles as EN
+from riskloom.operators import features as fe
 from riskloom.operators import metrics as M
 from riskloom.operators import models as MD
 from riskloom.plans import q_models as QM
@@ -190,3 +193,47 @@ def test_learning_curve_of_every_size(spark, rows):
     for s in (60, 240):
         m = MD.fit(train.where(F.col("rank") < s), "logistic", FEATS)
         assert got[s].val_auc == pytest.approx(MD.auc_of(MD.score(m, d.where("split = 'val'"))), abs=1e-9) and got[s].n_val > 100
+
+
+def test_every_bundle_holds_all_its_parts(spark, fits, monkeypatch):
+    kept = []
+    monkeypatch.setattr(QM.fixtures, "load", lambda *_: type("Fx", (), {"applications": spark.createDataFrame(
+        [(i, i % 3 == 0, f"p{i % 2}", "h", dt.date(1999, 1, 1)) for i in range(300)],
+        "application_id long, is_default boolean, purpose string, home_ownership string, application_date date")}))
+    monkeypatch.setattr(QM, "model_dataset", lambda *_, **k: fits_rows(spark))
+    monkeypatch.setattr(MD, "save_bundle", lambda path, m, feats, med=None, enc=None, metrics=None, kind="", mean=None: kept.append(
+        (kind, med, enc, metrics, mean)))
+    monkeypatch.setattr(MD, "load_bundle", lambda spark, path: {"features": FEATS, "kind": kept[-1][0], "model": None})
+    monkeypatch.setattr(MD, "score_bundle", lambda b, df: df.withColumn("pd_score", F.lit(0.5)))
+    got = QM.q_model_bundle(spark, "").collect()
+    assert [r.model for r in got] == ["logistic", "rf", "gbt"] and {r.max_abs_diff for r in got} == {0.0}
+    for kind, med, enc, metrics, mean in kept:
+        assert {r.feature for r in med.collect()} == set(FEATS) and enc.where("column = 'purpose'").count() == 2
+        assert metrics.count() == 1 and mean == pytest.approx(1 / 3)
+
+
+def fits_rows(spark):
+    return spark.createDataFrame([(i, *[float(i % k) for k in (2, 3, 5, 7)], i % 2, "train" if i < 50 else "val", "s", "p0", "h", dt.date(1999, 1, 1))
+                                  for i in range(80)],
+                                 "application_id long, a double, b double, c double, d double, y int, split string, segment string, "
+                                 "purpose string, home_ownership string, application_date date")
+
+
+def test_a_bundle_alone_scores_raw_rows(spark, tmp_path):
+    r = np.random.default_rng(1)
+    data = [(i, float(r.normal()), f"p{i % 3}", int(r.random() < 0.2 + 0.2 * (i % 3))) for i in range(300)]
+    df = spark.createDataFrame(data, "application_id long, a double, purpose string, y int")
+    enc, mean = fe.target_fit(df, ["purpose"], "y", min_samples=1)
+    coded = fe.target_apply(df, enc, mean, ["purpose"])
+    feats, g = ["a", "purpose_target_enc"], mean.first()["global_mean"]
+    m = MD.fit(coded, "rf", feats, {"n_estimators": 5}, weight=None)
+    p = str(tmp_path / "b")
+    MD.save_bundle(p, m, feats, fe.medians(coded, feats), enc, kind="rf", global_mean=g)
+    b = MD.load_bundle(spark, p)
+    scores = lambda d: dict(d.select("application_id", "pd_score").collect())
+    assert scores(MD.score_bundle(b, df)) == scores(MD.score(m, coded))
+    # an unseen category has the mean, a missing feature its median
+    odd = spark.createDataFrame([(1, None, "new"), (2, float("nan"), None)], "application_id long, a double, purpose string")
+    med = coded.agg(F.median("a")).first()[0]
+    plain = spark.createDataFrame([(1, med, g), (2, med, g)], "application_id long, a double, purpose_target_enc double")
+    assert scores(MD.score_bundle(b, odd)) == scores(MD.score_bundle(b, odd.drop("a"))) == scores(MD.score(m, plain))
