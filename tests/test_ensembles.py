@@ -237,3 +237,16 @@ def test_a_bundle_alone_scores_raw_rows(spark, tmp_path):
     med = coded.agg(F.median("a")).first()[0]
     plain = spark.createDataFrame([(1, med, g), (2, med, g)], "application_id long, a double, purpose_target_enc double")
     assert scores(MD.score_bundle(b, odd)) == scores(MD.score_bundle(b, odd.drop("a"))) == scores(MD.score(m, plain))
+
+
+@pytest.mark.parametrize("kind", ["rf", "gbt"])
+def test_mean_contributions_evaluate_a_row_once(rows, models, kind):
+    got = EN.tree_contributions(models[kind], MD.score(models[kind], rows), FEATS, keep=["pd_score"])
+    per_row = [{c["feature"]: c["value"] for c in r.contributions} for r in got.collect()]
+    out = EN.mean_contributions(got, FEATS, F.lit(2.0) * F.col("pd_score"))
+    for r in out.collect():
+        assert r.mean_abs == pytest.approx(np.mean([abs(p[r.feature]) for p in per_row]), abs=1e-12)
+        assert r.max_gap == pytest.approx(2 * max(x.pd_score for x in got.collect()), abs=1e-12)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sequence") + plan.count("[0,1,2,3]") <= 1 and "size(" not in plan  # no filter that evaluates them again
+    assert EN.mean_contributions(got.where("application_id < 0"), FEATS, F.col("pd_score")).count() == 0
