@@ -250,3 +250,31 @@ def test_mean_contributions_evaluate_a_row_once(rows, models, kind):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("sequence") + plan.count("[0,1,2,3]") <= 1 and "size(" not in plan  # no filter that evaluates them again
     assert EN.mean_contributions(got.where("application_id < 0"), FEATS, F.col("pd_score")).count() == 0
+
+
+def test_permutations_delete_what_they_write(spark, rows, models, monkeypatch):
+    from pathlib import Path
+
+    from riskloom import session
+    val, held, write = rows.where("split = 'val' and not isnan(c)"), [], session.written
+    before = set(session._WRITTEN)
+    monkeypatch.setattr(session, "written", lambda path: held.append(sum(Path(p).exists() for p in set(session._WRITTEN) - before)) or write(path))
+    out = MD.permutation_importance(models["logistic"], val, FEATS, repeats=6)
+    assert len(held) == 11 and max(held) <= 4  # two tables of all repeats, three of every two
+    assert set(session._WRITTEN) == before and out.count() == 4
+
+
+def test_scratch_keeps_what_is_taken_out(spark):
+    from pathlib import Path
+
+    from riskloom.session import materialise, scratch
+    paths = []
+    with scratch(spark) as outer:
+        a = materialise(spark.range(3), "a")
+        with scratch(spark) as inner:
+            materialise(spark.range(3), "b")
+            b = materialise(spark.range(4), "c")
+            paths += [*outer, *inner]
+            inner.pop()
+        assert a.count() == 3 and b.count() == 4 and len(paths) == 3
+    assert [Path(p).exists() for p in paths] == [False, False, True]
